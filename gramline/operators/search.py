@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gramline.operators.features import term_frequency, vocabulary_of
+from gramline.operators.metrics import accuracy
+from gramline.operators.model import Params, fit_on_vocabulary, fold_accuracies, predict
+from gramline.operators.relational import filter_min_class_frequency, n_classes
+from gramline.operators.splits import shuffled_split
+from gramline.plans.lookup import lookup_join
+from gramline.plans.storage import written
+
 # Parameter spaces, each bound as (kind, low, high); `int` excludes high.
 SPACE_A = {
     "min_class_frequency": ("int", 50, 100),
@@ -53,9 +63,6 @@ def bandit_keep(reports: DataFrame, interval: int = 3, slack: float = 0.05) -> D
     `reports` is (run_id, step, metric), one row per run and step. The best of a step is a partial maximum, joined
     back, so a step that every run reached is not gathered into one task.
     """
-    from gramline.plans.lookup import lookup_join
-    from gramline.plans.storage import written
-
     due = reports.filter(F.col("step") % interval == 0)
     best = due.groupBy("step").agg(F.max("metric").alias("best"), F.count("*").alias("n"))
     joined = lookup_join(due, written(best, "best"), ["step"], weight="n")
@@ -73,3 +80,72 @@ def best_trial(results: DataFrame, metric: str, id: str = "trial_id") -> DataFra
     scored = results.filter(F.col(metric).isNotNull())
     rank = F.struct(F.col(metric), -F.col(id))
     return scored.agg(F.max_by(F.struct(*results.columns), rank).alias("best")).filter("best is not null").select("best.*")
+
+
+def grams_in_range(tf: DataFrame, lo: int, hi: int) -> DataFrame:
+    """The part of a wider gram table that a narrower range of lengths yields.
+
+    A word shorter than `lo` counts as a whole; a gram with a space at both ends is always a whole word.
+    """
+    n = F.length("gram")
+    whole = F.col("gram").startswith(" ") & F.col("gram").endswith(" ") & (n > 2)
+    return tf.filter(n.between(lo, hi) | ((n < lo) & whole))
+
+
+def evaluate_trials(
+    df: DataFrame,
+    trials: DataFrame,
+    defaults: Params,
+    parallelism: int = 4,
+    folds: int | None = None,
+    id: str = "row_id",
+    text: str = "tweet",
+    label: str = "target",
+    max_trials: int = 1000,
+) -> DataFrame:
+    """The trials with their `accuracy`, over `folds` stratified folds or, without folds, on a held-out fifth.
+
+    The rows' grams are counted once, for the widest range any trial asks for, and every trial takes its vocabulary
+    from that table. Trials run as concurrent Spark jobs. A trial that leaves no class or no vocabulary has no accuracy.
+    """
+    rows = trials.limit(max_trials + 1).collect()
+    if len(rows) > max_trials:
+        raise ValueError(f"more than {max_trials} trials")
+    settings = {row["trial_id"]: defaults.with_trial(row.asDict()) for row in rows}
+    lo, hi = min(p.ngram_min for p in settings.values()), max(p.ngram_max for p in settings.values())
+    data = df.select(id, text, label).filter(F.col(text).isNotNull())
+    keyed = data.select(F.struct(id, label).alias("key"), text)
+    grams = written(term_frequency(keyed, "key", text, lo, hi), "grams")
+
+    def accuracy_of(params: Params) -> float | None:
+        kept = filter_min_class_frequency(data, label, params.min_class_frequency)
+        known = filter_min_class_frequency(data, label, params.min_class_frequency).select(label).distinct()
+        tf = grams_in_range(grams, params.ngram_min, params.ngram_max).withColumn(label, F.col(f"key.{label}"))
+        tf = lookup_join(tf, written(known, "classes"), [label], "left_semi")
+        vocabulary = vocabulary_of(
+            tf, kept.count(), params.ngram_min, params.ngram_max, params.min_df, params.max_df
+        )
+        if vocabulary.grams.isEmpty() or n_classes(kept, label).first()[0] == 0:
+            return None
+        if folds:
+            scores = fold_accuracies(kept, params, vocabulary, folds, 1, id, text, label)
+            return sum(a for _, a in scores) / folds
+        split = written(shuffled_split(kept, id, seed=params.seed), "split")
+        train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
+        model = fit_on_vocabulary(vocabulary, train, params, text, label)
+        return accuracy(predict(model, test), label, "predicted").first()[0]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        scores = dict(zip(settings, pool.map(accuracy_of, settings.values())))
+    results = df.sparkSession.createDataFrame(list(scores.items()), "trial_id bigint, accuracy double")
+    return trials.join(F.broadcast(results), "trial_id")
+
+
+def trial_metrics(results: DataFrame) -> DataFrame:
+    """The accuracies of evaluated trials as metric rows (run_id, step, name, value)."""
+    return results.filter("accuracy is not null").select(
+        F.concat(F.lit("trial-"), F.col("trial_id")).alias("run_id"),
+        F.lit(0).cast("bigint").alias("step"),
+        F.lit("Accuracy").alias("name"),
+        F.col("accuracy").alias("value"),
+    )

@@ -18,6 +18,11 @@ def read_registry(spark: SparkSession, registry: str) -> DataFrame:
         return spark.createDataFrame([], REGISTRY)
 
 
+def next_version(spark: SparkSession, registry: str, name: str) -> int:
+    newest = read_registry(spark, registry).filter(F.col("name") == name).agg(F.max("version")).first()[0]
+    return (newest or 0) + 1
+
+
 def register_model(
     spark: SparkSession,
     registry: str,
@@ -27,8 +32,7 @@ def register_model(
     properties: dict[str, str] | None = None,
 ) -> int:
     """Appends the next version of a model and returns that version."""
-    newest = read_registry(spark, registry).filter(F.col("name") == name).agg(F.max("version")).first()[0]
-    version = (newest or 0) + 1
+    version = next_version(spark, registry, name)
     row = [(name, version, path, tags or {}, properties or {})]
     spark.createDataFrame(row, REGISTRY).coalesce(1).write.mode("append").parquet(registry)
     return version
