@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramline.functions.words import char_wb_ngrams_sql
-from gramline.operators.features import Vocabulary, fit_vocabulary
+from gramline.operators.features import Vocabulary, by_row, fit_vocabulary
 from gramline.operators.relational import n_classes
 from gramline.operators.splits import stratified_kfold
 from gramline.plans.storage import written
@@ -87,16 +87,16 @@ def forest(params: Params) -> RandomForestClassifier:
     )
 
 
-def vectorise(stages: list, df: DataFrame, label: str, *keep: str) -> tuple[DataFrame, list[str]]:
+def vectorise(stages: list, df: DataFrame, label: str, id: str, *keep: str) -> tuple[DataFrame, list[str]]:
     """A written table (label, features, kept columns), which the forest reads several times, and the class names.
 
-    Label numbers follow the class names in ascending order.
+    Label numbers follow the class names in ascending order. Rows are spread by id while they are still text.
     """
     rows = df.filter(F.col(label).isNotNull())
     if n_classes(rows, label).first()[0] > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes")
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(rows.select(label))
-    featured = PipelineModel(stages).transform(rows).select(label, "features", *keep)
+    featured = PipelineModel(stages).transform(by_row(rows, id)).select(label, "features", *keep)
     return written(indexer.transform(featured).select("label", "features", *keep), "vectors"), indexer.labels
 
 
@@ -110,14 +110,15 @@ def fit_text_model(
     vocabulary = fit_vocabulary(
         train if scope is None else scope, id, text, params.ngram_min, params.ngram_max, params.min_df, params.max_df
     )
-    return fit_on_vocabulary(vocabulary, train, params, text, label)
+    return fit_on_vocabulary(vocabulary, train, params, id, text, label)
 
 
 def fit_on_vocabulary(
-    vocabulary: Vocabulary, train: DataFrame, params: Params, text: str = "tweet", label: str = "target"
+    vocabulary: Vocabulary, train: DataFrame, params: Params, id: str = "row_id", text: str = "tweet",
+    label: str = "target",
 ) -> PipelineModel:
     stages = feature_stages(vocabulary, text, params.vocabulary_limit)
-    vectors, names = vectorise(stages, train, label)
+    vectors, names = vectorise(stages, train, label, id)
     fitted = forest(params).fit(vectors)
     named = IndexToString(inputCol="prediction", outputCol="predicted", labels=names)
     return PipelineModel([*stages, fitted, named])
@@ -149,7 +150,7 @@ def fold_accuracies(
     """(fold, accuracy) of a forest fitted on the other folds. Vectors are made once and shared."""
     stages = feature_stages(vocabulary, text, params.vocabulary_limit)
     folded = written(stratified_kfold(df.select(id, text, label), label, id, k), "folds")
-    vectors, _ = vectorise(stages, folded, label, "fold")
+    vectors, _ = vectorise(stages, folded, label, id, "fold")
 
     def of(fold: int) -> tuple[int, float]:
         fitted = forest(params).fit(vectors.filter(F.col("fold") != fold))

@@ -132,7 +132,7 @@ def evaluate_trials(
             return sum(a for _, a in scores) / folds
         split = written(shuffled_split(kept, id, seed=params.seed), "split")
         train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
-        model = fit_on_vocabulary(vocabulary, train, params, text, label)
+        model = fit_on_vocabulary(vocabulary, train, params, id, text, label)
         return accuracy(predict(model, test), label, "predicted").first()[0]
 
     with ThreadPoolExecutor(parallelism) as pool:

@@ -52,7 +52,7 @@ def rank_cuts(rows: DataFrame, ranks: DataFrame, low: int, high: int) -> DataFra
             .select("class", "cut", (F.col("rank") - F.col("before")).alias("rank"), F.col("finer").alias("range"), "n"),
             "ranges",
         )
-        ranges = written(wanted.select("class", "range").distinct(), "ranges")
+        ranges = wanted.select("class", "range").distinct()
         inside = lookup_join(rows.withColumn("range", finer), ranges, ["class", "range"], "left_semi")
         largest = wanted.agg(F.max("n")).first()[0] or 0
         if largest <= RANKED_ROWS or shift == 0:
