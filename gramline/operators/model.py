@@ -64,7 +64,7 @@ def feature_stages(vocabulary: Vocabulary, text: str, limit: int) -> list:
     count = CountVectorizer(inputCol="_grams", outputCol="_counts", vocabSize=size, minDF=1.0).fit(
         grams.select(F.array("gram").alias("_grams"))
     )
-    idf = {row["gram"]: row["idf"] for row in grams.select("gram", "idf").toLocalIterator()}
+    idf = {row["gram"]: row["idf"] for row in grams.select("gram", "idf").collect()}  # at most `limit` rows
     weigh = ElementwiseProduct(
         scalingVec=Vectors.dense([idf[g] for g in count.vocabulary]), inputCol="_counts", outputCol="_weighted"
     )

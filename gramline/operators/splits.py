@@ -35,7 +35,6 @@ def rank_cuts(rows: DataFrame, ranks: DataFrame, low: int, high: int) -> DataFra
 
     `rows` is (class, key, order): `order` a struct that orders the rows of a class totally, `key` a number in
     [low, high] that agrees with that order. `ranks` is (class, cut, rank) with ranks from 1; `at` is null for rank 0.
-    Classes may be null.
     """
     shift = max(0, (high - low).bit_length() - RANGE_BITS)
     wanted = ranks.filter("rank > 0").select("class", "cut", "rank", F.lit(0).cast("bigint").alias("range"))

@@ -48,13 +48,17 @@ def lookup_join(
     if measured_bytes(lookup) <= limit:
         return facts.join(F.broadcast(lookup), on, how)
     if weight is None:
-        return facts.join(lookup, on, how)
+        return facts.join(lookup, on, how)  # a skewed key is left to adaptive execution
     total = table.agg(F.sum(weight)).first()[0]
     heavy = table.filter(F.col(weight) > total / HEAVY_KEYS).drop(weight)
     if measured_bytes(heavy) > limit:
         return facts.join(lookup, on, how)
     light = table.filter(F.col(weight) <= total / HEAVY_KEYS).drop(weight)
-    heavy_how = "inner" if how == "left" else how
-    return facts.join(F.broadcast(heavy), on, heavy_how).unionByName(
-        facts.join(F.broadcast(heavy.select(on)), on, "left_anti").join(light, on, how)
-    )
+    matched = facts.join(F.broadcast(heavy), on, "inner" if how == "left" else how)
+    keyed = facts.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in on))
+    rest = matched.unionByName(keyed.join(F.broadcast(heavy.select(on)), on, "left_anti").join(light, on, how))
+    if how != "left":
+        return rest
+    # Rows without a key match nothing; kept out of the shuffle, they cannot all land in one task.
+    unkeyed = facts.filter(" OR ".join(f"`{c}` IS NULL" for c in on))
+    return rest.unionByName(unkeyed, allowMissingColumns=True)

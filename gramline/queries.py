@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gramline.functions import payload
 from gramline.operators import features, metrics, model, relational, scoring, search, splits, text
 from gramline.plans import flows
-from gramline.plans.storage import scratch_path, written
+from gramline.plans.storage import scratch_path, spread, written
 from gramline.sources import registry, tables
 from gramline.streaming.scoring import score_stream, write_responses
 
@@ -52,7 +52,8 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 def tokens_of(df: DataFrame, tokens: str) -> DataFrame:
-    return df.select("row_id", F.posexplode(tokens).alias("pos", "token"))
+    """(row_id, pos, token). The outer form, because the plain one adds a test that computes the tokens twice."""
+    return df.select("row_id", F.posexplode_outer(tokens).alias("pos", "token")).filter("pos IS NOT NULL")
 
 
 # Sources and sinks
@@ -164,16 +165,16 @@ def mean_over_folds(spark, sf):
 
 
 def tokenize_space(spark, sf):
-    return tokens_of(text.tokenize_space(documents(spark, sf), "tweet", "tokens"), "tokens")
+    return tokens_of(text.tokenize_space(spread(documents(spark, sf)), "tweet", "tokens"), "tokens")
 
 
 def remove_stopwords(spark, sf):
-    rows = text.tokenize_space(documents(spark, sf), "tweet", "tokens")
+    rows = text.tokenize_space(spread(documents(spark, sf)), "tweet", "tokens")
     return tokens_of(text.remove_stopwords(rows, "tokens", "kept"), "kept")
 
 
 def stem_tokens(spark, sf):
-    rows = text.tokenize_space(documents(spark, sf), "tweet", "tokens")
+    rows = text.tokenize_space(spread(documents(spark, sf)), "tweet", "tokens")
     return tokens_of(text.stem_tokens(rows, "tokens", "stems"), "stems")
 
 
@@ -187,7 +188,7 @@ def strip_quotes(spark, sf):
 
 
 def char_wb_ngrams(spark, sf):
-    rows = features.char_wb_ngrams(messages(spark, sf), "tweet", "grams", 3, 7)
+    rows = features.char_wb_ngrams(spread(messages(spark, sf)), "tweet", "grams", 3, 7)
     return rows.select("row_id", F.posexplode("grams").alias("pos", "gram"))
 
 
@@ -238,12 +239,12 @@ def tfidf_transform(spark, sf):
 def text_features(spark, sf):
     """The model's own vectors, summed up per row; they must agree with the TF-IDF table."""
     from pyspark.ml import PipelineModel
-    from pyspark.ml.functions import vector_to_array
 
-    rows = messages(spark, sf)
+    rows = spread(messages(spark, sf))
     vocabulary = features.fit_vocabulary(rows, "row_id", "tweet", 3, 7, 5, 0.6)
     vectors = PipelineModel(model.feature_stages(vocabulary, "tweet", model.FLOW_A.vocabulary_limit)).transform(rows)
-    values = vectors.select("row_id", F.filter(vector_to_array("features"), lambda x: x > 0).alias("values"))
+    sparse = F.from_json(F.to_json(F.struct("features")), "features struct<values: array<double>>")
+    values = vectors.select("row_id", sparse["features"]["values"].alias("values"))
     total = F.aggregate("values", F.lit(0.0), lambda a, x: a + x)
     return values.select("row_id", F.size("values").cast("bigint").alias("n"), F.round(total, 4).alias("total"))
 
@@ -350,7 +351,7 @@ def sample_trials_b(spark, sf):
 
 
 def evaluate_trials(spark, sf):
-    """Settings drawn per source of documents; each is tried on the messages."""
+    """Settings drawn per verdict in the labels; each is tried on the messages."""
     from dataclasses import replace
 
     sources = table(spark, sf, "labels").select(F.col("toxic").cast("bigint").alias("trial_id")).distinct()
