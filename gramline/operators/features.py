@@ -1,18 +1,19 @@
 """Character n-gram TF-IDF as long tables (id, gram, value).
 
-Rows are spread by id once, as text. Everything per row (words, grams, counts, norms) then happens inside that
-partitioning, so the gram table, many times larger than the text, is not shuffled; only per-gram totals, already summed
-inside each task, are.
+A vocabulary is fitted without moving text: each row gives its different grams, and only per-gram totals, summed inside
+each task, are shuffled. For the gram table of the rows themselves, rows are spread by id once, as text; everything per
+row (words, grams, counts, lengths) then happens inside that partitioning, so the gram table, many times larger than the
+text, is not shuffled.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gramline.functions.words import gram_lengths, gram_starts, padded_word, words
+from gramline.functions import words as w
 from gramline.plans.lookup import BROADCAST_BYTES, lookup_join
 from gramline.plans.storage import written
 
@@ -24,27 +25,23 @@ def by_row(df: DataFrame, id: str, partitions: int | None = None) -> DataFrame:
 
 
 def char_wb_ngrams(df: DataFrame, input: str, output: str, lo: int, hi: int) -> DataFrame:
-    from gramline.functions.words import char_wb_ngrams as grams
-
-    return df.withColumn(output, grams(F.col(input), lo, hi))
+    return df.withColumn(output, w.char_wb_ngrams(F.col(input), lo, hi))
 
 
 def term_frequency(
     df: DataFrame, id: str, text: str, lo: int, hi: int, partitions: int | None = None
 ) -> DataFrame:
     """(id, gram, tf): how often each gram occurs in each row. Words are counted first, so a repeated word is cut once."""
-    if not 1 <= lo <= hi:
-        raise ValueError(f"n-gram range {lo}..{hi} is empty")
     word_counts = (
         by_row(df.select(id, text), id, partitions)
-        .select(id, F.explode(words(F.col(text))).alias("word"))
+        .select(id, F.explode(w.words(F.col(text))).alias("word"))
         .groupBy(id, "word")
         .agg(F.count("*").alias("times"))
     )
     cut = (
-        word_counts.select(id, "times", padded_word(F.col("word")).alias("word"))
-        .select(id, "times", "word", F.explode(gram_lengths(F.col("word"), lo, hi)).alias("n"))
-        .select(id, "times", "word", "n", F.explode(gram_starts(F.col("word"), F.col("n"))).alias("i"))
+        word_counts.select(id, "times", w.padded_word(F.col("word")).alias("word"))
+        .select(id, "times", "word", F.explode(w.gram_lengths(F.col("word"), lo, hi)).alias("n"))
+        .select(id, "times", "word", "n", F.explode(w.gram_starts(F.col("word"), F.col("n"))).alias("i"))
         .select(id, "times", F.substring("word", F.col("i"), F.col("n")).alias("gram"))
     )
     return cut.groupBy(id, "gram").agg(F.sum("times").alias("tf"))
@@ -55,6 +52,13 @@ def document_frequency(tf: DataFrame) -> DataFrame:
     return tf.groupBy("gram").agg(F.count("*").alias("df"))
 
 
+def document_frequency_of_text(df: DataFrame, text: str, lo: int, hi: int) -> DataFrame:
+    """`document_frequency` of rows that are one document each, straight from their text."""
+    # The outer form, because the plain one adds a test for emptiness that cuts every row a second time.
+    grams = df.select(F.explode_outer(w.distinct_char_wb_ngrams(F.col(text), lo, hi)).alias("gram"))
+    return grams.filter(F.col("gram").isNotNull()).groupBy("gram").agg(F.count("*").alias("df"))
+
+
 def prune_vocabulary(frequencies: DataFrame, n: int, min_df: int | float, max_df: int | float) -> DataFrame:
     """Grams neither too rare nor too common. Whole numbers are counts of rows, fractions are shares of `n` rows."""
     low = min_df if isinstance(min_df, int) else min_df * n
@@ -78,21 +82,19 @@ class Vocabulary:
 
 
 def fit_vocabulary(
-    df: DataFrame,
-    id: str,
-    text: str,
-    lo: int,
-    hi: int,
-    min_df: int | float,
-    max_df: int | float,
-    partitions: int | None = None,
+    df: DataFrame, text: str, lo: int, hi: int, min_df: int | float, max_df: int | float
 ) -> Vocabulary:
     rows = df.filter(F.col(text).isNotNull())
-    return vocabulary_of(term_frequency(rows, id, text, lo, hi, partitions), rows.count(), lo, hi, min_df, max_df)
+    return _fitted(document_frequency_of_text(rows, text, lo, hi), rows.count(), lo, hi, min_df, max_df)
 
 
 def vocabulary_of(tf: DataFrame, n: int, lo: int, hi: int, min_df: int | float, max_df: int | float) -> Vocabulary:
-    kept = prune_vocabulary(document_frequency(tf), n, min_df, max_df)
+    """The vocabulary of `n` rows whose gram table exists already."""
+    return _fitted(document_frequency(tf), n, lo, hi, min_df, max_df)
+
+
+def _fitted(frequencies: DataFrame, n: int, lo: int, hi: int, min_df: int | float, max_df: int | float) -> Vocabulary:
+    kept = prune_vocabulary(frequencies, n, min_df, max_df)
     return Vocabulary(written(inverse_document_frequency(kept, n), "vocabulary"), n, lo, hi)
 
 
@@ -110,8 +112,6 @@ def tfidf_transform(
 
 
 def weigh(tf: DataFrame, vocabulary: Vocabulary, id: str, limit: int = BROADCAST_BYTES) -> DataFrame:
-    from pyspark.sql import Window
-
     known = lookup_join(tf, vocabulary.grams.select("gram", "df", "idf"), ["gram"], weight="df", limit=limit)
     raw = known.select(id, "gram", (F.col("tf") * F.col("idf")).alias("raw"))
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id)))
@@ -129,4 +129,4 @@ def tfidf(
     partitions: int | None = None,
 ) -> DataFrame:
     """Fits a vocabulary on the rows and weighs the same rows with it."""
-    return tfidf_transform(fit_vocabulary(df, id, text, lo, hi, min_df, max_df, partitions), df, id, text, partitions)
+    return tfidf_transform(fit_vocabulary(df, text, lo, hi, min_df, max_df), df, id, text, partitions)

@@ -108,7 +108,7 @@ def fit_text_model(
     The vocabulary is fitted on `scope`, by default the training rows; give all rows to let it see the test rows too.
     """
     vocabulary = fit_vocabulary(
-        train if scope is None else scope, id, text, params.ngram_min, params.ngram_max, params.min_df, params.max_df
+        train if scope is None else scope, text, params.ngram_min, params.ngram_max, params.min_df, params.max_df
     )
     return fit_on_vocabulary(vocabulary, train, params, id, text, label)
 
@@ -166,6 +166,6 @@ def cross_val_accuracy(
     label: str = "target",
 ) -> DataFrame:
     """(accuracy): the mean over stratified folds, with the vocabulary fitted once on all rows."""
-    vocabulary = fit_vocabulary(df, id, text, params.ngram_min, params.ngram_max, params.min_df, params.max_df)
+    vocabulary = fit_vocabulary(df, text, params.ngram_min, params.ngram_max, params.min_df, params.max_df)
     folds = fold_accuracies(df, params, vocabulary, k, parallelism, id, text, label)
     return df.sparkSession.createDataFrame(folds, "fold int, accuracy double").agg(F.avg("accuracy").alias("accuracy"))

@@ -285,6 +285,7 @@ ORACLE_SQL = {
                    GROUP BY row_id)
         SELECT row_id, coalesce(replace(t, '"', ''), '') AS tweet, target FROM rows LEFT JOIN joined USING (row_id)""",
     "term_frequency": f"WITH {_tf(_MESSAGES, 3, 7)} SELECT * FROM tf",
+    "document_frequency_of_text": f"WITH {_tf(_DOCS, 3, 4)} SELECT gram, count(*) AS df FROM tf GROUP BY gram",
     "document_frequency": f"WITH {_tf(_DOCS, 3, 4)} SELECT gram, count(*) AS df FROM tf GROUP BY gram",
     "prune_vocabulary": f"WITH {_vocabulary(_DOCS, 3, 4)} SELECT gram, df FROM vocabulary",
     "inverse_document_frequency": f"""WITH {_vocabulary(_DOCS, 3, 4)}

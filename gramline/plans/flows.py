@@ -13,7 +13,7 @@ from gramline.operators.model import FLOW_A, FLOW_B, Params, fit_text_model, pre
 from gramline.operators.relational import drop_nulls, filter_known_labels, filter_min_class_frequency, n_classes
 from gramline.operators.splits import shuffled_split, stratified_split
 from gramline.operators.text import prepare_text
-from gramline.plans.storage import written
+from gramline.plans.storage import spread, written
 from gramline.sources import registry, tables
 
 # Names of datasets, models and metrics.
@@ -50,7 +50,7 @@ def train_a(split: DataFrame, params: Params = FLOW_A, run_id: str = "a") -> Out
 
 def flow_a(spark: SparkSession, csv: str, root: str, params: Params = FLOW_A) -> Outcome:
     """CSV -> cleaned text -> split -> forest -> logged accuracy -> registered model."""
-    rows = written(tables.with_row_id(tables.read_labelled_csv(spark, csv)), "rows")
+    rows = written(spread(tables.with_row_id(tables.read_labelled_csv(spark, csv))), "rows")
     outcome = train_a(prepare_a(rows), params)
     tables.log_metrics(outcome.metrics, f"{root}/metrics")
     version = registry.next_version(spark, f"{root}/registry", MODEL_A)
@@ -62,7 +62,7 @@ def flow_a(spark: SparkSession, csv: str, root: str, params: Params = FLOW_A) ->
 
 def prepare_b(spark: SparkSession, csv: str, root: str) -> int:
     """Registers the rows with both text and label as a new dataset version."""
-    rows = written(tables.with_row_id(tables.read_labelled_csv(spark, csv)), "rows")
+    rows = written(spread(tables.with_row_id(tables.read_labelled_csv(spark, csv))), "rows")
     prepared = drop_nulls(rows, ["target", "tweet"]).select("row_id", "target", "tweet")
     return tables.register_dataset(prepared, root, PREPARED)
 

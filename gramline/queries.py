@@ -189,7 +189,7 @@ def strip_quotes(spark, sf):
 
 def char_wb_ngrams(spark, sf):
     rows = features.char_wb_ngrams(spread(messages(spark, sf)), "tweet", "grams", 3, 7)
-    return rows.select("row_id", F.posexplode("grams").alias("pos", "gram"))
+    return rows.select("row_id", F.posexplode_outer("grams").alias("pos", "gram")).filter("pos IS NOT NULL")
 
 
 def prepare_text(spark, sf):
@@ -203,6 +203,10 @@ def term_frequency(spark, sf):
     return features.term_frequency(messages(spark, sf), "row_id", "tweet", 3, 7)
 
 
+def document_frequency_of_text(spark, sf):
+    return features.document_frequency_of_text(spread(documents(spark, sf)), "tweet", 3, 4)
+
+
 def document_frequency(spark, sf):
     return features.document_frequency(features.term_frequency(documents(spark, sf), "row_id", "tweet", 3, 4))
 
@@ -220,19 +224,19 @@ def inverse_document_frequency(spark, sf):
 
 
 def tfidf(spark, sf):
-    return rounded(features.tfidf(documents(spark, sf), "row_id", "tweet", 3, 4, 5, 0.6), "tfidf")
+    return rounded(features.tfidf(spread(documents(spark, sf)), "row_id", "tweet", 3, 4, 5, 0.6), "tfidf")
 
 
 def tfidf_range_a(spark, sf):
-    return rounded(features.tfidf(messages(spark, sf), "row_id", "tweet", 3, 7, 5, 0.6), "tfidf")
+    return rounded(features.tfidf(spread(messages(spark, sf)), "row_id", "tweet", 3, 7, 5, 0.6), "tfidf")
 
 
 def tfidf_range_b(spark, sf):
-    return rounded(features.tfidf(messages(spark, sf), "row_id", "tweet", 4, 7, 5, 0.6), "tfidf")
+    return rounded(features.tfidf(spread(messages(spark, sf)), "row_id", "tweet", 4, 7, 5, 0.6), "tfidf")
 
 
 def tfidf_transform(spark, sf):
-    vocabulary = features.fit_vocabulary(documents(spark, sf), "row_id", "tweet", 3, 4, 5, 0.6)
+    vocabulary = features.fit_vocabulary(spread(documents(spark, sf)), "tweet", 3, 4, 5, 0.6)
     return rounded(features.tfidf_transform(vocabulary, messages(spark, sf), "row_id", "tweet"), "tfidf")
 
 
@@ -241,7 +245,7 @@ def text_features(spark, sf):
     from pyspark.ml import PipelineModel
 
     rows = spread(messages(spark, sf))
-    vocabulary = features.fit_vocabulary(rows, "row_id", "tweet", 3, 7, 5, 0.6)
+    vocabulary = features.fit_vocabulary(rows, "tweet", 3, 7, 5, 0.6)
     vectors = PipelineModel(model.feature_stages(vocabulary, "tweet", model.FLOW_A.vocabulary_limit)).transform(rows)
     sparse = F.from_json(F.to_json(F.struct("features")), "features struct<values: array<double>>")
     values = vectors.select("row_id", sparse["features"]["values"].alias("values"))
@@ -273,7 +277,7 @@ def stratified_kfold(spark, sf):
 
 
 def _split_messages(spark, sf) -> DataFrame:
-    rows = relational.filter_min_class_frequency(messages(spark, sf), "target", 20)
+    rows = relational.filter_min_class_frequency(spread(messages(spark, sf)), "target", 20)
     return written(splits.stratified_split(rows, "target", "row_id"), "split")
 
 
@@ -300,15 +304,15 @@ def save_model(spark, sf):
 
 
 def cross_val_accuracy(spark, sf):
-    return model.cross_val_accuracy(messages(spark, sf), TRIAL_SIZE, 3)
+    return model.cross_val_accuracy(spread(messages(spark, sf)), TRIAL_SIZE, 3)
 
 
 def train_a(spark, sf):
-    return flows.train_a(flows.prepare_a(messages(spark, sf)), TRIAL_SIZE).metrics
+    return flows.train_a(flows.prepare_a(spread(messages(spark, sf))), TRIAL_SIZE).metrics
 
 
 def train_b(spark, sf):
-    return flows.train_b(documents(spark, sf), TRIAL_SIZE, 1).metrics
+    return flows.train_b(spread(documents(spark, sf)), TRIAL_SIZE, 1).metrics
 
 
 # Metrics
@@ -357,7 +361,7 @@ def evaluate_trials(spark, sf):
     sources = table(spark, sf, "labels").select(F.col("toxic").cast("bigint").alias("trial_id")).distinct()
     space = {"min_df": ("int", 4, 8), "max_df": ("uniform", 0.4, 0.7), "n_estimators": ("int", 3, 8)}
     trials = search.draw_parameters(sources, "trial_id", space)
-    return search.evaluate_trials(messages(spark, sf), trials, replace(TRIAL_SIZE, max_depth=4), 2)
+    return search.evaluate_trials(spread(messages(spark, sf)), trials, replace(TRIAL_SIZE, max_depth=4), 2)
 
 
 def _reports(spark, sf) -> DataFrame:
@@ -501,7 +505,7 @@ CHECKED_BY_SQL = [
     select_labelled, drop_nulls, filter_min_class_frequency, filter_min_class_frequency_sources, filter_known_labels,
     exclude_rows, class_counts, class_counts_lineitem, n_classes, distinct_labels, mean_over_folds, tokenize_space,
     remove_stopwords, stem_tokens, join_tokens, strip_quotes, char_wb_ngrams, prepare_text, term_frequency,
-    document_frequency, prune_vocabulary, inverse_document_frequency, tfidf, tfidf_range_a, tfidf_range_b,
+    document_frequency, document_frequency_of_text, prune_vocabulary, inverse_document_frequency, tfidf, tfidf_range_a, tfidf_range_b,
     tfidf_transform, text_features, stratified_split, shuffled_split, shuffled_split_lineitem, stratified_kfold,
     accuracy, weighted_precision, weighted_recall, weighted_f1, classification_report, sample_trials_a,
     sample_trials_b, bandit_keep, surviving_runs, best_trial, trial_metrics, register_model, latest_model,

@@ -32,7 +32,7 @@ def _tfidf(texts, lo, hi, min_df, max_df):
 @pytest.mark.parametrize("limit", [lookup.BROADCAST_BYTES, 0])
 def test_tfidf(spark, rows, limit, monkeypatch):
     """Both with a broadcast vocabulary and with one too large for it."""
-    vocabulary = features.fit_vocabulary(rows, "row_id", "tweet", 2, 4, 2, 0.6)
+    vocabulary = features.fit_vocabulary(rows, "tweet", 2, 4, 2, 0.6)
     got = features.tfidf_transform(vocabulary, rows, "row_id", "tweet", limit=limit).collect()
     expected = _tfidf(TEXTS, 2, 4, 2, 0.6)
     assert {(r["row_id"], r["gram"]) for r in got} == set(expected)
@@ -40,7 +40,7 @@ def test_tfidf(spark, rows, limit, monkeypatch):
 
 
 def test_vectors_equal_the_table(spark, rows):
-    vocabulary = features.fit_vocabulary(rows, "row_id", "tweet", 2, 4, 2, 0.6)
+    vocabulary = features.fit_vocabulary(rows, "tweet", 2, 4, 2, 0.6)
     stages = model.feature_stages(vocabulary, "tweet", 1000)
     grams = stages[1].vocabulary
     expected = _tfidf(TEXTS, 2, 4, 2, 0.6)
@@ -51,7 +51,7 @@ def test_vectors_equal_the_table(spark, rows):
 
 
 def test_vocabulary_beyond_the_limit_is_an_error(spark, rows):
-    vocabulary = features.fit_vocabulary(rows, "row_id", "tweet", 2, 4, 1, 1.0)
+    vocabulary = features.fit_vocabulary(rows, "tweet", 2, 4, 1, 1.0)
     with pytest.raises(ValueError, match="grams"):
         model.feature_stages(vocabulary, "tweet", 3)
 
