@@ -248,6 +248,7 @@ _RANKED = f"""SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER
 
 ORACLE_SQL = {
     "read_labelled_csv": "SELECT text AS tweet, lang AS target FROM documents",
+    "read_labelled_csv_cut": "SELECT text AS tweet, lang AS target FROM documents",
     "write_prepared": f"SELECT * FROM ({_JUDGED}) WHERE tweet IS NOT NULL AND target IS NOT NULL",
     "register_dataset": f"SELECT *, 2::INT AS version FROM ({_SOURCES})",
     "read_dataset_version": f"SELECT *, 1::INT AS version FROM ({_DOCS})",

@@ -65,6 +65,12 @@ def read_labelled_csv(spark, sf):
     return tables.read_labelled_csv(spark, path)
 
 
+def read_labelled_csv_cut(spark, sf):
+    path = scratch_path(spark, "csv")
+    tables.write_prepared(documents(spark, sf).select("tweet", "target"), path, "csv")
+    return tables.read_labelled_csv(spark, path, cut=True)
+
+
 def write_prepared(spark, sf):
     path = scratch_path(spark, "prepared")
     tables.write_prepared(messages(spark, sf), path)
@@ -501,7 +507,7 @@ def score_stream_requests(spark, sf):
 
 
 CHECKED_BY_SQL = [
-    read_labelled_csv, write_prepared, register_dataset, read_dataset_version, log_metrics, write_report,
+    read_labelled_csv, read_labelled_csv_cut, write_prepared, register_dataset, read_dataset_version, log_metrics, write_report,
     select_labelled, drop_nulls, filter_min_class_frequency, filter_min_class_frequency_sources, filter_known_labels,
     exclude_rows, class_counts, class_counts_lineitem, n_classes, distinct_labels, mean_over_folds, tokenize_space,
     remove_stopwords, stem_tokens, join_tokens, strip_quotes, char_wb_ngrams, prepare_text, term_frequency,
