@@ -38,18 +38,22 @@ def distinct_labels(df: DataFrame, label: str) -> DataFrame:
     return df.select(label).distinct()
 
 
+def frequent_classes(df: DataFrame, label: str, k: int) -> DataFrame:
+    """(label, n) of the classes with at least k rows, as a written table."""
+    return written(class_counts(df.filter(F.col(label).isNotNull()), label).filter(F.col("n") >= k), "frequent-classes")
+
+
 def filter_min_class_frequency(df: DataFrame, label: str, k: int) -> DataFrame:
     """Rows whose class has at least k rows. Rows without a class are never kept.
 
     Classes are counted with partial sums, never gathered, so a class of any size is fine.
     """
-    frequent = class_counts(df.filter(F.col(label).isNotNull()), label).filter(F.col("n") >= k)
-    return lookup_join(df, written(frequent, "frequent-classes"), [label], "left_semi", weight="n")
+    return lookup_join(df, frequent_classes(df, label, k), [label], "left_semi", weight="n")
 
 
 def filter_known_labels(test: DataFrame, train: DataFrame, label: str) -> DataFrame:
     """Rows of `test` whose class occurs in `train`."""
-    known = class_counts(train.filter(F.col(label).isNotNull()), label)
+    known = class_counts(test, label).join(distinct_labels(train, label), label, "left_semi")
     return lookup_join(test, written(known, "known-classes"), [label], "left_semi", weight="n")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gramline.operators.features import term_frequency, vocabulary_of
 from gramline.operators.metrics import accuracy
 from gramline.operators.model import Params, fit_on_vocabulary, fold_accuracies, predict
-from gramline.operators.relational import filter_min_class_frequency, n_classes
+from gramline.operators.relational import frequent_classes
 from gramline.operators.splits import shuffled_split
 from gramline.plans.lookup import lookup_join
 from gramline.plans.storage import written
@@ -118,14 +118,14 @@ def evaluate_trials(
     grams = written(term_frequency(keyed, "key", text, lo, hi), "grams")
 
     def accuracy_of(params: Params) -> float | None:
-        kept = filter_min_class_frequency(data, label, params.min_class_frequency)
-        known = filter_min_class_frequency(data, label, params.min_class_frequency).select(label).distinct()
+        frequent = frequent_classes(data, label, params.min_class_frequency)
+        kept = lookup_join(data, frequent, [label], "left_semi", weight="n")
         tf = grams_in_range(grams, params.ngram_min, params.ngram_max).withColumn(label, F.col(f"key.{label}"))
-        tf = lookup_join(tf, written(known, "classes"), [label], "left_semi")
+        tf = lookup_join(tf, frequent, [label], "left_semi", weight="n")
         vocabulary = vocabulary_of(
             tf, kept.count(), params.ngram_min, params.ngram_max, params.min_df, params.max_df
         )
-        if vocabulary.grams.isEmpty() or n_classes(kept, label).first()[0] == 0:
+        if vocabulary.grams.isEmpty():
             return None
         if folds:
             scores = fold_accuracies(kept, params, vocabulary, folds, 1, id, text, label)

@@ -31,10 +31,11 @@ def _hash_key(hash: Column) -> Column:
 
 
 def rank_cuts(rows: DataFrame, ranks: DataFrame, low: int, high: int) -> DataFrame:
-    """(class, cuts): for every class, the rows found at the wanted ranks, as an array of structs (cut, at).
+    """(class, cuts, n): for every class, the rows found at the wanted ranks, as an array of structs (cut, at).
 
     `rows` is (class, key, order): `order` a struct that orders the rows of a class totally, `key` a number in
-    [low, high] that agrees with that order. `ranks` is (class, cut, rank) with ranks from 1; `at` is null for rank 0.
+    [low, high] that agrees with that order. `ranks` is (class, cut, rank, n), ranks counting from 1 among the n rows of
+    the class; `at` is null for rank 0.
     """
     shift = max(0, (high - low).bit_length() - RANGE_BITS)
     wanted = ranks.filter("rank > 0").select("class", "cut", "rank", F.lit(0).cast("bigint").alias("range"))
@@ -51,8 +52,8 @@ def rank_cuts(rows: DataFrame, ranks: DataFrame, low: int, high: int) -> DataFra
             .select("class", "cut", (F.col("rank") - F.col("before")).alias("rank"), F.col("finer").alias("range"), "n"),
             "ranges",
         )
-        ranges = wanted.select("class", "range").distinct()
-        inside = lookup_join(rows.withColumn("range", finer), ranges, ["class", "range"], "left_semi")
+        ranges = wanted.groupBy("class", "range").agg(F.max("n").alias("n"))
+        inside = lookup_join(rows.withColumn("range", finer), ranges, ["class", "range"], "left_semi", weight="n")
         largest = wanted.agg(F.max("n")).first()[0] or 0
         if largest <= RANKED_ROWS or shift == 0:
             break
@@ -62,8 +63,8 @@ def rank_cuts(rows: DataFrame, ranks: DataFrame, low: int, high: int) -> DataFra
         "rank", F.row_number().over(Window.partitionBy("class", "range").orderBy("order")).cast("bigint")
     )
     at = wanted.join(ranked, ["class", "range", "rank"]).select("class", "cut", F.col("order").alias("at"))
-    cuts = ranks.select("class", "cut").join(at, ["class", "cut"], "left")
-    return written(cuts.groupBy("class").agg(F.collect_list(F.struct("cut", "at")).alias("cuts")), "cuts")
+    cuts = ranks.select("class", "cut", "n").join(at, ["class", "cut"], "left").groupBy("class")
+    return written(cuts.agg(F.collect_list(F.struct("cut", "at")).alias("cuts"), F.max("n").alias("n")), "cuts")
 
 
 def _passed(cuts: Column, order: Column) -> Column:
@@ -74,7 +75,7 @@ def _passed(cuts: Column, order: Column) -> Column:
 def _placed(df: DataFrame, class_: Column, order: Column, cuts: DataFrame) -> DataFrame:
     """`df` with the number of cuts each row passed, null for rows of a class without cuts."""
     rows = df.withColumn("_class", class_)
-    joined = lookup_join(rows, cuts.withColumnRenamed("class", "_class"), ["_class"], "left")
+    joined = lookup_join(rows, cuts.withColumnRenamed("class", "_class"), ["_class"], "left", weight="n")
     return joined.withColumn("_passed", F.when(F.col("cuts").isNotNull(), _passed(F.col("cuts"), order)))
 
 
@@ -91,7 +92,7 @@ def stratified_split(df: DataFrame, label: str, id: str, frac: float = 0.8, seed
     """
     rows, order = _hashed(df.filter(F.col(label).isNotNull()), F.col(label), id, seed)
     size = F.bround(F.lit(frac) * F.col("n")).cast("bigint")
-    ranks = class_counts(rows, "class").select("class", F.lit(0).alias("cut"), size.alias("rank"))
+    ranks = class_counts(rows, "class").select("class", F.lit(0).alias("cut"), size.alias("rank"), "n")
     cuts = rank_cuts(rows, written(ranks, "ranks"), 0, (1 << _HASH_BITS) - 1)
     placed = _placed(df, F.col(label), order, cuts)
     return placed.withColumn("split", F.when(F.col("_passed") == 0, "train").otherwise("test")).drop(
@@ -104,7 +105,7 @@ def shuffled_split(df: DataFrame, id: str, test_frac: float = 0.2, seed: int = 4
     whole = F.lit("all")
     rows, order = _hashed(df, whole, id, seed)
     size = F.ceil(F.lit(test_frac) * F.col("n")).cast("bigint")
-    ranks = class_counts(rows, "class").select("class", F.lit(0).alias("cut"), size.alias("rank"))
+    ranks = class_counts(rows, "class").select("class", F.lit(0).alias("cut"), size.alias("rank"), "n")
     cuts = rank_cuts(rows, written(ranks, "ranks"), 0, (1 << _HASH_BITS) - 1)
     placed = _placed(df, whole, order, cuts)
     return placed.withColumn("split", F.when(F.col("_passed") == 0, "test").otherwise("train")).drop(
@@ -136,7 +137,7 @@ def stratified_kfold(df: DataFrame, label: str, id: str, k: int = 5) -> DataFram
     ranks = (
         shares.withColumn("rank", F.sum(share).over(upto).cast("bigint"))
         .filter(F.col("fold") < k - 1)
-        .select("class", F.col("fold").alias("cut"), "rank")
+        .select("class", F.col("fold").alias("cut"), "rank", "n")
     )
     cuts = rank_cuts(rows, written(ranks, "ranks"), bounds["low"] or 0, bounds["high"] or 0)
     return _placed(df, F.col(label), order, cuts).withColumnRenamed("_passed", "fold").drop("_class", "cuts")

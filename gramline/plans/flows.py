@@ -35,6 +35,16 @@ def prepare_a(rows: DataFrame) -> DataFrame:
     return written(stratified_split(cleaned, "target", "row_id"), "split")
 
 
+def search_a(split: DataFrame, n_trials: int = 18, parallelism: int = 6, defaults: Params = FLOW_A) -> DataFrame:
+    """Random settings with their mean accuracy over five folds of the training rows, as a written table.
+
+    `search.best_trial(results, "accuracy")` picks the best; `Params.with_trial` takes its settings over.
+    """
+    trials = search.sample_trials(split.sparkSession, search.SPACE_A, n_trials, defaults.seed)
+    train = split.filter("split = 'train'")
+    return written(search.evaluate_trials(train, trials, defaults, parallelism, folds=5), "trials")
+
+
 def train_a(split: DataFrame, params: Params = FLOW_A, run_id: str = "a") -> Outcome:
     """Fits on the frequent classes of the training rows only and scores the test rows of those classes."""
     train = filter_min_class_frequency(split.filter("split = 'train'"), "target", params.min_class_frequency)
@@ -48,9 +58,15 @@ def train_a(split: DataFrame, params: Params = FLOW_A, run_id: str = "a") -> Out
     return Outcome(model, accuracy, predictions)
 
 
-def flow_a(spark: SparkSession, csv: str, root: str, params: Params = FLOW_A) -> Outcome:
+def _rows(spark: SparkSession, csv: str, cut: bool) -> DataFrame:
+    """(row_id, tweet, target). A file read as a whole is one split, so its rows are spread before they are written."""
+    read = tables.read_labelled_csv(spark, csv, cut=cut)
+    return written(tables.with_row_id(read) if cut else spread(tables.with_row_id(read)), "rows")
+
+
+def flow_a(spark: SparkSession, csv: str, root: str, params: Params = FLOW_A, cut: bool = False) -> Outcome:
     """CSV -> cleaned text -> split -> forest -> logged accuracy -> registered model."""
-    rows = written(spread(tables.with_row_id(tables.read_labelled_csv(spark, csv))), "rows")
+    rows = _rows(spark, csv, cut)
     outcome = train_a(prepare_a(rows), params)
     tables.log_metrics(outcome.metrics, f"{root}/metrics")
     version = registry.next_version(spark, f"{root}/registry", MODEL_A)
@@ -60,10 +76,9 @@ def flow_a(spark: SparkSession, csv: str, root: str, params: Params = FLOW_A) ->
     return Outcome(outcome.model, outcome.metrics, outcome.predictions, version)
 
 
-def prepare_b(spark: SparkSession, csv: str, root: str) -> int:
+def prepare_b(spark: SparkSession, csv: str, root: str, cut: bool = False) -> int:
     """Registers the rows with both text and label as a new dataset version."""
-    rows = written(spread(tables.with_row_id(tables.read_labelled_csv(spark, csv))), "rows")
-    prepared = drop_nulls(rows, ["target", "tweet"]).select("row_id", "target", "tweet")
+    prepared = drop_nulls(_rows(spark, csv, cut), ["target", "tweet"]).select("row_id", "target", "tweet")
     return tables.register_dataset(prepared, root, PREPARED)
 
 
@@ -88,10 +103,11 @@ def train_b(rows: DataFrame, params: Params = FLOW_B, dataset_version: int | Non
 
 
 def flow_b(
-    spark: SparkSession, csv: str, root: str, defaults: Params = FLOW_B, n_trials: int = 10, parallelism: int = 4
-) -> Outcome:
+    spark: SparkSession, csv: str, root: str, defaults: Params = FLOW_B, n_trials: int = 10, parallelism: int = 4,
+    cut: bool = False,
+) -> Outcome:
     """CSV -> dataset version -> random search -> best settings -> metrics, report -> registered model."""
-    dataset = prepare_b(spark, csv, root)
+    dataset = prepare_b(spark, csv, root, cut)
     rows = tables.read_dataset(spark, root, PREPARED, dataset).drop("version")
     trials = search.sample_trials(spark, search.SPACE_B, n_trials, defaults.seed)
     results = written(search.evaluate_trials(rows, trials, defaults, parallelism), "trials")

@@ -40,7 +40,7 @@ def lookup_join(
 ) -> DataFrame:
     """Joins `facts` to a written lookup table with unique keys `on`; `how` is inner, left or left_semi.
 
-    `weight` names a column of the table that counts the rows of `facts` per key, where that is known.
+    `weight` names a column of the table that counts the rows of `facts` per key, or stands for that count.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"join type {how} is not a lookup")

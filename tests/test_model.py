@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from gramline.operators import model, scoring
+from gramline.operators import model, scoring, search
 from gramline.plans import flows
 from gramline.sources import registry, tables
 from gramline.streaming.scoring import score_stream, write_responses
@@ -119,13 +119,24 @@ def csv(spark, rows, tmp_path_factory):
 
 
 def test_flow_a(spark, csv, tmp_path):
-    outcome = flows.flow_a(spark, csv, str(tmp_path), SMALL)
+    outcome = flows.flow_a(spark, csv, str(tmp_path), SMALL, cut=True)
     assert outcome.version == 1 and outcome.predictions.count() == 12
     assert tables.read_metrics(spark, f"{tmp_path}/metrics").first()["value"] > 0.7
     newest = registry.latest_model(registry.read_registry(spark, f"{tmp_path}/registry"), flows.MODEL_A).first()
     assert model.classes(tables.load_model(newest["path"])) == ["animal", "tool"]
 
 
+def test_search_a(spark, rows, monkeypatch):
+    space = {"min_df": ("int", 1, 3), "ngram_min": ("int", 2, 4), "ngram_max": ("int", 4, 6), "n_estimators": ("int", 3, 5)}
+    monkeypatch.setattr(flows.search, "SPACE_A", {**space, "min_class_frequency": ("int", 1, 60)})
+    results = flows.search_a(rows.withColumn("split", F.lit("train")), 4, 2, SMALL)
+    scores = {r["min_class_frequency"]: r["accuracy"] for r in results.collect()}
+    assert all((s is None) == (k > 30) for k, s in scores.items()) and len(scores) == 4
+    best = search.best_trial(results, "accuracy").first()
+    assert best["accuracy"] == max(s for s in scores.values() if s is not None) > 0.8
+    assert SMALL.with_trial(best.asDict()).n_estimators == best["n_estimators"]
+
+
 def test_flow_b(spark, csv, tmp_path):
     outcome = flows.flow_b(spark, csv, str(tmp_path), SMALL, n_trials=2, parallelism=2)
     logged = tables.read_metrics(spark, f"{tmp_path}/metrics")
