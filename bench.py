@@ -14,11 +14,12 @@ from pyspark.sql import SparkSession
 from gramline.queries import QUERIES
 
 HEADLINE = [
-    "read_labelled_csv", "register_dataset", "filter_min_class_frequency", "filter_known_labels", "tokenize_space",
-    "remove_stopwords", "stem_tokens", "prepare_text", "char_wb_ngrams", "term_frequency", "document_frequency", "tfidf",
-    "tfidf_range_a", "tfidf_range_b", "tfidf_transform", "text_features", "stratified_split", "shuffled_split",
-    "shuffled_split_lineitem", "stratified_kfold", "classification_report", "bandit_keep", "best_trial", "latest_model",
-    "parse_requests", "rank_scores", "fit_random_forest", "train_a", "train_b", "score_batch", "score_stream_requests",
+    "read_labelled_csv", "read_labelled_csv_cut", "register_dataset", "filter_min_class_frequency",
+    "filter_known_labels", "tokenize_space", "remove_stopwords", "stem_tokens", "prepare_text", "char_wb_ngrams",
+    "term_frequency", "document_frequency", "document_frequency_of_text", "tfidf", "tfidf_range_a", "tfidf_range_b",
+    "tfidf_transform", "text_features", "stratified_split", "shuffled_split", "shuffled_split_lineitem",
+    "stratified_kfold", "classification_report", "bandit_keep", "best_trial", "latest_model", "parse_requests",
+    "rank_scores", "fit_random_forest", "train_a", "train_b", "score_batch", "score_stream_requests",
 ]
 
 
