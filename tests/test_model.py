@@ -129,7 +129,7 @@ def test_flow_a(spark, csv, tmp_path):
 def test_search_a(spark, rows, monkeypatch):
     space = {"min_df": ("int", 1, 3), "ngram_min": ("int", 2, 4), "ngram_max": ("int", 4, 6), "n_estimators": ("int", 3, 5)}
     monkeypatch.setattr(flows.search, "SPACE_A", {**space, "min_class_frequency": ("int", 1, 60)})
-    results = flows.search_a(rows.withColumn("split", F.lit("train")), 4, 2, SMALL)
+    results = flows.search_a(rows.withColumn("split", F.lit("train")), 4, 4, SMALL)
     scores = {r["min_class_frequency"]: r["accuracy"] for r in results.collect()}
     assert all((s is None) == (k > 30) for k, s in scores.items()) and len(scores) == 4
     best = search.best_trial(results, "accuracy").first()
@@ -137,7 +137,8 @@ def test_search_a(spark, rows, monkeypatch):
     assert SMALL.with_trial(best.asDict()).n_estimators == best["n_estimators"]
 
 
-def test_flow_b(spark, csv, tmp_path):
+def test_flow_b(spark, csv, tmp_path, monkeypatch):
+    monkeypatch.setattr(flows.search, "SPACE_B", {**flows.search.SPACE_B, "n_estimators": ("int", 3, 8)})
     outcome = flows.flow_b(spark, csv, str(tmp_path), SMALL, n_trials=2, parallelism=2)
     logged = tables.read_metrics(spark, f"{tmp_path}/metrics")
     assert {r["name"] for r in logged.collect()} == {
