@@ -69,6 +69,14 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np
         first = last
 
 
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte strings from `start` to `end`, A-Z lower-cased: differences of a rolling sum."""
+    powers, inverse = _power_tables(len(data))
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=prefix[1:])
+    return mix64((prefix[end] - prefix[start]) * inverse[start])
+
+
 class Words:
     """Words `[^\\x20\\x09-\\x0D]+` of a run of texts: `start`, `end` (byte positions), `doc` and 64-bit `key` of the
     word with A-Z lower-cased. `first[d]:first[d+1]` are the words of text d."""
@@ -92,10 +100,7 @@ class Words:
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(offsets) - 1), self.count)
         if keys:
-            powers, inverse = _power_tables(len(data))
-            prefix = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=prefix[1:])
-            self.key = mix64((prefix[self.end] - prefix[self.start]) * inverse[self.start])
+            self.key = hashes(data, self.start, self.end)
 
 
 def word_counts(column: pa.Array) -> np.ndarray:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gramline.llm import line_dedup, mixing, near_dup, nearest, shard_tree, token_files
+from gramline.llm import line_dedup, mixing, near_dup, nearest, shard_tree, token_files, toxicity
 from gramline.plans.storage import scratch_path
 
 N_SHARDS = 24
@@ -23,6 +23,24 @@ def op1_line_dedup(spark, sf):
     )
 
 
+def learnable():
+    """Rows whose labels may be learned."""
+    return ~remainder(3, 1)
+
+
+def remainder(divisor: int, value: int):
+    """Whether crc32 of the id as text leaves `value`; false for a null id."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(crc % divisor == value, F.lit(False))
+
+
+def op4_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    tagger = toxicity.fit(docs, table(spark, sf, "labels"), learnable())
+    scored = toxicity.score(docs, tagger)
+    return scored.select("doc_id", remainder(3, 1).alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
+
+
 def op5_token_counts(spark, sf):
     """Documents go to flat token files first; the scan counts what it finds there."""
     path = scratch_path(spark, "token-files")
@@ -59,5 +77,5 @@ def op9_mixing(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op5_token_counts, op6_near_duplicates, op7_shard_tree, op8_exact_top_k, op9_mixing)
+    for f in (op1_line_dedup, op4_toxicity, op5_token_counts, op6_near_duplicates, op7_shard_tree, op8_exact_top_k, op9_mixing)
 }
