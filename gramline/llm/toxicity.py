@@ -28,7 +28,8 @@ BITS = 18
 ROUNDS = 2
 LEAST_STEPS = 200  # of each task in a round, over whole passes
 TASKS = 8
-RATE = 0.5
+RATE = 1.0
+PURITY = 20  # times as frequent in toxic documents as in clean ones, for a word to be labelled
 SPAN_MARGINAL = 0.5
 CHAIN_WORDS = 64
 _VALUES = np.array([1.0, 0.3, 0.3])  # of a word's own feature and of its pairs, which are rarer and teach less
@@ -103,6 +104,10 @@ def _sigmoid(x):
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def _document_features(weights: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return np.stack([np.ones(len(weights)), np.log(weights + 1e-3), np.log1p(lengths)], axis=1)
+
+
 @dataclass
 class Tagger:
     """Weights of hashed features, `bias`, transitions `link`, and the calibration of document scores."""
@@ -110,11 +115,11 @@ class Tagger:
     weights: np.ndarray
     bias: float
     link: np.ndarray
-    scale: tuple[float, float] = (0.0, 1.0)
+    scale: np.ndarray
 
     @classmethod
     def empty(cls) -> Tagger:
-        return cls(np.zeros(1 << BITS), -3.0, np.zeros((2, 2)))
+        return cls(np.zeros(1 << BITS), -3.0, np.zeros((2, 2)), np.array([-4.0, 0.0, 0.0]))
 
     def marginals(self, tokens: Tokens) -> np.ndarray:
         """The probability of the toxic state of each token."""
@@ -126,8 +131,8 @@ class Tagger:
         """Sums of squared marginals: about the number of toxic tokens, however many faint ones a long text has."""
         return np.bincount(tokens.doc, np.square(marginals), n)
 
-    def document_scores(self, weights: np.ndarray) -> np.ndarray:
-        return _sigmoid(self.scale[0] + self.scale[1] * np.log(weights + 1e-3))
+    def document_scores(self, weights: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        return _sigmoid(_document_features(weights, lengths) @ self.scale)
 
     def learn(self, tokens: Tokens, toxic: np.ndarray, squares: list) -> None:
         """One pass of adaptive gradient steps over runs of chains."""
@@ -201,7 +206,7 @@ def _evidence(sample: DataFrame) -> np.ndarray:
     share = n1 / (n1 + n0)
     c = n - t
     ratio = 2 * (t * np.log(t / (n * share)) + np.where(c > 0, c * np.log(np.maximum(c, 1e-9) / (n * (1 - share))), 0))
-    chosen = (t / n1 > 4 * c / n0) & (ratio > 2 * np.log(10 * max(len(t), 1)))
+    chosen = (t / n1 > PURITY * (c + 0.5) / n0) & (ratio > 3 * np.log(10 * max(len(t), 1)))
     return counts["word"].to_numpy(np.int64).view(np.uint64)[chosen]
 
 
@@ -230,10 +235,10 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, most_toxic: int = MOST_
 
         def learn(batches):
             own = shared.value
-            own = Tagger(own.weights.copy(), own.bias, own.link.copy())
+            own = Tagger(own.weights.copy(), own.bias, own.link.copy(), own.scale)
             squares, held = [np.zeros(1 << BITS), 0.0, np.zeros((2, 2))], list(of(batches))
             size = sum(len(toxic) for _, toxic, _ in held)
-            for _ in range(max(2, -(-LEAST_STEPS * _STEP_TOKENS // max(size, _STEP_TOKENS)))):
+            for _ in range(max(3, -(-LEAST_STEPS * _STEP_TOKENS // max(size, _STEP_TOKENS)))):
                 for tokens, toxic, _ in held:
                     own.learn(tokens, toxic, squares)
             if held:
@@ -241,40 +246,39 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, most_toxic: int = MOST_
                 yield pa.RecordBatch.from_arrays([pa.array([parts.tobytes()], pa.binary())], ["weights"])
 
         found = [np.frombuffer(r["weights"], "<f4") for r in columns.mapInArrow(learn, "weights binary").collect()]
-        mean = np.mean(found, axis=0, dtype=float)
-        tagger = Tagger(mean[:-5], float(mean[-5]), mean[-4:].reshape(2, 2))
+        # A weight is averaged over the tasks that met its feature.
+        mean = np.sum(found, axis=0, dtype=float) / np.maximum(np.count_nonzero(found, axis=0), 1)
+        tagger = Tagger(mean[:-5], float(mean[-5]), mean[-4:].reshape(2, 2), tagger.scale)
 
     shared = spark.sparkContext.broadcast(tagger)
 
     def expect(batches):
         for tokens, _, own in of(batches):
             sums = shared.value.document_weights(tokens, shared.value.marginals(tokens), len(own))
-            yield pa.RecordBatch.from_arrays([pa.array(sums), pa.array(own)], ["weight", "toxic"])
+            lengths = np.bincount(tokens.doc, minlength=len(own))
+            yield pa.RecordBatch.from_arrays([pa.array(sums), pa.array(lengths), pa.array(own)], ["weight", "length", "toxic"])
 
-    pairs = columns.mapInArrow(expect, "weight double, toxic long").toPandas()
-    tagger.scale = _calibrated(pairs["weight"].to_numpy(float), pairs["toxic"].to_numpy(float), counts)
+    pairs = columns.mapInArrow(expect, "weight double, length long, toxic long").toPandas()
+    x = _document_features(pairs["weight"].to_numpy(float), pairs["length"].to_numpy(float))
+    tagger.scale = _calibrated(x, pairs["toxic"].to_numpy(float), counts)
     return tagger
 
 
-def _calibrated(weights: np.ndarray, toxic: np.ndarray, counts: dict) -> tuple[float, float]:
-    """Logistic regression of the label on the log of the document's weight, classes weighed as in all labels."""
+def _calibrated(x: np.ndarray, toxic: np.ndarray, counts: dict) -> np.ndarray:
+    """Logistic regression of the label on the document's features, classes weighed as in all labels."""
     if not 0 < toxic.sum() < len(toxic):
-        return -4.0, 0.0
-    x = np.log(weights + 1e-3)
+        return np.array([-4.0, 0.0, 0.0])
     weight = np.where(toxic == 1, counts[1] / toxic.sum(), counts[0] / (len(toxic) - toxic.sum()))
     weight /= weight.sum()
-    a, b = 0.0, 0.5
-    for _ in range(100):  # Newton steps with a small penalty, which bounds the slope on separable data
-        p = _sigmoid(a + b * x)
-        g = np.array([(weight * (p - toxic)).sum(), (weight * (p - toxic) * x).sum() + 1e-3 * b])
-        v = weight * p * (1 - p) + 1e-9
-        h = np.array([[v.sum() + 1e-9, (v * x).sum()], [(v * x).sum(), (v * x * x).sum() + 1e-3]])
-        step = np.linalg.solve(h, g)
-        step *= min(1.0, 2.0 / np.abs(step).max()) if np.abs(step).max() > 0 else 1.0
-        a, b = a - step[0], b - step[1]
+    out, penalty = np.zeros(3), np.diag([1e-9, 1e-3, 1e-3])  # the penalty bounds the slopes on separable data
+    for _ in range(100):
+        p = _sigmoid(x @ out)
+        gradient = x.T @ (weight * (p - toxic)) + penalty @ out
+        step = np.linalg.solve((x.T * (weight * p * (1 - p))) @ x + penalty, gradient)
+        out -= step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-6:
             break
-    return float(a), float(max(b, 0.0))
+    return out
 
 
 def score(docs: DataFrame, tagger: Tagger, threshold: float = THRESHOLD) -> DataFrame:
@@ -297,7 +301,7 @@ def score(docs: DataFrame, tagger: Tagger, threshold: float = THRESHOLD) -> Data
                 n = len(offsets) - 1
                 tokens = Tokens(data, offsets)
                 p = model.marginals(tokens)
-                scores = model.document_scores(model.document_weights(tokens, p, n))
+                scores = model.document_scores(model.document_weights(tokens, p, n), np.bincount(tokens.doc, minlength=n))
                 made = [pa.array(scores), pa.array((scores >= threshold).astype(np.int32)), pa.array(_spans(tokens, p, data, offsets), kind)]
                 part = batch.slice(first, n)
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*names, "score", "predicted", "spans"])
