@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gramline.llm import line_dedup, mixing, near_dup, nearest, shard_tree, token_files, toxicity
+from gramline.llm import line_dedup, maxent, mixing, near_dup, nearest, shard_tree, token_files, toxicity
 from gramline.plans.storage import scratch_path
 
 N_SHARDS = 24
@@ -34,6 +34,13 @@ def remainder(divisor: int, value: int):
     return F.coalesce(crc % divisor == value, F.lit(False))
 
 
+def op3_language_model(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", remainder(7, 2).alias("held_out"))
+    return maxent.score(docs, ~F.col("held_out")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op4_toxicity(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     tagger = toxicity.fit(docs, table(spark, sf, "labels"), learnable())
@@ -77,5 +84,5 @@ def op9_mixing(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op4_toxicity, op5_token_counts, op6_near_duplicates, op7_shard_tree, op8_exact_top_k, op9_mixing)
+    for f in (op1_line_dedup, op3_language_model, op4_toxicity, op5_token_counts, op6_near_duplicates, op7_shard_tree, op8_exact_top_k, op9_mixing)
 }
