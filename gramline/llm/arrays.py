@@ -13,6 +13,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _powers = np.ones(1, np.uint64)
 _inverse_powers = np.ones(1, np.uint64)
@@ -79,9 +81,10 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 class Words:
     """Words `[^\\x20\\x09-\\x0D]+` of a run of texts: `start`, `end` (byte positions), `doc` and 64-bit `key` of the
-    word with A-Z lower-cased. `first[d]:first[d+1]` are the words of text d."""
+    word with A-Z lower-cased. `first[d]:first[d+1]` are the words of text d. `strip` leaves up to three marks of
+    punctuation at each end out of a word, but not its last character."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, keys: bool = True):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, keys: bool = True, strip: bool = False):
         solid = ~_SPACE[data]
         edge = np.zeros(len(data) + 1, np.int8)
         edge[: len(data)] = solid
@@ -99,6 +102,9 @@ class Words:
         self.first = np.searchsorted(self.start, offsets)
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(offsets) - 1), self.count)
+        for _ in range(3 if strip else 0):
+            self.start += _PUNCTUATION[data[self.start]] & (self.end - self.start > 1)
+            self.end -= _PUNCTUATION[data[self.end - 1]] & (self.end - self.start > 1)
         if keys:
             self.key = hashes(data, self.start, self.end)
 

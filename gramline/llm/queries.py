@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gramline.llm import line_dedup, maxent, mixing, near_dup, nearest, shard_tree, token_files, toxicity
+from gramline.llm import decontam, line_dedup, maxent, mixing, near_dup, nearest, shard_tree, token_files, toxicity
 from gramline.plans.storage import scratch_path
 
 N_SHARDS = 24
@@ -82,7 +82,13 @@ def op9_mixing(spark, sf):
     return mix.taken().select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_decontamination(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontam.find_leaks(docs, table(spark, sf, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op3_language_model, op4_toxicity, op5_token_counts, op6_near_duplicates, op7_shard_tree, op8_exact_top_k, op9_mixing)
+    for f in (op1_line_dedup, op3_language_model, op4_toxicity, op5_token_counts, op6_near_duplicates, op7_shard_tree, op8_exact_top_k, op9_mixing, op10_decontamination)
 }

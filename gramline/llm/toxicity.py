@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gramline.llm.arrays import Words, hashes, mix64, plain_strings, slices
+from gramline.llm.arrays import Words, mix64, plain_strings, slices
 from gramline.plans.storage import written
 
 MOST_TOXIC = 3000
@@ -36,8 +36,6 @@ _VALUES = np.array([1.0, 0.3, 0.3])  # of a word's own feature and of its pairs,
 _STEP_TOKENS = 1 << 12
 _LEFT, _RIGHT = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 _EDGE = np.uint64(0xA0761D6478BD642F)
-_PUNCTUATION = np.zeros(256, bool)
-_PUNCTUATION[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?"]] = True
 
@@ -46,14 +44,12 @@ class Tokens:
     """Words of a run of texts without punctuation at their ends, the features of each, and the chains."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        words = Words(data, offsets, keys=False)
-        self.doc, n = words.doc, len(words.start)
-        start, end = words.start.copy(), words.end.copy()
-        last = _STOP[data[end - 1]] if n else np.zeros(0, bool)
-        for _ in range(3):
-            start += _PUNCTUATION[data[start]] & (end - start > 1)
-            end -= _PUNCTUATION[data[end - 1]] & (end - start > 1)
-        self.start, self.end = start, end
+        words = Words(data, offsets, strip=True)
+        self.doc, self.word, n = words.doc, words.key, len(words.key)
+        start, self.start, self.end = words.start, words.start, words.end
+        # A stop anywhere from the word to the next one ends a chain.
+        stops = np.r_[0, np.cumsum(_STOP[data])]
+        last = stops[np.r_[start[1:], len(data)]] > stops[words.end] if n else np.zeros(0, bool)
         breaks = np.cumsum(data == 10)
         line = breaks[start] if n else np.zeros(0, np.int64)
         new = np.ones(n, bool)
@@ -62,7 +58,6 @@ class Tokens:
         new[(np.arange(n) - np.repeat(begin, np.diff(np.r_[begin, n]))) % CHAIN_WORDS == 0] = True
         self.chain = np.flatnonzero(new)
         self.length = np.diff(np.r_[self.chain, n])
-        self.word = hashes(data, start, end)
         left, right = np.full(n, _EDGE), np.full(n, _EDGE)
         left[1:] = np.where(new[1:], _EDGE, self.word[:-1])
         right[:-1] = np.where(new[1:], _EDGE, self.word[1:])
