@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gramline.llm import decontam, line_dedup, maxent, mixing, near_dup, nearest, shard_tree, token_files, toxicity
+from gramline.llm import decontam, line_dedup, maxent, mixing, near_dup, nearest, repeats, shard_tree, token_files, toxicity
 from gramline.plans.storage import scratch_path
 
 N_SHARDS = 24
@@ -23,6 +23,11 @@ def op1_line_dedup(spark, sf):
     )
 
 
+def op2_repeated_bytes(spark, sf):
+    cut = repeats.remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def learnable():
     """Rows whose labels may be learned."""
     return ~remainder(3, 1)
@@ -90,5 +95,8 @@ def op10_decontamination(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op3_language_model, op4_toxicity, op5_token_counts, op6_near_duplicates, op7_shard_tree, op8_exact_top_k, op9_mixing, op10_decontamination)
-}
+    for f in (
+        op1_line_dedup, op2_repeated_bytes, op3_language_model, op4_toxicity, op5_token_counts, op6_near_duplicates,
+        op7_shard_tree, op8_exact_top_k, op9_mixing, op10_decontamination,
+    )
+}
