@@ -85,7 +85,7 @@ def _slots(spark, sources: pd.DataFrame, block_words: int, shard_words: int, see
     per_range = max(8, -(-n_shards // 4096))
     edges = np.r_[np.arange(0, n_shards, per_range), n_shards]
     rng = np.random.default_rng(seed)
-    by_range = np.array([rng.multinomial(d, np.diff(edges) / n_shards) for d in draws]).reshape(len(draws), -1)
+    by_range = np.array([rng.multinomial(d, np.diff(edges) / n_shards) for d in draws], np.int64).reshape(len(draws), len(edges) - 1)
     first = np.cumsum(by_range, axis=1) - by_range
     rows = [
         (i, int(edges[i]), int(edges[i + 1]), by_range[:, i].tolist(), first[:, i].tolist())

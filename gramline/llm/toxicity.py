@@ -124,7 +124,7 @@ class Tagger:
 
     def document_weights(self, tokens: Tokens, marginals: np.ndarray, n: int) -> np.ndarray:
         """Sums of squared marginals: about the number of toxic tokens, however many faint ones a long text has."""
-        return np.bincount(tokens.doc, np.square(marginals), n)
+        return np.bincount(tokens.doc, np.square(marginals), n).astype(float)
 
     def document_scores(self, weights: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return _sigmoid(_document_features(weights, lengths) @ self.scale)

@@ -95,7 +95,7 @@ def test_toxicity_on_held_out_rows(spark):
 
 
 def test_toxicity_spans_and_edge_cases(spark):
-    rows = [(i, f"Élan fine words here {i}. You utter badword, friend." if i % 3 == 0 else f"fine words here {i}. Good day, friend.") for i in range(90)]
+    rows = [(i, f"Élan fine words here {i}. You utter {'nothing' if i % 3 else 'badword'}, friend.") for i in range(90)]
     labels = spark.createDataFrame([(i, int(i % 3 == 0), None) for i in range(90)] + [(None, 1, "x"), (5, None, "x")], "doc_id long, toxic int, score string")
     docs = spark.createDataFrame([(*r, "own") for r in rows] + [(None, None, None), (7, "", "own"), (7, "\n. ", "own")], "doc_id long, text string, score string")
     tagger = toxicity.fit(docs, labels)
