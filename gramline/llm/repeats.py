@@ -1,8 +1,9 @@
 """Removal of byte strings of a given length that occur more than once in a corpus, with a run-length index.
 
 Equal windows choose equal anchors: the 32-byte gram with the least hash inside a window. Windows with the same anchor
-place form a run, whose bytes are its context. Only contexts whose anchor's hash occurs again can hold a repeat; they
-are gathered by anchor, equal ones once, so every pair of equal windows meets in one index.
+place form a run, whose bytes are its context. Only contexts whose anchor's hash occurs again can hold a repeat:
+equal contexts are repeats as a whole, and the bytes of different ones are gathered by anchor, once each, so that every
+pair of equal windows meets in one index.
 
 The index of some contexts is their run-compressed Burrows-Wheeler transform with the longest common prefixes sampled at
 the run ends only. Matching statistics, the longest match of each position elsewhere, are streamed from the samples in
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gramline.llm.arrays import mix64, plain_strings, slices
-from gramline.plans.storage import scratch_path, written
+from gramline.plans.storage import written
 
 LENGTH = 400
 GRAM = 32
@@ -191,39 +192,47 @@ _SPANS = "array<struct<lo:long,hi:long>>"
 
 
 def _anchors(texts: DataFrame, length: int) -> DataFrame:
-    """(text_key, anchor, start, n): runs of windows of every text."""
+    """(text_key, anchor, start, n, context_key): runs of windows of every text, with a digest of their bytes."""
 
     def run(batches):
         for batch in batches:
             keys, column = batch.column(0), plain_strings(batch.column(1))
             for first, data, offsets in slices(column):
                 rows: list[tuple] = []
+                digests: list[bytes] = []
                 for d in range(len(offsets) - 1):
-                    if offsets[d + 1] - offsets[d] >= length:
-                        rows.append((d, *_runs_of_text(data[offsets[d] : offsets[d + 1]], length)))
+                    own = data[offsets[d] : offsets[d + 1]]
+                    if len(own) >= length:
+                        runs = _runs_of_text(own, length)
+                        rows.append((first + d, *runs))
+                        whole = memoryview(own.tobytes())
+                        ends = runs[0] + runs[1] + length - 1
+                        digests += [_digest(whole[x:y]) for x, y in zip(runs[0].tolist(), ends.tolist(), strict=True)]
                 if rows:
-                    owner = np.repeat([first + r[0] for r in rows], [len(r[1]) for r in rows])
+                    owner = np.repeat([r[0] for r in rows], [len(r[1]) for r in rows])
                     start, n, h = (np.concatenate([r[i] for r in rows]) for i in (1, 2, 3))
                     yield pa.RecordBatch.from_arrays(
-                        [keys.take(pa.array(owner)), pa.array(h.view(np.int64)), pa.array(start), pa.array(n)],
-                        ["text_key", "anchor", "start", "n"],
+                        [keys.take(pa.array(owner)), pa.array(h.view(np.int64)), pa.array(start), pa.array(n), pa.array(digests, pa.binary())],
+                        ["text_key", "anchor", "start", "n", "context_key"],
                     )
 
-    return texts.mapInArrow(run, "text_key binary, anchor long, start long, n long")
+    return texts.mapInArrow(run, "text_key binary, anchor long, start long, n long, context_key binary")
+
+
+_GROUPS = "anchor long, context_key binary, times long, n long, context binary"
 
 
 def _contexts(wanted: DataFrame, length: int) -> DataFrame:
-    """(text_key, anchor, start, n, context_key, context) of (text_key, text, runs)."""
+    """(anchor, context_key, times, n, context) of (text, runs)."""
 
     def run(batches):
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1)
             rows, size = [], 0
-            for key, text, runs in zip(keys, texts, batch.column(2), strict=True):
+            for text, runs in zip(batch.column(0), batch.column(1), strict=True):
                 data = (text.as_py() or "").encode()
                 for r in runs.as_py():
                     context = data[r["start"] : r["start"] + r["n"] + length - 1]
-                    rows.append((key, r["anchor"], r["start"], r["n"], _digest(context), context))
+                    rows.append((r["anchor"], r["context_key"], r["times"], r["n"], context))
                     size += len(context)
                 if size > 1 << 23:
                     yield _batch(rows)
@@ -232,11 +241,11 @@ def _contexts(wanted: DataFrame, length: int) -> DataFrame:
                 yield _batch(rows)
 
     def _batch(rows):
-        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
         columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, ["text_key", "anchor", "start", "n", "context_key", "context"])
+        return pa.RecordBatch.from_arrays(columns, ["anchor", "context_key", "times", "n", "context"])
 
-    return wanted.mapInArrow(run, "text_key binary, anchor long, start long, n long, context_key binary, context binary")
+    return wanted.mapInArrow(run, _GROUPS)
 
 
 def _indexed(groups: DataFrame, length: int, index_bytes: int) -> DataFrame:
@@ -244,15 +253,15 @@ def _indexed(groups: DataFrame, length: int, index_bytes: int) -> DataFrame:
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("anchor", kind="stable", ignore_index=True)
-        marked: list[np.ndarray] = [np.full(n, t > 1) for n, t in zip(frame["n"], frame["times"], strict=True)]
+        frame = frame.drop_duplicates(["anchor", "context_key"], ignore_index=True)
+        marked: list[np.ndarray] = [np.zeros(n, bool) for n in frame["n"]]
         size = frame["context"].map(len).to_numpy()
         anchors = frame["anchor"].to_numpy()
         begin = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
         end = np.r_[begin[1:], len(frame)]
         batch: list[int] = []
         for i, (a, b) in enumerate(zip(begin, end, strict=True)):
-            if b - a > 1:  # one context alone is known by how often it occurs
-                batch += range(a, b)
+            batch += range(a, b)
             if batch and (i + 1 == len(begin) or size[batch].sum() + size[end[i] : end[i + 1]].sum() > index_bytes):
                 found = repeated_windows([frame["context"][j] for j in batch], [int(frame["n"][j]) for j in batch], length)
                 for j, more in zip(batch, found, strict=True):
@@ -292,7 +301,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, index_bytes: int = IND
     Texts are their UTF-8 bytes; a null text is empty and shorter ones lose nothing. Every row is a document, also rows
     that share an id or a text: copies lose all they have. Columns of `docs` with the new names are replaced.
     """
-    spark = docs.sparkSession
     new = ("n_bytes", "n_removed", "n_spans", "kept", "text_key", "id_key")
     own = docs.drop(*new)
     text = F.coalesce("text", F.lit(""))
@@ -303,33 +311,32 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, index_bytes: int = IND
     copies = written(copies, "text-copies")
 
     anchors = written(_anchors(long_enough.select("text_key", "text"), length), "anchors")
-    again = anchors.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select("anchor")
-    runs = anchors.join(again, "anchor").groupBy("text_key").agg(F.collect_set(F.struct("anchor", "start", "n")).alias("runs"))
-    wanted = copies.select("text_key", "id_key").join(runs, "text_key")
-    # Several rows meet one of `wanted` only if they are copies, whose windows do occur again.
-    texts = long_enough.join(wanted, ["text_key", "id_key"]).select("text_key", "text", "runs")
-    contexts = _contexts(texts, length)
-    path = scratch_path(spark, "contexts")
-    contexts.write.option("compression", "zstd").parquet(path)
-    contexts = spark.read.schema(contexts.schema).parquet(path)
-
-    groups = contexts.groupBy("anchor", "context_key").agg(
-        F.count("*").alias("times"), F.first("n").alias("n"), F.first("context").alias("context")
+    groups = anchors.groupBy("anchor", "context_key").agg(
+        F.count("*").alias("times"), F.first("n").alias("n"), F.min(F.struct("text_key", "start")).alias("place")
     )
-    sizes = contexts.select("anchor", "context_key", F.length("context").alias("bytes")).distinct()
-    sizes = written(sizes.groupBy("anchor").agg(F.sum("bytes").alias("bytes")), "anchor-sizes")
+    groups = written(groups, "context-groups")
+    sizes = groups.groupBy("anchor").agg(F.count("*").alias("different"), F.sum(F.col("n") + length - 1).alias("bytes"))
+    sizes = written(sizes.filter("different > 1"), "anchor-sizes")
     n_shards = max(1, -(-(sizes.agg(F.sum("bytes")).first()[0] or 0) // shard_bytes))
+    open_groups = groups.join(sizes.select("anchor"), "anchor").select("place.*", "anchor", "context_key", "times", "n")
+    runs = open_groups.groupBy("text_key").agg(F.collect_list(F.struct("anchor", "context_key", "times", "n", "start")).alias("runs"))
+    wanted = copies.select("text_key", "id_key").join(runs, "text_key")
+    once = long_enough.dropDuplicates(["text_key", "id_key"])  # by the keys of the join, so it adds no shuffle
+    contexts = _contexts(once.join(wanted, ["text_key", "id_key"]).select("text", "runs"), length)
+
     crowded = sizes.filter(F.col("bytes") > index_bytes).select("anchor")
     shard = F.pmod(F.xxhash64("anchor"), F.lit(n_shards)).alias("shard")
     if crowded.take(1):
-        groups = written(groups, "context-groups")
-        small = groups.join(crowded, "anchor", "left_anti")
-        found = _indexed(small.select(shard, "*"), length, index_bytes)
-        found = found.unionByName(_counted(groups.join(crowded, "anchor"), length))
+        contexts = written(contexts.dropDuplicates(["anchor", "context_key"]), "contexts")
+        found = _indexed(contexts.join(crowded, "anchor", "left_anti").select(shard, "*"), length, index_bytes)
+        found = found.unionByName(_counted(contexts.join(crowded, "anchor"), length))
     else:
-        found = _indexed(groups.select(shard, "*"), length, index_bytes)
-    found = written(found, "context-spans")
-    places = contexts.select("text_key", "anchor", "start", "context_key").join(found, ["anchor", "context_key"])
+        found = _indexed(contexts.select(shard, "*"), length, index_bytes)
+    whole = groups.filter("times > 1").select(
+        "anchor", "context_key", F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("n").alias("hi"))).alias("spans")
+    )
+    found = written(found.unionByName(whole), "context-spans")
+    places = anchors.select("text_key", "anchor", "start", "context_key").join(found, ["anchor", "context_key"])
     span = F.transform("spans", lambda s: F.struct((s["lo"] + F.col("start")).alias("lo"), (s["hi"] + F.col("start") + length - 1).alias("hi")))
     marks = places.select("text_key", F.explode(span).alias("span")).groupBy("text_key").agg(F.collect_set("span").alias("spans"))
     marks = copies.select("text_key", "copies").join(marks, "text_key", "left").filter("copies > 1 OR spans IS NOT NULL")
