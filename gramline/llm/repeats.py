@@ -219,11 +219,11 @@ def _anchors(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, "text_key binary, anchor long, start long, n long, context_key binary")
 
 
-_GROUPS = "anchor long, context_key binary, times long, n long, context binary"
+_GROUPS = "anchor long, context_key binary, times long, n long, crowded boolean, context binary"
 
 
 def _contexts(wanted: DataFrame, length: int) -> DataFrame:
-    """(anchor, context_key, times, n, context) of (text, runs)."""
+    """(anchor, context_key, times, n, crowded, context) of (text, runs)."""
 
     def run(batches):
         for batch in batches:
@@ -232,7 +232,7 @@ def _contexts(wanted: DataFrame, length: int) -> DataFrame:
                 data = (text.as_py() or "").encode()
                 for r in runs.as_py():
                     context = data[r["start"] : r["start"] + r["n"] + length - 1]
-                    rows.append((r["anchor"], r["context_key"], r["times"], r["n"], context))
+                    rows.append((r["anchor"], r["context_key"], r["times"], r["n"], r["crowded"], context))
                     size += len(context)
                 if size > 1 << 23:
                     yield _batch(rows)
@@ -241,9 +241,9 @@ def _contexts(wanted: DataFrame, length: int) -> DataFrame:
                 yield _batch(rows)
 
     def _batch(rows):
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
         columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, ["anchor", "context_key", "times", "n", "context"])
+        return pa.RecordBatch.from_arrays(columns, ["anchor", "context_key", "times", "n", "crowded", "context"])
 
     return wanted.mapInArrow(run, _GROUPS)
 
@@ -318,18 +318,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, index_bytes: int = IND
     sizes = groups.groupBy("anchor").agg(F.count("*").alias("different"), F.sum(F.col("n") + length - 1).alias("bytes"))
     sizes = written(sizes.filter("different > 1"), "anchor-sizes")
     n_shards = max(1, -(-(sizes.agg(F.sum("bytes")).first()[0] or 0) // shard_bytes))
-    open_groups = groups.join(sizes.select("anchor"), "anchor").select("place.*", "anchor", "context_key", "times", "n")
-    runs = open_groups.groupBy("text_key").agg(F.collect_list(F.struct("anchor", "context_key", "times", "n", "start")).alias("runs"))
+    crowded = F.col("bytes") > index_bytes
+    open_groups = groups.join(sizes.select("anchor", crowded.alias("crowded")), "anchor").select(
+        "place.*", "anchor", "context_key", "times", "n", "crowded"
+    )
+    run = F.struct("anchor", "context_key", "times", "n", "crowded", "start")
+    runs = open_groups.groupBy("text_key").agg(F.collect_list(run).alias("runs"))
     wanted = copies.select("text_key", "id_key").join(runs, "text_key")
     once = long_enough.dropDuplicates(["text_key", "id_key"])  # by the keys of the join, so it adds no shuffle
     contexts = _contexts(once.join(wanted, ["text_key", "id_key"]).select("text", "runs"), length)
 
-    crowded = sizes.filter(F.col("bytes") > index_bytes).select("anchor")
     shard = F.pmod(F.xxhash64("anchor"), F.lit(n_shards)).alias("shard")
-    if crowded.take(1):
-        contexts = written(contexts.dropDuplicates(["anchor", "context_key"]), "contexts")
-        found = _indexed(contexts.join(crowded, "anchor", "left_anti").select(shard, "*"), length, index_bytes)
-        found = found.unionByName(_counted(contexts.join(crowded, "anchor"), length))
+    if sizes.filter(crowded).take(1):
+        contexts = written(contexts, "contexts")
+        found = _indexed(contexts.filter("NOT crowded").select(shard, "*"), length, index_bytes)
+        found = found.unionByName(_counted(contexts.filter("crowded"), length))
     else:
         found = _indexed(contexts.select(shard, "*"), length, index_bytes)
     whole = groups.filter("times > 1").select(
