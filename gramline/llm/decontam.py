@@ -189,6 +189,8 @@ class ItemIndex:
             origin = np.concatenate([np.full(len(p[0]), i) for i, p in enumerate(parts)])
             row, start = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
             pairs = self.candidates(n, matrix)
+            if not len(pairs):
+                continue
             k = edits_allowed(n)
             order = np.lexsort((start[pairs[:, 0]], row[pairs[:, 0]], pairs[:, 1]))
             pairs = pairs[order]
