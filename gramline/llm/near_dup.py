@@ -6,8 +6,10 @@ coordinates propose pairs; with 24 bands a pair at similarity 0.8 is missed with
 0.85 with 2e-8. Pairs are confirmed on the full shingle sets.
 
 Texts with the same words are one class from the start. A bucket of m classes is not turned into m^2 pairs: all members
-are tried against two pivots, links are joined into components, and only pairs of members that still lie in different
-components are tried after that, so no link between components is lost.
+are tried against two pivots, and links are joined into components. Members that share a bucket but lie in different
+components after that are compared by their whole signatures, in blocks of bounded size inside the tasks; only pairs
+whose signatures agree within five standard deviations of the bound (1 in a million fall below) are written out and
+confirmed, so no link between components is lost but for those.
 """
 
 from __future__ import annotations
@@ -84,7 +86,9 @@ def _bands(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-_SIGNED = "ref binary, doc_id long, words_key binary, n_shingles long, bands array<long>"
+BLOCK_MEMBERS = 1000
+SHARD_MEMBERS = 20_000
+_SIGNED = "ref binary, doc_id long, words_key binary, n_shingles long, bands array<long>, signature binary"
 
 
 def _sign(batches, n: int, bands: int, rows: int):
@@ -96,19 +100,19 @@ def _sign(batches, n: int, bands: int, rows: int):
             count = np.bincount(owner, minlength=size)
             full = np.flatnonzero(count)
             starts = (np.cumsum(count) - count)[full]
-            keys = [None] * size
+            keys, signatures = [None] * size, [None] * size
             if len(full):
-                made = _bands(circulant_signature(value, starts, bands * rows), bands, rows)
-                for i, key in zip(full, made, strict=True):
-                    keys[i] = key
+                signature = circulant_signature(value, starts, bands * rows)
+                for i, key, own in zip(full, _bands(signature, bands, rows), signature.T, strict=True):
+                    keys[i], signatures[i] = key, own.tobytes()
             digests = []
             for d in range(size):
                 normal = b" ".join(data[offsets[d] : offsets[d + 1]].tobytes().lower().split())
                 digests.append(hashlib.blake2b(normal, digest_size=16).digest() if normal else None)
             yield pa.RecordBatch.from_arrays(
                 [refs.slice(first, size), ids.slice(first, size), pa.array(digests, pa.binary()), pa.array(count),
-                 pa.array(keys, pa.list_(pa.int64()))],
-                ["ref", "doc_id", "words_key", "n_shingles", "bands"],
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(signatures, pa.binary())],
+                ["ref", "doc_id", "words_key", "n_shingles", "bands", "signature"],
             )
 
 
@@ -152,7 +156,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERC
     classes = written(
         rows.filter("words_key IS NOT NULL").groupBy("words_key").agg(
             F.min("doc_id").alias("least_id"), F.min("ref").alias("ref"), F.first("n_shingles").alias("n_shingles"),
-            F.first("bands").alias("bands"),
+            F.first("bands").alias("bands"), F.first("signature").alias("signature"),
         ), "classes",
     )
     members = classes.select(F.explode("bands").alias("band"), F.struct("words_key", "n_shingles").alias("one"))
@@ -174,7 +178,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERC
     links = written(_linked(tried, texts, n, percent), "links")
     roots = components(links, "a", "b")
 
-    rest = _untried(shared, roots, close, pair, tried)
+    rest = _untried(shared, classes, roots, tried, percent)
     if rest is not None:
         more = written(_linked(rest, _texts_of(source, classes, rest), n, percent), "links")
         roots = components(links.unionByName(more), "a", "b")
@@ -182,7 +186,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERC
     named = written(named.withColumn("root", F.coalesce("root", "words_key")), "classes")
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     known = named.select("words_key", "root").join(ids, "root").select("words_key", "component_id")
-    out = rows.drop("bands").join(known, "words_key", "left")
+    out = rows.drop("bands", "signature").join(known, "words_key", "left")
     own = F.when(F.col("words_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
         "ref", "doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept")
@@ -197,13 +201,53 @@ def _texts_of(source: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFr
     return written(found.groupBy("words_key").agg(F.first("text").alias("text")), "pair-texts")
 
 
-def _untried(shared: DataFrame, roots: DataFrame, close, pair, tried: DataFrame) -> DataFrame | None:
-    """Pairs in a common bucket, in different components, that no pivot has tried."""
-    placed = shared.select("band", "one", F.col("one.words_key").alias("node")).join(roots, "node", "left")
-    placed = placed.select("band", "one", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"))
-    left = placed.join(mixed.filter("x != y AND n > 2").select("band"), "band")
-    right = left.select("band", F.col("one").alias("other"), F.col("root").alias("other_root"))
-    both = left.join(right, "band").filter("root < other_root").filter(close("one", "other"))
-    rest = written(both.select(*pair("one", "other")).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+def _untried(shared: DataFrame, classes: DataFrame, roots: DataFrame, tried: DataFrame, percent: int) -> DataFrame | None:
+    """Pairs in a common bucket, in different components, that no pivot has tried and that may be similar enough.
+
+    A bucket of m members is cut into m / BLOCK_MEMBERS blocks, and each pair of blocks is compared in one task.
+    """
+    placed = shared.select("band", "one.words_key", "one.n_shingles", F.col("one.words_key").alias("node")).join(roots, "node", "left")
+    placed = placed.select("band", "words_key", "n_shingles", F.coalesce("root", "node").alias("root"))
+    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("members"))
+    mixed = mixed.filter("x != y AND members > 2").select("band", F.ceil(F.col("members") / BLOCK_MEMBERS).alias("blocks"))
+    left = written(placed.join(mixed, "band"), "mixed-buckets")
+    n_shards = max(1, -(-(left.agg(F.sum("blocks")).first()[0] or 0) // SHARD_MEMBERS))
+    own = F.pmod(F.xxhash64("words_key"), F.col("blocks"))
+    copies = left.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    blocks = copies.select("band", low, high, "own", "words_key", "n_shingles", "root")
+    blocks = blocks.join(classes.select("words_key", "signature"), "words_key")
+    shard = F.pmod(F.xxhash64("band", "low", "high"), F.lit(n_shards)).alias("shard")
+    found = blocks.select(shard, "*").groupBy("shard").applyInPandas(lambda f: _promising(f, percent), "a binary, b binary")
+    rest = written(found.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
     return rest if rest.take(1) else None
+
+
+def _promising(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Pairs of members of different components in each pair of blocks whose signatures agree often enough."""
+    frame = frame.sort_values(["band", "low", "high"], kind="stable", ignore_index=True)
+    place = frame[["band", "low", "high"]].to_numpy(np.int64)
+    begin = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]).any(1)])
+    signature = np.stack([np.frombuffer(x, np.uint32) for x in frame["signature"]])
+    n, keys = frame["n_shingles"].to_numpy(np.int64), frame["words_key"].to_numpy()
+    root = pd.factorize(frame["root"].map(bytes))[0]
+    own, bound = frame["own"].to_numpy(np.int64), percent / 100
+    size = signature.shape[1]
+    least = size * (bound - 5 * np.sqrt(bound * (1 - bound) / size))
+    out = set()
+    for a, b in zip(begin, np.r_[begin[1:], len(frame)], strict=True):
+        for i in range(a, b):
+            # A pair of different blocks is met from the lower one, a pair inside a block from its first member.
+            if place[i, 1] != place[i, 2]:
+                if own[i] != place[i, 1]:
+                    continue
+                others = a + np.flatnonzero(own[a:b] == place[i, 2])
+            else:
+                others = np.arange(i + 1, b)
+            others = others[(root[others] != root[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
+            if len(others):
+                agree = (signature[others] == signature[i]).sum(1)
+                out |= {tuple(sorted((bytes(keys[i]), bytes(keys[j])))) for j in others[agree >= least]}
+    return pd.DataFrame(sorted(out), columns=["a", "b"])
+
+

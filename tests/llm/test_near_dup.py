@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from brute import near_duplicates as plain
 from pyspark.sql import functions as F
 
@@ -18,7 +19,9 @@ def test_same_as_brute_force_on_documents(spark):
     assert _found(near_dup.near_duplicates(docs)) == {i: (n, c, i == c) for i, (n, c) in expected.items()}
 
 
-def test_chains_and_group_of_variants(spark):
+@pytest.mark.parametrize("block", [1000, 7])
+def test_chains_and_group_of_variants(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dup, "BLOCK_MEMBERS", block)
     rng = random.Random(4)
     base = [f"w{i}" for i in range(120)]
     rows = []
