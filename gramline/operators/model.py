@@ -20,12 +20,10 @@ from pyspark.sql import functions as F
 
 from gramline.functions.words import char_wb_ngrams_sql
 from gramline.operators.features import Vocabulary, by_row, fit_vocabulary
-from gramline.operators.relational import n_classes
 from gramline.operators.splits import stratified_kfold
 from gramline.plans.storage import written
 
 MAX_TREE_DEPTH = 30  # the deepest tree Spark grows; stands for "no limit"
-MAX_CLASSES = 10_000
 
 
 @dataclass(frozen=True)
@@ -93,8 +91,6 @@ def vectorise(stages: list, df: DataFrame, label: str, id: str, *keep: str) -> t
     Label numbers follow the class names in ascending order. Rows are spread by id while they are still text.
     """
     rows = df.filter(F.col(label).isNotNull())
-    if n_classes(rows, label).first()[0] > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(rows.select(label))
     featured = PipelineModel(stages).transform(by_row(rows, id)).select(label, "features", *keep)
     return written(indexer.transform(featured).select("label", "features", *keep), "vectors"), indexer.labels

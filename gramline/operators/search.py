@@ -76,8 +76,9 @@ def surviving_runs(reports: DataFrame, interval: int = 3, slack: float = 0.05) -
 
 
 def best_trial(results: DataFrame, metric: str, id: str = "trial_id") -> DataFrame:
-    """The row with the highest metric; of equal ones, that with the lowest id. A partial maximum, no sort."""
-    scored = results.filter(F.col(metric).isNotNull())
+    """The row with the highest metric; of equal ones, that with the lowest id. Null and NaN never win. A partial
+    maximum, no sort."""
+    scored = results.filter(F.col(metric).isNotNull() & ~F.isnan(F.col(metric).cast("double")))
     rank = F.struct(F.col(metric), -F.col(id))
     return scored.agg(F.max_by(F.struct(*results.columns), rank).alias("best")).filter("best is not null").select("best.*")
 
@@ -101,24 +102,22 @@ def evaluate_trials(
     id: str = "row_id",
     text: str = "tweet",
     label: str = "target",
-    max_trials: int = 1000,
 ) -> DataFrame:
-    """The trials with their `accuracy`, over `folds` stratified folds or, without folds, on a held-out fifth.
+    """The trials with their `accuracy` and, where there is none, the `reason`; over `folds` stratified folds or, without folds, on a held-out fifth.
 
     The rows' grams are counted once, for the widest range any trial asks for, and every trial takes its vocabulary
-    from that table. Trials run as concurrent Spark jobs. A trial that leaves no class or no vocabulary has no accuracy.
+    from that table. Trials run as concurrent Spark jobs. A trial that leaves no class or no vocabulary, or fails,
+    has no accuracy; the others go on. Classes are counted before rows without text are left out.
     """
-    rows = trials.limit(max_trials + 1).collect()
-    if len(rows) > max_trials:
-        raise ValueError(f"more than {max_trials} trials")
-    settings = {row["trial_id"]: defaults.with_trial(row.asDict()) for row in rows}
+    settings = {row["trial_id"]: defaults.with_trial(row.asDict()) for row in trials.collect()}
     lo, hi = min(p.ngram_min for p in settings.values()), max(p.ngram_max for p in settings.values())
-    data = df.select(id, text, label).filter(F.col(text).isNotNull())
+    labelled = df.select(id, text, label)
+    data = labelled.filter(F.col(text).isNotNull())
     keyed = data.select(F.struct(id, label).alias("key"), text)
     grams = written(term_frequency(keyed, "key", text, lo, hi), "grams")
 
     def accuracy_of(params: Params) -> float | None:
-        frequent = frequent_classes(data, label, params.min_class_frequency)
+        frequent = frequent_classes(labelled, label, params.min_class_frequency)
         kept = lookup_join(data, frequent, [label], "left_semi", weight="n")
         tf = grams_in_range(grams, params.ngram_min, params.ngram_max).withColumn(label, F.col(f"key.{label}"))
         tf = lookup_join(tf, frequent, [label], "left_semi", weight="n")
@@ -128,16 +127,23 @@ def evaluate_trials(
         if vocabulary.grams.isEmpty():
             return None
         if folds:
-            scores = fold_accuracies(kept, params, vocabulary, folds, 1, id, text, label)
-            return sum(a for _, a in scores) / folds
+            scores = [a for _, a in fold_accuracies(kept, params, vocabulary, folds, 1, id, text, label) if a is not None]
+            return sum(scores) / len(scores) if scores else None
         split = written(shuffled_split(kept, id, seed=params.seed), "split")
         train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
         model = fit_on_vocabulary(vocabulary, train, params, id, text, label)
         return accuracy(predict(model, test), label, "predicted").first()[0]
 
+    def tried(trial_id: int) -> tuple[int, float | None, str | None]:
+        try:
+            found = accuracy_of(settings[trial_id])
+        except Exception as e:  # one trial's settings must not end the search
+            return trial_id, None, f"{type(e).__name__}: {e}"[:1000]
+        return trial_id, found, None if found is not None else "no class, vocabulary or test row is left"
+
     with ThreadPoolExecutor(parallelism) as pool:
-        scores = dict(zip(settings, pool.map(accuracy_of, settings.values())))
-    results = df.sparkSession.createDataFrame(list(scores.items()), "trial_id bigint, accuracy double")
+        scores = list(pool.map(tried, settings))
+    results = df.sparkSession.createDataFrame(scores, "trial_id bigint, accuracy double, reason string")
     return trials.join(F.broadcast(results), "trial_id")
 
 

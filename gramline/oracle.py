@@ -18,7 +18,10 @@ _STOP = ", ".join("'" + word.replace("'", "''") + "'" for word in STOP_WORDS.spl
 
 _DOCS = "SELECT doc_id AS row_id, text AS tweet, lang AS target FROM documents"
 _SOURCES = "SELECT doc_id AS row_id, text AS tweet, source AS target FROM documents"
-_MESSAGES = "SELECT conv_id * 1000 + turn AS row_id, text AS tweet, role AS target FROM conversations"
+_MESSAGES = (
+    "SELECT conv_id * (SELECT max(turn) + 1 FROM conversations) + turn AS row_id, text AS tweet, role AS target "
+    "FROM conversations"
+)
 _JUDGED = """SELECT doc_id AS row_id, text AS tweet, CAST(quality AS VARCHAR) AS target
              FROM documents LEFT JOIN labels USING (doc_id)"""
 _GUESSES = """SELECT a.doc_id AS row_id, a.lang AS target, b.lang AS predicted
@@ -322,9 +325,9 @@ ORACLE_SQL = {
         {_int("min_class_frequency", 1, 50)} FROM {_RUNS}""",
     "bandit_keep": f"""SELECT *, metric >= best - 0.05::DOUBLE AS keep FROM (SELECT run_id, step, metric,
         max(metric) OVER (PARTITION BY step) AS best FROM ({_REPORTS}) WHERE step % 3 = 0)""",
-    "surviving_runs": f"""SELECT run_id FROM (SELECT run_id, step % 9 = 0 AS due, metric,
+    "surviving_runs": f"""SELECT run_id FROM (SELECT run_id, step % 20 = 0 AS due, metric,
         max(metric) OVER (PARTITION BY step) AS best FROM ({_REPORTS}))
-        GROUP BY run_id HAVING count(*) FILTER (due AND metric < best - 50.0::DOUBLE) = 0""",
+        GROUP BY run_id HAVING count(*) FILTER (due AND metric < best - 200.0::DOUBLE) = 0""",
     "best_trial": f"SELECT * FROM ({_RESULTS}) ORDER BY accuracy DESC, trial_id LIMIT 1",
     "trial_metrics": f"""SELECT 'trial-' || trial_id AS run_id, 0::BIGINT AS step, 'Accuracy' AS name,
         accuracy AS value FROM ({_RESULTS})""",

@@ -111,10 +111,11 @@ def flow_b(
     rows = tables.read_dataset(spark, root, PREPARED, dataset).drop("version")
     trials = search.sample_trials(spark, search.SPACE_B, n_trials, defaults.seed)
     results = written(search.evaluate_trials(rows, trials, defaults, parallelism), "trials")
-    tables.log_metrics(search.trial_metrics(results), f"{root}/metrics")
     best = search.best_trial(results, "accuracy").first()
     if best is None:
         raise ValueError("no trial could be fitted")
+    others = results.filter(F.col("trial_id") != best["trial_id"])  # the best one logs its own, of all metrics
+    tables.log_metrics(search.trial_metrics(others), f"{root}/metrics")
     outcome = train_b(rows, defaults.with_trial(best.asDict()), dataset, f"trial-{best['trial_id']}")
     tables.log_metrics(outcome.metrics, f"{root}/metrics")
     version = registry.next_version(spark, f"{root}/registry", MODEL_B)

@@ -29,7 +29,9 @@ def documents(spark, sf, label: str = "lang") -> DataFrame:
 
 def messages(spark, sf) -> DataFrame:
     """(row_id, tweet, target): conversation turns labelled by role, with a whole-number id."""
-    turns = table(spark, sf, "conversations").withColumn("id", F.col("conv_id") * 1000 + F.col("turn"))
+    turns = table(spark, sf, "conversations")
+    width = (turns.agg(F.max("turn")).first()[0] or 0) + 1
+    turns = turns.withColumn("id", F.col("conv_id") * width + F.col("turn"))
     return relational.select_labelled(turns, "text", "role", "id")
 
 
@@ -382,7 +384,7 @@ def bandit_keep(spark, sf):
 
 
 def surviving_runs(spark, sf):
-    return search.surviving_runs(_reports(spark, sf), 9, 50.0)
+    return search.surviving_runs(_reports(spark, sf), 20, 200.0)
 
 
 def _results(spark, sf) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gramline.sources.tables import claim
+
 REGISTRY = "name string, version int, path string, tags map<string,string>, properties map<string,string>"
 
 
@@ -31,8 +33,8 @@ def register_model(
     tags: dict[str, str] | None = None,
     properties: dict[str, str] | None = None,
 ) -> int:
-    """Appends the next version of a model and returns that version."""
-    version = next_version(spark, registry, name)
+    """Appends the next version of a model and returns that version, which is claimed first: no two writers get the same."""
+    version = claim(spark, f"{registry.rstrip('/')}-claims/{name}", next_version(spark, registry, name))
     row = [(name, version, path, tags or {}, properties or {})]
     spark.createDataFrame(row, REGISTRY).coalesce(1).write.mode("append").parquet(registry)
     return version
@@ -40,7 +42,7 @@ def register_model(
 
 def latest_models(registry: DataFrame) -> DataFrame:
     """The newest version of every name. A partial maximum per name, so a name with many versions is no hot spot."""
-    newest = F.max_by(F.struct(*registry.columns), "version")
+    newest = F.max_by(F.struct(*registry.columns), F.struct("version", "path"))
     return registry.groupBy(F.col("name").alias("_name")).agg(newest.alias("row")).select("row.*")
 
 

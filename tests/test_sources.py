@@ -100,3 +100,17 @@ def test_registry(spark, tmp_path):
     assert registry.register_model(spark, path, "n", "q") == 1
     newest = registry.latest_model(registry.read_registry(spark, path), "m").first()
     assert (newest["version"], newest["path"], newest["tags"]) == (2, "p2", {"label": "target"})
+
+
+def test_failed_write_leaves_the_name_usable(spark, tmp_path):
+    root = str(tmp_path / "data")
+    broken = spark.range(3).selectExpr("raise_error('lost') AS x")
+    with pytest.raises(Exception):
+        tables.register_dataset(broken, root, "d")
+    assert tables.register_dataset(spark.range(3), root, "d") == 1
+    assert tables.read_dataset(spark, root, "d").count() == 3
+
+
+def test_two_writers_get_two_versions(spark, tmp_path):
+    folder = str(tmp_path / "claims")
+    assert [tables.claim(spark, folder, 1) for _ in range(3)] == [1, 2, 3]
