@@ -178,10 +178,13 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERC
     links = written(_linked(tried, texts, n, percent), "links")
     roots = components(links, "a", "b")
 
-    rest = _untried(shared, classes, roots, tried, percent)
-    if rest is not None:
-        more = written(_linked(rest, _texts_of(source, classes, rest), n, percent), "links")
-        roots = components(links.unionByName(more), "a", "b")
+    # First each member's best partner in another component, which joins most of what belongs together; then the rest.
+    for best in (True, False):
+        rest = _untried(shared, classes, roots, tried, percent, best)
+        if rest is not None:
+            more = written(_linked(rest, _texts_of(source, classes, rest), n, percent), "links")
+            links, tried = links.unionByName(more), tried.unionByName(rest)
+            roots = components(links, "a", "b")
     named = classes.select("words_key", "least_id").join(roots.withColumnRenamed("node", "words_key"), "words_key", "left")
     named = written(named.withColumn("root", F.coalesce("root", "words_key")), "classes")
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -201,8 +204,9 @@ def _texts_of(source: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFr
     return written(found.groupBy("words_key").agg(F.first("text").alias("text")), "pair-texts")
 
 
-def _untried(shared: DataFrame, classes: DataFrame, roots: DataFrame, tried: DataFrame, percent: int) -> DataFrame | None:
-    """Pairs in a common bucket, in different components, that no pivot has tried and that may be similar enough.
+def _untried(shared: DataFrame, classes: DataFrame, roots: DataFrame, tried: DataFrame, percent: int, best: bool) -> DataFrame | None:
+    """Pairs in a common bucket, in different components, that were not tried and that may be similar enough; with
+    `best` only the pair of each member that agrees most.
 
     A bucket of m members is cut into m / BLOCK_MEMBERS blocks, and each pair of blocks is compared in one task.
     """
@@ -218,13 +222,14 @@ def _untried(shared: DataFrame, classes: DataFrame, roots: DataFrame, tried: Dat
     blocks = copies.select("band", low, high, "own", "words_key", "n_shingles", "root")
     blocks = blocks.join(classes.select("words_key", "signature"), "words_key")
     shard = F.pmod(F.xxhash64("band", "low", "high"), F.lit(n_shards)).alias("shard")
-    found = blocks.select(shard, "*").groupBy("shard").applyInPandas(lambda f: _promising(f, percent), "a binary, b binary")
+    found = blocks.select(shard, "*").groupBy("shard").applyInPandas(lambda f: _promising(f, percent, best), "a binary, b binary")
     rest = written(found.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
     return rest if rest.take(1) else None
 
 
-def _promising(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs of members of different components in each pair of blocks whose signatures agree often enough."""
+def _promising(frame: pd.DataFrame, percent: int, best: bool) -> pd.DataFrame:
+    """Pairs of members of different components in each pair of blocks whose signatures agree often enough; with `best`
+    one for each member."""
     frame = frame.sort_values(["band", "low", "high"], kind="stable", ignore_index=True)
     place = frame[["band", "low", "high"]].to_numpy(np.int64)
     begin = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]).any(1)])
@@ -239,15 +244,16 @@ def _promising(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
         for i in range(a, b):
             # A pair of different blocks is met from the lower one, a pair inside a block from its first member.
             if place[i, 1] != place[i, 2]:
-                if own[i] != place[i, 1]:
+                if own[i] != place[i, 1] and not best:
                     continue
-                others = a + np.flatnonzero(own[a:b] == place[i, 2])
+                others = a + np.flatnonzero(own[a:b] != own[i])
             else:
-                others = np.arange(i + 1, b)
+                others = np.arange(a if best else i + 1, b)
             others = others[(root[others] != root[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
             if len(others):
                 agree = (signature[others] == signature[i]).sum(1)
-                out |= {tuple(sorted((bytes(keys[i]), bytes(keys[j])))) for j in others[agree >= least]}
+                chosen = others[agree >= max(least, agree.max())][:1] if best else others[agree >= least]
+                out |= {tuple(sorted((bytes(keys[i]), bytes(keys[j])))) for j in chosen}
     return pd.DataFrame(sorted(out), columns=["a", "b"])
 
 
