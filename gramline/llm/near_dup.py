@@ -7,9 +7,10 @@ coordinates propose pairs; with 24 bands a pair at similarity 0.8 is missed with
 
 Texts with the same words are one class from the start. A bucket of m classes is not turned into m^2 pairs: all members
 are tried against two pivots, and links are joined into components. Members that share a bucket but lie in different
-components after that are compared by their whole signatures, in blocks of bounded size inside the tasks; only pairs
-whose signatures agree within five standard deviations of the bound (1 in a million fall below) are written out and
-confirmed, so no link between components is lost but for those.
+components after that are compared by their whole signatures, in blocks of bounded size inside the tasks. Those with a
+partner that agrees within five standard deviations of the bound (1 in a million fall below) are compared by their full
+sets, again in blocks, and a block gives a forest of links in place of all its pairs; no link between components is lost
+but for that one in a million.
 """
 
 from __future__ import annotations
@@ -87,6 +88,7 @@ def _bands(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 BLOCK_MEMBERS = 1000
+BLOCK_SHINGLES = 1 << 20
 SHARD_MEMBERS = 20_000
 _SIGNED = "ref binary, doc_id long, words_key binary, n_shingles long, bands array<long>, signature binary"
 
@@ -174,17 +176,13 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERC
         shared.filter(close("one", "low")).select(*pair("one", "low"))
         .unionByName(shared.filter(close("one", "high")).select(*pair("one", "high"))).distinct(), "pairs",
     )
-    texts = _texts_of(source, classes, tried)
+    texts = _texts_of(source, classes, tried.select(F.explode(F.array("a", "b")).alias("words_key")))
     links = written(_linked(tried, texts, n, percent), "links")
     roots = components(links, "a", "b")
 
-    # First each member's best partner in another component, which joins most of what belongs together; then the rest.
-    for best in (True, False):
-        rest = _untried(shared, classes, roots, tried, percent, best)
-        if rest is not None:
-            more = written(_linked(rest, _texts_of(source, classes, rest), n, percent), "links")
-            links, tried = links.unionByName(more), tried.unionByName(rest)
-            roots = components(links, "a", "b")
+    more = _missed(source, shared, classes, roots, n, percent)
+    if more is not None:
+        roots = components(links.unionByName(more), "a", "b")
     named = classes.select("words_key", "least_id").join(roots.withColumnRenamed("node", "words_key"), "words_key", "left")
     named = written(named.withColumn("root", F.coalesce("root", "words_key")), "classes")
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -196,64 +194,121 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERC
     )
 
 
-def _texts_of(source: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(words_key, text) of one document of every class in the pairs."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("words_key")).distinct()
-    refs = classes.select("words_key", "ref").join(wanted, "words_key")
+def _texts_of(source: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
+    """(words_key, text) of one document of every class in the keys."""
+    refs = classes.select("words_key", "ref").join(keys.distinct(), "words_key")
     found = source.select("ref", "text").join(refs, "ref").select("words_key", "text")
     return written(found.groupBy("words_key").agg(F.first("text").alias("text")), "pair-texts")
 
 
-def _untried(shared: DataFrame, classes: DataFrame, roots: DataFrame, tried: DataFrame, percent: int, best: bool) -> DataFrame | None:
-    """Pairs in a common bucket, in different components, that were not tried and that may be similar enough; with
-    `best` only the pair of each member that agrees most.
+def _missed(source: DataFrame, shared: DataFrame, classes: DataFrame, roots: DataFrame, n: int, percent: int) -> DataFrame | None:
+    """Links (a, b) between classes in a common bucket whose components differ so far; None if there is nothing to try.
 
-    A bucket of m members is cut into m / BLOCK_MEMBERS blocks, and each pair of blocks is compared in one task.
+    A bucket is cut into blocks of at most about BLOCK_MEMBERS members and BLOCK_SHINGLES shingles, and each pair of
+    blocks is one unit of work. Signatures choose the members that may have a link there; those are compared by their
+    full sets, and a unit gives as many links as join its members, never all its pairs.
     """
     placed = shared.select("band", "one.words_key", "one.n_shingles", F.col("one.words_key").alias("node")).join(roots, "node", "left")
     placed = placed.select("band", "words_key", "n_shingles", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("members"))
-    mixed = mixed.filter("x != y AND members > 2").select("band", F.ceil(F.col("members") / BLOCK_MEMBERS).alias("blocks"))
-    left = written(placed.join(mixed, "band"), "mixed-buckets")
+    mixed = placed.groupBy("band").agg(
+        F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("members"), F.sum("n_shingles").alias("shingles")
+    )
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK_MEMBERS, F.col("shingles") / BLOCK_SHINGLES)).alias("blocks")
+    left = written(placed.join(mixed.filter("x != y AND members > 2").select("band", blocks), "band"), "mixed-buckets")
     n_shards = max(1, -(-(left.agg(F.sum("blocks")).first()[0] or 0) // SHARD_MEMBERS))
     own = F.pmod(F.xxhash64("words_key"), F.col("blocks"))
     copies = left.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    blocks = copies.select("band", low, high, "own", "words_key", "n_shingles", "root")
-    blocks = blocks.join(classes.select("words_key", "signature"), "words_key")
+    units = copies.select("band", low, high, "own", "words_key", "n_shingles", "root")
+    units = units.join(classes.select("words_key", "signature", "bands"), "words_key")
     shard = F.pmod(F.xxhash64("band", "low", "high"), F.lit(n_shards)).alias("shard")
-    found = blocks.select(shard, "*").groupBy("shard").applyInPandas(lambda f: _promising(f, percent, best), "a binary, b binary")
-    rest = written(found.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-    return rest if rest.take(1) else None
+    chosen = written(
+        units.select(shard, "*").groupBy("shard").applyInPandas(
+            lambda f: _promising(f, percent), "band long, low long, high long, words_key binary, root binary"
+        ), "promising",
+    )
+    if not chosen.take(1):
+        return None
+
+    @F.pandas_udf("binary")
+    def shingle_set(texts: pd.Series) -> pd.Series:
+        data = [t.encode() for t in texts]
+        return pd.Series([shingles(Words(np.frombuffer(d, np.uint8), np.array([0, len(d)])), n)[1].tobytes() for d in data])
+
+    texts = _texts_of(source, classes, chosen.select("words_key"))
+    sets = written(texts.select("words_key", shingle_set("text").alias("shingles")), "shingle-sets")
+    found = chosen.join(sets, "words_key").groupBy("band", "low", "high").applyInPandas(
+        lambda f: _spanning(f, percent), "a binary, b binary"
+    )
+    return written(found, "links")
 
 
-def _promising(frame: pd.DataFrame, percent: int, best: bool) -> pd.DataFrame:
-    """Pairs of members of different components in each pair of blocks whose signatures agree often enough; with `best`
-    one for each member."""
+def _agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """(row of x, row of y): in how many coordinates two signatures agree."""
+    if len(x) * len(y) < 1 << 12:
+        return (x[:, None, :] == y[None, :, :]).sum(2)
+    out = np.zeros((len(x), len(y)), np.uint16)
+    for left, right in zip(np.ascontiguousarray(x.T), np.ascontiguousarray(y.T), strict=True):
+        out += left[:, None] == right
+    return out
+
+
+def _promising(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """The members of each unit with a partner in it, in another component, whose signature agrees often enough. A pair
+    counts in the first bucket that it shares."""
     frame = frame.sort_values(["band", "low", "high"], kind="stable", ignore_index=True)
     place = frame[["band", "low", "high"]].to_numpy(np.int64)
     begin = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]).any(1)])
     signature = np.stack([np.frombuffer(x, np.uint32) for x in frame["signature"]])
-    n, keys = frame["n_shingles"].to_numpy(np.int64), frame["words_key"].to_numpy()
-    root = pd.factorize(frame["root"].map(bytes))[0]
-    own, bound = frame["own"].to_numpy(np.int64), percent / 100
-    size = signature.shape[1]
+    bands = np.stack(list(frame["bands"]))
+    n, root = frame["n_shingles"].to_numpy(np.int64), pd.factorize(frame["root"].map(bytes))[0]
+    own, bound, size = frame["own"].to_numpy(np.int64), percent / 100, signature.shape[1]
     least = size * (bound - 5 * np.sqrt(bound * (1 - bound) / size))
-    out = set()
+    take = np.zeros(len(frame), bool)
     for a, b in zip(begin, np.r_[begin[1:], len(frame)], strict=True):
-        for i in range(a, b):
-            # A pair of different blocks is met from the lower one, a pair inside a block from its first member.
-            if place[i, 1] != place[i, 2]:
-                if own[i] != place[i, 1] and not best:
-                    continue
-                others = a + np.flatnonzero(own[a:b] != own[i])
-            else:
-                others = np.arange(a if best else i + 1, b)
-            others = others[(root[others] != root[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
-            if len(others):
-                agree = (signature[others] == signature[i]).sum(1)
-                chosen = others[agree >= max(least, agree.max())][:1] if best else others[agree >= least]
-                out |= {tuple(sorted((bytes(keys[i]), bytes(keys[j])))) for j in chosen}
-    return pd.DataFrame(sorted(out), columns=["a", "b"])
-
-
+        band, low, high = place[a]
+        x = a + np.flatnonzero(own[a:b] == low)
+        y = x if low == high else a + np.flatnonzero(own[a:b] == high)
+        few, many = np.minimum(n[x][:, None], n[y]), np.maximum(n[x][:, None], n[y])
+        open_ = (root[x][:, None] != root[y]) & (100 * few >= percent * many)
+        if not open_.any():
+            continue
+        i, j = np.nonzero(open_ & (_agreement(signature[x], signature[y]) >= least))
+        for at in range(0, len(i), 1 << 16):
+            left, right = x[i[at : at + (1 << 16)]], y[j[at : at + (1 << 16)]]
+            first = (bands[left] == bands[right]).argmax(1)
+            here = bands[left, first] == band
+            take[left[here]] = take[right[here]] = True
+    return frame.loc[take, ["band", "low", "high", "words_key", "root"]]
+
+
+def _spanning(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between the members of a unit, decided on full sets, as a forest that joins what the links join."""
+    keys, root = frame["words_key"].to_numpy(), pd.factorize(frame["root"].map(bytes))[0]
+    sets = [np.frombuffer(x, np.uint64) for x in frame["shingles"]]
+    n = np.array([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(len(n)), n)
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = times[code] > 1
+    column, owner = (np.cumsum(times > 1) - 1)[code[common]], owner[common]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    both = np.zeros((len(n), len(n)), np.float32)  # whole numbers below 2^24, so exact
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        lo, hi = np.searchsorted(column, [at, at + 4096])
+        has = np.zeros((len(n), 4096), np.float32)
+        has[owner[lo:hi], column[lo:hi] - at] = 1
+        both += has @ has.T
+    both = both.astype(np.int64)
+    linked = (100 * both >= percent * (n[:, None] + n - both)) & (both > 0) & (root[:, None] != root)
+    seen, out = np.zeros(len(n), bool), []
+    for start in range(len(n)):
+        waiting = [] if seen[start] else [start]
+        seen[start] = True
+        while waiting:
+            at = waiting.pop()
+            new = np.flatnonzero(linked[at] & ~seen)
+            seen[new] = True
+            waiting.extend(new.tolist())
+            out.extend((keys[at], keys[i]) for i in new)
+    return pd.DataFrame(out, columns=["a", "b"])
