@@ -85,15 +85,13 @@ def fit_vocabulary(
     df: DataFrame, text: str, lo: int, hi: int, min_df: int | float, max_df: int | float
 ) -> Vocabulary:
     rows = df.filter(F.col(text).isNotNull())
-    return _fitted(document_frequency_of_text(rows, text, lo, hi), rows.count(), lo, hi, min_df, max_df)
+    return vocabulary_of(document_frequency_of_text(rows, text, lo, hi), rows.count(), lo, hi, min_df, max_df)
 
 
-def vocabulary_of(tf: DataFrame, n: int, lo: int, hi: int, min_df: int | float, max_df: int | float) -> Vocabulary:
-    """The vocabulary of `n` rows whose gram table exists already."""
-    return _fitted(document_frequency(tf), n, lo, hi, min_df, max_df)
-
-
-def _fitted(frequencies: DataFrame, n: int, lo: int, hi: int, min_df: int | float, max_df: int | float) -> Vocabulary:
+def vocabulary_of(
+    frequencies: DataFrame, n: int, lo: int, hi: int, min_df: int | float, max_df: int | float
+) -> Vocabulary:
+    """The vocabulary of `n` rows whose document frequencies (gram, df) are known already."""
     kept = prune_vocabulary(frequencies, n, min_df, max_df)
     return Vocabulary(written(inverse_document_frequency(kept, n), "vocabulary"), n, lo, hi)
 
@@ -105,17 +103,23 @@ def tfidf_transform(
     text: str,
     partitions: int | None = None,
     limit: int = BROADCAST_BYTES,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, gram, tfidf) with rows scaled to length 1. Unknown grams are ignored; a row without known grams has none."""
+    """(id, gram, tfidf) with rows scaled to length 1. Unknown grams are ignored; a row without known grams has none.
+
+    `keep` names further columns of the vocabulary that the rows shall carry.
+    """
     tf = term_frequency(df.filter(F.col(text).isNotNull()), id, text, vocabulary.lo, vocabulary.hi, partitions)
-    return weigh(tf, vocabulary, id, limit)
+    return weigh(tf, vocabulary, id, limit, keep)
 
 
-def weigh(tf: DataFrame, vocabulary: Vocabulary, id: str, limit: int = BROADCAST_BYTES) -> DataFrame:
-    known = lookup_join(tf, vocabulary.grams.select("gram", "df", "idf"), ["gram"], weight="df", limit=limit)
-    raw = known.select(id, "gram", (F.col("tf") * F.col("idf")).alias("raw"))
+def weigh(
+    tf: DataFrame, vocabulary: Vocabulary, id: str, limit: int = BROADCAST_BYTES, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    known = lookup_join(tf, vocabulary.grams.select("gram", "df", "idf", *keep), ["gram"], weight="df", limit=limit)
+    raw = known.select(id, "gram", *keep, (F.col("tf") * F.col("idf")).alias("raw"))
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id)))
-    return raw.select(id, "gram", (F.col("raw") / length).alias("tfidf"))
+    return raw.select(id, "gram", *keep, (F.col("raw") / length).alias("tfidf"))
 
 
 def tfidf(

@@ -1,8 +1,12 @@
-"""Random forests on n-gram TF-IDF, as one Spark ML model from raw text to class probabilities.
+"""Random forests on n-gram TF-IDF, from raw text to class probabilities.
 
-The vocabulary is fitted as a distributed table. A forest keeps thresholds per feature on the driver, so its vocabulary
-must have a bound: `vocabulary_limit` is checked before anything is collected, and a larger vocabulary is an error, never
-cut short.
+A model is a written vocabulary table, a Spark ML forest and the class names. Grams are numbered where they lie, rows get
+their sparse vectors by joining the table, and no gram reaches the driver, so a vocabulary may have any size up to 2^31.
+
+Spark ML holds the fit's rows as dense bins: rows x vocabulary x 4 bytes over the cluster, and 32 thresholds a gram on
+the driver. The vocabulary and its weights are fitted on all rows; `Params.fit_rows` bounds the labelled rows that the
+forest sees, drawn per class by hash, which also bounds its trees. 20,000 rows and a million grams take 80 GB over the
+cluster.
 """
 
 from __future__ import annotations
@@ -10,17 +14,16 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IndexToString, Normalizer, SQLTransformer, StringIndexer
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gramline.functions.words import char_wb_ngrams_sql
-from gramline.operators.features import Vocabulary, by_row, fit_vocabulary
-from gramline.operators.splits import stratified_kfold
+from gramline.operators.features import Vocabulary, fit_vocabulary, tfidf_transform
+from gramline.operators.splits import stratified_kfold, stratified_split
 from gramline.plans.storage import written
 
 MAX_TREE_DEPTH = 30  # the deepest tree Spark grows; stands for "no limit"
@@ -28,7 +31,7 @@ MAX_TREE_DEPTH = 30  # the deepest tree Spark grows; stands for "no limit"
 
 @dataclass(frozen=True)
 class Params:
-    """Settings of one fit. `max_depth` None means as deep as possible."""
+    """Settings of one fit. `max_depth` None means as deep as possible; the forest is fitted on at most about `fit_rows` rows."""
 
     ngram_min: int
     ngram_max: int
@@ -39,7 +42,7 @@ class Params:
     max_depth: int | None = None
     min_samples_split: int = 2
     seed: int = 42
-    vocabulary_limit: int = 1 << 18
+    fit_rows: int = 20_000
 
     def with_trial(self, trial: dict) -> Params:
         return replace(self, **{k: v for k, v in trial.items() if k in self.__dataclass_fields__})
@@ -50,23 +53,74 @@ FLOW_A = Params(ngram_min=3, ngram_max=7, n_estimators=100)
 FLOW_B = Params(ngram_min=4, ngram_max=7, n_estimators=90)
 
 
-def feature_stages(vocabulary: Vocabulary, text: str, limit: int) -> list:
-    """Fitted stages from a text column to `features`, equal to the TF-IDF table of the same vocabulary."""
-    grams = vocabulary.grams
-    size = grams.count()
-    if not 0 < size <= limit:
-        raise ValueError(f"the vocabulary has {size} grams, the forest takes 1 to {limit}: change min_df or the limit")
-    cut = SQLTransformer(
-        statement=f"SELECT *, {char_wb_ngrams_sql(text, vocabulary.lo, vocabulary.hi)} AS _grams FROM __THIS__"
-    )
-    count = CountVectorizer(inputCol="_grams", outputCol="_counts", vocabSize=size, minDF=1.0).fit(
-        grams.select(F.array("gram").alias("_grams"))
-    )
-    idf = {row["gram"]: row["idf"] for row in grams.select("gram", "idf").collect()}  # at most `limit` rows
-    weigh = ElementwiseProduct(
-        scalingVec=Vectors.dense([idf[g] for g in count.vocabulary]), inputCol="_counts", outputCol="_weighted"
+FIT_ROWS_PER_TASK = 2_000
+_VECTOR = T.StructType([T.StructField("v", VectorUDT())])
+
+
+@dataclass(frozen=True)
+class TextModel:
+    """A fitted model: vocabulary with an `index` per gram, its size, the forest, and the class of every label number."""
+
+    vocabulary: Vocabulary
+    size: int
+    forest: RandomForestClassificationModel
+    classes: list[str]
+
+    def save(self, path: str) -> None:
+        """Replaces what is at `path`."""
+        grams, v = self.vocabulary.grams, self.vocabulary
+        grams.write.mode("overwrite").parquet(f"{path}/vocabulary")
+        self.forest.write().overwrite().save(f"{path}/forest")
+        about = [(v.n, v.lo, v.hi, self.size, self.classes)]
+        shape = "n bigint, lo int, hi int, size bigint, classes array<string>"
+        grams.sparkSession.createDataFrame(about, shape).coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
+
+    @staticmethod
+    def load(path: str) -> TextModel:
+        spark = SparkSession.active()
+        about = spark.read.parquet(f"{path}/about").first()
+        vocabulary = Vocabulary(spark.read.parquet(f"{path}/vocabulary"), about["n"], about["lo"], about["hi"])
+        fitted = RandomForestClassificationModel.load(f"{path}/forest")
+        return TextModel(vocabulary, about["size"], fitted, about["classes"])
+
+
+def numbered(vocabulary: Vocabulary) -> tuple[Vocabulary, int]:
+    """The vocabulary with `index`, each gram's place in ascending order, and its size. Nothing is sorted as a whole:
+    ranges of grams are numbered on their own, and the sizes of the ranges, one row each, give where they start."""
+    place = F.monotonically_increasing_id()
+    ranges = vocabulary.grams.repartitionByRange("gram").sortWithinPartitions("gram").withColumn("_place", place)
+    ranges = written(
+        ranges.withColumn("_range", F.shiftright("_place", 33)).withColumn("_place", F.col("_place") % (1 << 33)), "ranges"
     )
-    return [cut, count, weigh, Normalizer(p=2.0, inputCol="_weighted", outputCol="features")]
+    sizes = ranges.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    grams = ranges.join(F.broadcast(starts), "_range").withColumn("index", (F.col("_start") + F.col("_place")).cast("int"))
+    grams = written(grams.drop("_range", "_place", "_start"), "vocabulary")
+    size = grams.count()
+    if not size:
+        raise ValueError("the vocabulary has no grams: change min_df or max_df")
+    return Vocabulary(grams, vocabulary.n, vocabulary.lo, vocabulary.hi), size
+
+
+def _vector(size: int, indices: Column, values: Column) -> Column:
+    """A sparse vector of two arrays. JSON is how SQL makes one without Python; numbers keep all their digits."""
+    parts = F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values"))
+    return F.from_json(F.to_json(F.struct(parts.alias("v"))), _VECTOR)["v"]
+
+
+def features_of(vocabulary: Vocabulary, size: int, df: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, features) of the rows that have known grams: their TF-IDF as sparse vectors over a numbered vocabulary."""
+    weights = tfidf_transform(vocabulary, df.select(id, text), id, text, keep=("index",))
+    entries = weights.groupBy(id).agg(F.sort_array(F.collect_list(F.struct("index", "tfidf"))).alias("_entries"))
+    return entries.select(id, _vector(size, F.col("_entries.index"), F.col("_entries.tfidf")).alias("features"))
+
+
+def with_features(vocabulary: Vocabulary, size: int, df: DataFrame, id: str, text: str) -> DataFrame:
+    """`df` with `features`; a row without known grams, or without text, has an empty vector. Ids are unique."""
+    none = F.array().cast("array<int>"), F.array().cast("array<double>")
+    found = df.join(features_of(vocabulary, size, df, id, text), id, "left")
+    return found.withColumn("features", F.coalesce("features", _vector(size, *none)))
 
 
 def forest(params: Params) -> RandomForestClassifier:
@@ -85,20 +139,35 @@ def forest(params: Params) -> RandomForestClassifier:
     )
 
 
-def vectorise(stages: list, df: DataFrame, label: str, id: str, *keep: str) -> tuple[DataFrame, list[str]]:
+def fit_sample(train: DataFrame, params: Params, id: str, text: str, label: str) -> DataFrame:
+    """At most about `fit_rows` labelled rows, every class in its share, the same ones on any cluster."""
+    rows = train.filter(F.col(label).isNotNull()).select(id, text, label)
+    n = rows.count()
+    if n <= params.fit_rows:
+        return rows
+    drawn = stratified_split(rows, label, id, params.fit_rows / n, params.seed)
+    return drawn.filter("split = 'train'").drop("split")
+
+
+def vectorise(
+    vocabulary: Vocabulary, size: int, df: DataFrame, id: str, text: str, label: str, *keep: str
+) -> tuple[DataFrame, list[str]]:
     """A written table (label, features, kept columns), which the forest reads several times, and the class names.
 
-    Label numbers follow the class names in ascending order. Rows are spread by id while they are still text.
+    Label numbers follow the class names in ascending order. Rows lie in files by their id, ordered, their number given
+    by the rows alone: bootstrap draws go by task, so the same rows and seed give the same forest.
     """
-    rows = df.filter(F.col(label).isNotNull())
+    rows = written(df.filter(F.col(label).isNotNull()).select(id, text, label, *keep), "fit-rows")
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(rows.select(label))
-    featured = PipelineModel(stages).transform(by_row(rows, id)).select(label, "features", *keep)
-    return written(indexer.transform(featured).select("label", "features", *keep), "vectors"), indexer.labels
+    featured = indexer.transform(with_features(vocabulary, size, rows, id, text))
+    tasks = -(-rows.count() // FIT_ROWS_PER_TASK) or 1
+    placed = featured.repartition(tasks, id).sortWithinPartitions(id)
+    return written(placed.select("label", "features", *keep), "vectors"), indexer.labels
 
 
 def fit_text_model(
     train: DataFrame, params: Params, id: str = "row_id", text: str = "tweet", label: str = "target", scope=None
-) -> PipelineModel:
+) -> TextModel:
     """Fits vocabulary and forest and returns them as one model.
 
     The vocabulary is fitted on `scope`, by default the training rows; give all rows to let it see the test rows too.
@@ -112,44 +181,58 @@ def fit_text_model(
 def fit_on_vocabulary(
     vocabulary: Vocabulary, train: DataFrame, params: Params, id: str = "row_id", text: str = "tweet",
     label: str = "target",
-) -> PipelineModel:
-    stages = feature_stages(vocabulary, text, params.vocabulary_limit)
-    vectors, names = vectorise(stages, train, label, id)
-    fitted = forest(params).fit(vectors)
-    named = IndexToString(inputCol="prediction", outputCol="predicted", labels=names)
-    return PipelineModel([*stages, fitted, named])
+) -> TextModel:
+    vocabulary, size = numbered(vocabulary)
+    vectors, names = vectorise(vocabulary, size, fit_sample(train, params, id, text, label), id, text, label)
+    return TextModel(vocabulary, size, forest(params).fit(vectors), names)
+
+
+def classes(model: TextModel) -> list[str]:
+    return model.classes
 
 
-def classes(model: PipelineModel) -> list[str]:
-    return model.stages[-1].getLabels()
+def _scored(model: TextModel, df: DataFrame, text: str) -> DataFrame:
+    """Rows are numbered and written, so that their vectors find them again."""
+    rows = written(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    return model.forest.transform(with_features(model.vocabulary, model.size, rows, "_row", text))
 
 
-_WORKING = ["_grams", "_counts", "_weighted", "features", "rawPrediction"]
+_WORKING = ["_row", "features", "rawPrediction", "probability", "prediction"]
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: TextModel, df: DataFrame, text: str = "tweet") -> DataFrame:
     """Adds `predicted`, the class with the highest mean probability over the trees."""
-    return model.transform(df).drop(*_WORKING, "probability", "prediction")
+    names = F.array(*[F.lit(c) for c in model.classes])
+    return _scored(model, df, text).withColumn("predicted", F.get(names, F.col("prediction").cast("int"))).drop(*_WORKING)
 
 
-def predict_proba(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict_proba(model: TextModel, df: DataFrame, text: str = "tweet") -> DataFrame:
     """Adds `scores`, a map class -> probability."""
-    names = F.array(*[F.lit(c) for c in classes(model)])
+    names = F.array(*[F.lit(c) for c in model.classes])
     scores = F.map_from_arrays(names, vector_to_array("probability"))
-    return model.transform(df).withColumn("scores", scores).drop(*_WORKING, "probability", "prediction", "predicted")
+    return _scored(model, df, text).withColumn("scores", scores).drop(*_WORKING)
 
 
 def fold_accuracies(
     df: DataFrame, params: Params, vocabulary: Vocabulary, k: int = 5, parallelism: int = 2, id: str = "row_id",
     text: str = "tweet", label: str = "target",
 ) -> list[tuple[int, float]]:
-    """(fold, accuracy) of a forest fitted on the other folds. Vectors are made once and shared."""
-    stages = feature_stages(vocabulary, text, params.vocabulary_limit)
+    """(fold, accuracy) of a forest fitted on the other folds, null for an empty one. Vectors are made once and shared.
+
+    Every row is tried; each fold's forest is fitted on at most about `fit_rows` of the others.
+    """
+    vocabulary, size = numbered(vocabulary)
     folded = written(stratified_kfold(df.select(id, text, label), label, id, k), "folds")
-    vectors, _ = vectorise(stages, folded, label, id, "fold")
+    others = folded.filter("fold IS NOT NULL").count() * (k - 1) // k
+    if others > params.fit_rows:
+        folded = stratified_split(folded, label, id, params.fit_rows / others, params.seed)
+        folded = folded.withColumn("drawn", F.col("split") == "train")
+    else:
+        folded = folded.withColumn("drawn", F.lit(True))
+    vectors, _ = vectorise(vocabulary, size, folded, id, text, label, "fold", "drawn")
 
     def of(fold: int) -> tuple[int, float]:
-        fitted = forest(params).fit(vectors.filter(F.col("fold") != fold))
+        fitted = forest(params).fit(vectors.filter((F.col("fold") != fold) & F.col("drawn")))
         held_out = fitted.transform(vectors.filter(F.col("fold") == fold))
         return fold, held_out.agg(F.avg((F.col("label") == F.col("prediction")).cast("int"))).first()[0]
 

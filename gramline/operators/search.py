@@ -7,7 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramline.operators.features import term_frequency, vocabulary_of
+from gramline.functions.words import distinct_char_wb_ngrams
+from gramline.operators.features import vocabulary_of
 from gramline.operators.metrics import accuracy
 from gramline.operators.model import Params, fit_on_vocabulary, fold_accuracies, predict
 from gramline.operators.relational import frequent_classes
@@ -105,24 +106,26 @@ def evaluate_trials(
 ) -> DataFrame:
     """The trials with their `accuracy` and, where there is none, the `reason`; over `folds` stratified folds or, without folds, on a held-out fifth.
 
-    The rows' grams are counted once, for the widest range any trial asks for, and every trial takes its vocabulary
-    from that table. Trials run as concurrent Spark jobs. A trial that leaves no class or no vocabulary, or fails,
+    Rows are counted once per class and gram, for the widest range any trial asks for, summed inside the tasks first;
+    every trial takes its vocabulary from that table. Trials run as concurrent Spark jobs. A trial that leaves no class or no vocabulary, or fails,
     has no accuracy; the others go on. Classes are counted before rows without text are left out.
     """
     settings = {row["trial_id"]: defaults.with_trial(row.asDict()) for row in trials.collect()}
     lo, hi = min(p.ngram_min for p in settings.values()), max(p.ngram_max for p in settings.values())
     labelled = df.select(id, text, label)
     data = labelled.filter(F.col(text).isNotNull())
-    keyed = data.select(F.struct(id, label).alias("key"), text)
-    grams = written(term_frequency(keyed, "key", text, lo, hi), "grams")
+    cut = data.select(label, F.explode_outer(distinct_char_wb_ngrams(F.col(text), lo, hi)).alias("gram"))
+    counted = cut.filter(F.col("gram").isNotNull()).groupBy(label, "gram").agg(F.count("*").alias("df"))
+    grams = written(counted, "class-grams")
 
     def accuracy_of(params: Params) -> float | None:
         frequent = frequent_classes(labelled, label, params.min_class_frequency)
         kept = lookup_join(data, frequent, [label], "left_semi", weight="n")
-        tf = grams_in_range(grams, params.ngram_min, params.ngram_max).withColumn(label, F.col(f"key.{label}"))
-        tf = lookup_join(tf, frequent, [label], "left_semi", weight="n")
+        cut = grams_in_range(grams, params.ngram_min, params.ngram_max)
+        cut = lookup_join(cut, frequent, [label], "left_semi", weight="n")
+        frequencies = cut.groupBy("gram").agg(F.sum("df").alias("df"))
         vocabulary = vocabulary_of(
-            tf, kept.count(), params.ngram_min, params.ngram_max, params.min_df, params.max_df
+            frequencies, kept.count(), params.ngram_min, params.ngram_max, params.min_df, params.max_df
         )
         if vocabulary.grams.isEmpty():
             return None

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gramline.operators import metrics, search
-from gramline.operators.model import FLOW_A, FLOW_B, Params, fit_text_model, predict
+from gramline.operators.model import FLOW_A, FLOW_B, Params, TextModel, fit_text_model, predict
 from gramline.operators.relational import drop_nulls, filter_known_labels, filter_min_class_frequency, n_classes
 from gramline.operators.splits import shuffled_split, stratified_split
 from gramline.operators.text import prepare_text
@@ -23,7 +22,7 @@ ACCURACY_TAG = "Final Test Accuracy"
 
 @dataclass(frozen=True)
 class Outcome:
-    model: PipelineModel
+    model: TextModel
     metrics: DataFrame
     predictions: DataFrame
     version: int | None = None

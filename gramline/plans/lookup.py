@@ -21,7 +21,7 @@ def measured_bytes(df: DataFrame) -> int:
     """Size of a table's values, counted by one aggregation over it."""
     size = F.lit(_ROW_OVERHEAD)
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             size = size + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))

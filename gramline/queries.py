@@ -10,7 +10,7 @@ from gramline.operators import features, metrics, model, relational, scoring, se
 from gramline.plans import flows
 from gramline.plans.storage import scratch_path, spread, written
 from gramline.sources import registry, tables
-from gramline.streaming.scoring import score_stream, write_responses
+from gramline.streaming.scoring import read_responses, score_stream
 
 # Settings of the fits below: small forests, so that a check takes seconds.
 TRIAL_SIZE = model.Params(
@@ -250,11 +250,9 @@ def tfidf_transform(spark, sf):
 
 def text_features(spark, sf):
     """The model's own vectors, summed up per row; they must agree with the TF-IDF table."""
-    from pyspark.ml import PipelineModel
-
     rows = spread(messages(spark, sf))
-    vocabulary = features.fit_vocabulary(rows, "tweet", 3, 7, 5, 0.6)
-    vectors = PipelineModel(model.feature_stages(vocabulary, "tweet", model.FLOW_A.vocabulary_limit)).transform(rows)
+    vocabulary, size = model.numbered(features.fit_vocabulary(rows, "tweet", 3, 7, 5, 0.6))
+    vectors = model.with_features(vocabulary, size, rows, "row_id", "tweet")
     sparse = F.from_json(F.to_json(F.struct("features")), "features struct<values: array<double>>")
     values = vectors.select("row_id", sparse["features"]["values"].alias("values"))
     total = F.aggregate("values", F.lit(0.0), lambda a, x: a + x)
@@ -504,8 +502,8 @@ def score_stream_requests(spark, sf):
     arriving = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf)
     requests = arriving.select("conv_id", "turn", payload.encode_request(F.col("text")).alias("body"))
     path = scratch_path(spark, "responses")
-    write_responses(score_stream(fitted, requests), path, f"{path}-checkpoint", available_now=True).awaitTermination()
-    return spark.read.parquet(path).select("conv_id", "turn", "response")
+    score_stream(fitted, requests, path, f"{path}-checkpoint", available_now=True).awaitTermination()
+    return read_responses(spark, path).select("conv_id", "turn", "response")
 
 
 CHECKED_BY_SQL = [

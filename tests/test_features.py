@@ -2,7 +2,6 @@ import math
 from collections import Counter
 
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 from test_text import _grams
 
@@ -41,19 +40,21 @@ def test_tfidf(spark, rows, limit, monkeypatch):
 
 def test_vectors_equal_the_table(spark, rows):
     vocabulary = features.fit_vocabulary(rows, "tweet", 2, 4, 2, 0.6)
-    stages = model.feature_stages(vocabulary, "tweet", 1000)
-    grams = stages[1].vocabulary
+    vocabulary, size = model.numbered(vocabulary)
+    grams = {r["index"]: r["gram"] for r in vocabulary.grams.collect()}
+    assert sorted(grams) == list(range(size)) and [grams[i] for i in range(size)] == sorted(grams.values())
     expected = _tfidf(TEXTS, 2, 4, 2, 0.6)
-    for row in PipelineModel(stages).transform(rows).select("row_id", "features").collect():
+    featured = model.with_features(vocabulary, size, rows, "row_id", "tweet").collect()
+    assert len(featured) == len(TEXTS)
+    for row in featured:
         got = {grams[i]: x for i, x in zip(row["features"].indices, row["features"].values)}
         want = {g: x for (i, g), x in expected.items() if i == row["row_id"]}
         assert got.keys() == want.keys() and all(math.isclose(got[g], want[g]) for g in got)
 
 
-def test_vocabulary_beyond_the_limit_is_an_error(spark, rows):
-    vocabulary = features.fit_vocabulary(rows, "tweet", 2, 4, 1, 1.0)
+def test_an_empty_vocabulary_is_an_error(spark, rows):
     with pytest.raises(ValueError, match="grams"):
-        model.feature_stages(vocabulary, "tweet", 3)
+        model.numbered(features.fit_vocabulary(rows, "tweet", 2, 4, 100, 1.0))
 
 
 def test_document_frequency_bounds(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from gramline.operators import model, scoring, search
 from gramline.plans import flows
 from gramline.sources import registry, tables
-from gramline.streaming.scoring import score_stream, write_responses
+from gramline.streaming.scoring import read_responses, score_stream
 
 SMALL = model.Params(ngram_min=2, ngram_max=3, n_estimators=5, min_df=2, max_df=0.9, max_depth=4, min_class_frequency=5)
 
@@ -45,6 +45,32 @@ def test_saved_model_scores_the_same(fitted, rows, tmp_path):
     assert key(model.predict_proba(loaded, rows)) == key(model.predict_proba(fitted, rows))
 
 
+def test_same_rows_give_the_same_model_on_any_number_of_partitions(spark, rows):
+    def scores(partitions):
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        try:
+            found = model.predict_proba(model.fit_text_model(rows.repartition(partitions), SMALL), rows)
+            return sorted((r["row_id"], r["scores"]["tool"]) for r in found.collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+    assert scores(4) == scores(7)
+
+
+def test_bound_on_the_rows_of_a_fit(rows):
+    few = model.replace(SMALL, fit_rows=20)
+    assert model.fit_sample(rows, few, "row_id", "tweet", "target").groupBy("target").count().collect() != []
+    assert model.fit_sample(rows, few, "row_id", "tweet", "target").count() == 20
+    assert model.fit_text_model(rows, few).vocabulary.n == 60
+    assert model.cross_val_accuracy(rows, few, 3).first()["accuracy"] > 0.8
+
+
+def test_vocabulary_of_any_size(spark):
+    grams = spark.range(300_000).selectExpr("lpad(id, 8, '0') AS gram", "2L AS df", "1.5D AS idf")
+    vocabulary, size = model.numbered(model.Vocabulary(grams, 10, 8, 8))
+    assert size == 300_000 and vocabulary.grams.filter("index != cast(gram AS int)").isEmpty()
+
+
 def test_cross_validation(rows):
     assert model.cross_val_accuracy(rows, SMALL, 3).first()["accuracy"] > 0.9
 
@@ -105,10 +131,10 @@ def test_stream_answers_like_a_batch(spark, fitted, tmp_path):
     for i, half in enumerate((bodies[:5], bodies[5:])):
         spark.createDataFrame([(b,) for b in half], "body string").write.mode("append").parquet(str(tmp_path / "in"))
     arriving = spark.readStream.schema("body string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    answers = score_stream(fitted, arriving)
-    write_responses(answers, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True).awaitTermination()
+    score_stream(fitted, arriving, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True).awaitTermination()
     batch = scoring.answer_requests(fitted, spark.read.parquet(str(tmp_path / "in")), "body")
-    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(map(tuple, batch.collect()))
+    streamed = read_responses(spark, str(tmp_path / "out"))
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
 
 
 @pytest.fixture(scope="module")
