@@ -58,6 +58,25 @@ def test_cut_and_whole_files_agree(spark, tmp_path):
     assert sorted(map(str, tables.read_labelled_csv(spark, str(tmp_path), cut=True).collect())) == sorted(map(str, whole))
 
 
+@pytest.mark.parametrize("stray", ['5" pipe,A', '5" pipe,A\n6" pipe,A', 'x,"a"b', '"a" ,b'])
+def test_a_stray_quote_is_an_error(spark, tmp_path, stray):
+    (tmp_path / "x.csv").write_text("tweet,target\n" + stray + "\n" + "plain,B\n" * 20)
+    with pytest.raises(Exception, match="a quote"):
+        tables.read_labelled_csv(spark, str(tmp_path), cut=True).collect()
+
+
+def test_columns_go_by_each_files_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("tweet,target\nhello,A\n")
+    (tmp_path / "b.csv").write_text('id,target,"tweet"\n1,B,"good\nbye"\n')
+    got = tables.read_labelled_csv(spark, str(tmp_path), cut=True).collect()
+    assert sorted(map(tuple, got)) == [("good\nbye", "B"), ("hello", "A")]
+    with pytest.raises(Exception):
+        tables.read_labelled_csv(spark, str(tmp_path)).collect()
+    (tmp_path / "c.csv").write_text("text,target\nhello,A\n")
+    with pytest.raises(ValueError, match="no column tweet"):
+        tables.read_labelled_csv(spark, str(tmp_path), cut=True)
+
+
 def test_row_ids(spark):
     ids = [r["row_id"] for r in tables.with_row_id(spark.range(100).repartition(4)).collect()]
     assert len(set(ids)) == 100
