@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from gramline.llm.arrays import Words, mix64, plain_strings, slices
 from gramline.llm.graph import components
+from gramline.plans.lookup import lookup_join
 from gramline.plans.storage import written
 
 SHINGLE_WORDS = 4
@@ -182,7 +183,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERC
 
     more = _missed(source, shared, classes, roots, n, percent)
     if more is not None:
-        roots = components(links.unionByName(more), "a", "b")
+        roots = _merged(roots, more)
     named = classes.select("words_key", "least_id").join(roots.withColumnRenamed("node", "words_key"), "words_key", "left")
     named = written(named.withColumn("root", F.coalesce("root", "words_key")), "classes")
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -194,6 +195,20 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERC
     )
 
 
+def _merged(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """`roots` after further links (a, b): only the roots that these join are walked again, not all links."""
+    at = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root"))
+    ends = more.join(at("a"), "a", "left").join(at("b"), "b", "left")
+    ends = ends.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+    above = written(components(ends, "a", "b"), "merged-roots")
+    sizes = roots.groupBy("root").agg(F.count("*").alias("n"))
+    table = above.select(F.col("node").alias("root"), F.col("root").alias("above")).join(sizes, "root", "left")
+    table = written(table.fillna(1, ["n"]), "merged-sizes")
+    moved = lookup_join(roots.select("node", "root"), table, ["root"], "left", weight="n")
+    alone = above.join(roots.select("node"), "node", "left_anti")
+    return moved.select("node", F.coalesce("above", "root").alias("root")).unionByName(alone.select("node", "root"))
+
+
 def _texts_of(source: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
     """(words_key, text) of one document of every class in the keys."""
     refs = classes.select("words_key", "ref").join(keys.distinct(), "words_key")

@@ -53,3 +53,10 @@ def test_edge_cases(spark):
 def test_long_chain_of_links(spark):
     edges = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r["root"] for r in graph.components(edges, "a", "b").collect()} == {0}
+
+
+def test_further_links_join_components(spark):
+    roots = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "node int, root int")
+    more = spark.createDataFrame([(2, 6), (7, 6), (3, 4)], "a int, b int")
+    got = near_dup._merged(roots, more)
+    assert sorted(map(tuple, got.collect())) == [(1, 1), (2, 1), (3, 3), (4, 3), (5, 1), (6, 1), (7, 1), (8, 8), (9, 8)]
