@@ -9,8 +9,12 @@ key with it, and candidates are verified by the exact distance of the item to th
 Windows are embedded only where a match is possible: an item within k edits keeps all but q*k of its runs of q words,
 so windows that hold fewer runs of the items of their length are passed over. That loses nothing.
 
-Recall at the bound itself, with edits spread at random, is over 0.95 (tests/llm measures it); copies with fewer edits
-are found nearly always, exact ones always.
+Two walks part further the longer the item is, so a fixed number of repetitions finds ever fewer copies. Items that must
+keep at least `COUNTED_LEAST` runs (those of 25 words and more) are therefore not embedded: each one's runs are counted
+where they stand, and every part of a text that holds enough of them is verified. No such copy is lost.
+
+Recall of the shorter ones at the bound itself, with edits spread at random, is over 0.95 (tests/llm measures it);
+copies with fewer edits are found nearly always, exact ones always.
 """
 
 from __future__ import annotations
@@ -27,6 +31,9 @@ EDIT_SHARE = 0.2
 LEAST_WORDS = 5
 REPETITIONS = 32
 SAMPLES = 3
+COUNTED_LEAST = 8
+COUNTED_PAIRS = 1 << 22
+COUNTED_RUN = 3  # run_length() of every item that keeps COUNTED_LEAST runs
 BLOCK_ITEMS = 20_000
 WINDOW_BLOCK = 1 << 14
 _RUN_MIX = [np.uint64(c) for c in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -108,6 +115,9 @@ class ItemIndex:
         lengths = np.array([len(w) for w in self.words], np.int64)
         for n in np.unique(lengths[lengths >= LEAST_WORDS]):
             self.by_length[int(n)] = np.flatnonzero(lengths == n)
+        counted = [n for n in self.by_length if run_length(n)[1] >= COUNTED_LEAST]
+        self.counted = np.sort(np.concatenate([self.by_length.pop(n) for n in counted])) if counted else np.zeros(0, np.int64)
+        self._post()
         self.runs, self.keys = {}, {}
         for n, members in self.by_length.items():
             q, _ = run_length(n)
@@ -125,6 +135,54 @@ class ItemIndex:
         out[: min(n, len(words))] = words[:n]
         return out
 
+    def _post(self) -> None:
+        """(run, item) of the counted items, by run; `least` and `reach` of an item are the runs it keeps and the words they take."""
+        lengths = np.array([len(w) for w in self.words], np.int64)
+        own = [np.unique(_runs(self.words[i], COUNTED_RUN)) for i in self.counted]
+        run = np.concatenate(own) if own else np.zeros(0, np.uint64)
+        order = np.argsort(run, kind="stable")
+        self.post_run, self.post_item = run[order], np.repeat(self.counted, [len(r) for r in own])[order]
+        self.post_marks = _mark_table(run)
+        self.least, self.reach = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+        for i in self.counted:
+            self.least[i], self.reach[i] = run_length(lengths[i])[1], lengths[i] + edits_allowed(lengths[i])
+
+    def passages(self, words: Words) -> np.ndarray:
+        """(item, doc, first, last): parts of texts that hold as many runs of a counted item as a copy keeps, each with
+        room for all such copies. The places are those of `words`."""
+        runs = _runs(words.key, COUNTED_RUN)
+        place = np.flatnonzero(self.post_marks[(runs >> np.uint64(40)).astype(np.int64)])
+        place = place[words.doc[place] == words.doc[place + COUNTED_RUN - 1]]
+        a, b = (np.searchsorted(self.post_run, runs[place], side) for side in ("left", "right"))
+        place, a, b = place[b > a], a[b > a], b[b > a]
+        times = np.bincount(a, minlength=len(self.post_run) + 1) - np.bincount(b, minlength=len(self.post_run) + 1)
+        load = np.bincount(self.post_item, np.cumsum(times)[:-1], len(self.words)).astype(np.int64)
+        part_of = (np.cumsum(load) - load) // COUNTED_PAIRS
+        found = [np.zeros((0, 4), np.int64)]
+        for part in np.unique(part_of[load > 0]):  # items whose places are held together
+            inside = part_of[self.post_item] == part
+            before = np.r_[0, np.cumsum(inside)]
+            lo, size = before[a], before[b] - before[a]
+            entry = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+            item, at = self.post_item[inside][entry], np.repeat(place, size)
+            order = np.argsort(item, kind="stable")
+            item, at = item[order], at[order]
+            last = np.arange(len(item)) + self.least[item] - 1
+            first = np.flatnonzero(last < len(item))
+            last = last[first]
+            same = (item[first] == item[last]) & (words.doc[at[first]] == words.doc[at[last]])
+            near = same & (at[last] + COUNTED_RUN - at[first] <= self.reach[item[first]])
+            first, last = first[near], last[near]
+            item, doc = item[first], words.doc[at[first]]
+            low = np.maximum(at[last] + COUNTED_RUN - self.reach[item], words.first[doc])
+            high = np.minimum(at[first] + self.reach[item], words.first[doc + 1])
+            new = np.ones(len(item), bool)
+            new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (low[1:] > high[:-1])
+            head = np.flatnonzero(new)
+            if len(head):
+                found.append(np.stack([item[head], doc[head], low[head], high[np.r_[head[1:], len(item)] - 1]], axis=1))
+        return np.concatenate(found)
+
     def windows(self, words: Words) -> list[tuple[int, np.ndarray]]:
         """(length, first words) of windows that may match an item of that length."""
         out = []
@@ -171,8 +229,11 @@ class ItemIndex:
     def leaks(self, column: pa.Array) -> list[list[dict]]:
         """The matches of each text: at most one per item, its best part."""
         pending: dict[int, list] = {n: [] for n in self.by_length}
+        out: list[dict[int, dict]] = [{} for _ in range(len(column))]
         for first, data, offsets in slices(column):
             words = Words(data, offsets, strip=True)
+            for item, doc, lo, hi in self.passages(words):
+                self._verify(out[first + doc], item, words.key[lo:hi], lo - words.first[doc])
             for n, starts in self.windows(words):
                 padded = np.r_[words.key, np.full(n + 1, _PAD)]
                 matrix = padded[starts[:, None] + np.arange(n + 1)]
@@ -181,7 +242,6 @@ class ItemIndex:
                 matrix[outside] = _PAD
                 # The word after the window stays: an item whose copy gained words runs into it.
                 pending[n].append((first + doc, starts - words.first[doc], matrix, words, doc))
-        out: list[dict[int, dict]] = [{} for _ in range(len(column))]
         for n, parts in pending.items():
             if not parts:
                 continue
@@ -204,14 +264,18 @@ class ItemIndex:
                 words, doc = part[3], row_of[a] - part[0][0] + part[4][0]
                 first = words.first[doc]
                 lo, hi = max(0, at[a] - k), min(words.count[doc], at[b - 1] + n + k)
-                distance, begins, ends = best_part(self.words[item], words.key[first + lo : first + hi])
-                old = out[row_of[a]].get(item)
-                if distance <= k and (old is None or distance < old["distance"]):
-                    out[row_of[a]][item] = {
-                        "item_id": self.ids[item], "distance": distance, "first_word": int(lo + begins), "last_word": int(lo + ends),
-                    }
+                self._verify(out[row_of[a]], item, words.key[first + lo : first + hi], lo)
         return [[hits[i] for i in sorted(hits)] for hits in out]
 
+    def _verify(self, held: dict[int, dict], item: int, text: np.ndarray, lo: int) -> None:
+        """Keeps the part of `text`, which starts at word `lo`, nearest to the item if it is a match and the best so far."""
+        distance, begins, ends = best_part(self.words[item], text)
+        old = held.get(item)
+        if distance <= edits_allowed(len(self.words[item])) and (old is None or distance < old["distance"]):
+            held[item] = {
+                "item_id": self.ids[item], "distance": distance, "first_word": int(lo + begins), "last_word": int(lo + ends),
+            }
+
 
 def _mark_table(runs: np.ndarray) -> np.ndarray:
     table = np.zeros(1 << 24, bool)

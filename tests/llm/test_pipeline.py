@@ -82,6 +82,50 @@ def test_recall_at_the_bound():
     assert found >= 0.95 * total
 
 
+@pytest.mark.parametrize("n", [5, 9, 15, 24, 25, 40, 59, 100, 200, 400])
+def test_recall_at_the_bound_by_length(n):
+    import random
+
+    import pyarrow as pa
+
+    rng, texts = random.Random(n), []
+    items = [[f"w{rng.randrange(3000)}" for _ in range(n)] for _ in range(60)]
+    for item in items:
+        own, k = list(item), decontam.edits_allowed(n)
+        for at in sorted(rng.sample(range(n), k), reverse=True):  # k edits of different words, none of them without effect
+            kind = rng.randrange(3)
+            own[at : at + (kind != 1)] = [] if kind == 2 else [f"x{rng.random()}"]
+        pad = [f"y{rng.random()}" for _ in range(30)]
+        texts.append(" ".join([*pad, *own, *pad]))
+    index = decontam.ItemIndex(list(range(60)), [" ".join(i) for i in items])
+    found = [{h["item_id"]: h["distance"] for h in hits} for hits in index.leaks(decontam.plain_strings(pa.array(texts)))]
+    assert all(set(hits) <= {i} and hits.get(i, 0) <= k for i, hits in enumerate(found))
+    assert sum(i in hits for i, hits in enumerate(found)) >= (57 if n < 25 else 60)
+
+
+def test_counted_items_in_crowded_texts(monkeypatch):
+    """Items that share most of their runs, repeated copies, and pairs that are held in several parts."""
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(40)}" for _ in range(30)]
+    items = [[*base[:i], f"v{i}", *base[i + 1 :]] for i in range(0, 30, 3)]
+    texts = [[*base, *base[::-1], *items[2]], [*items[5][:24], *base], base[:23], [], [*base[6:], *items[9]] * 2]
+    monkeypatch.setattr(decontam, "COUNTED_PAIRS", 50)
+    index = decontam.ItemIndex(list(range(10)), [" ".join(i) for i in items])
+    got = index.leaks(decontam.plain_strings(pa.array([" ".join(t) for t in texts])))
+    for text, hits in zip(texts, got, strict=True):
+        found = {h["item_id"]: h for h in hits}
+        for i, item in enumerate(items):
+            best = _best(item, text)
+            assert (i in found) == (best <= 6)
+            if i in found:
+                h = found[i]
+                assert h["distance"] == best == edit_distance(item, text[h["first_word"] : h["last_word"]])
+
+
 def test_leak_edge_cases(spark):
     item = "one two three four five six seven eight nine ten"
     docs = [(1, f"x {item.upper()}, y", "own"), (1, None, "own"), (None, item, "own"), (2, "", "own"), (3, item[4:], "own"), (4, "one two", "own")]
