@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +14,8 @@ from gramline.plans.storage import scratch_path, spread, written
 from gramline.sources import registry, tables
 from gramline.streaming.scoring import read_responses, score_stream
 
-# Settings of the fits below: small forests, so that a check takes seconds.
-TRIAL_SIZE = model.Params(
-    ngram_min=3, ngram_max=4, n_estimators=10, min_df=5, max_df=0.6, max_depth=6, min_class_frequency=20
-)
+#: The class bound where the flows' own leaves fewer than two classes to tell apart, as on the smallest tables.
+SMALL_CLASSES = 20
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -282,14 +282,18 @@ def stratified_kfold(spark, sf):
 # Models
 
 
-def _split_messages(spark, sf) -> DataFrame:
-    rows = relational.filter_min_class_frequency(spread(messages(spark, sf)), "target", 20)
-    return written(splits.stratified_split(rows, "target", "row_id"), "split")
+def _settings(params: model.Params, train: DataFrame) -> model.Params:
+    """The flow's settings, with the smaller class bound if fewer than two classes of the training rows reach its own."""
+    told_apart = relational.frequent_classes(train, "target", params.min_class_frequency).limit(2).count() == 2
+    return params if told_apart else replace(params, min_class_frequency=SMALL_CLASSES)
 
 
 def _fitted(spark, sf):
-    split = _split_messages(spark, sf)
-    return model.fit_text_model(split.filter("split = 'train'"), TRIAL_SIZE), split.filter("split = 'test'")
+    rows = spread(messages(spark, sf))
+    params = _settings(model.FLOW_A, rows)
+    kept = relational.filter_min_class_frequency(rows, "target", params.min_class_frequency)
+    split = written(splits.stratified_split(kept, "target", "row_id"), "split")
+    return model.fit_text_model(split.filter("split = 'train'"), params), split.filter("split = 'test'")
 
 
 def fit_random_forest(spark, sf):
@@ -310,15 +314,36 @@ def save_model(spark, sf):
 
 
 def cross_val_accuracy(spark, sf):
-    return model.cross_val_accuracy(spread(messages(spark, sf)), TRIAL_SIZE, 3)
+    return model.cross_val_accuracy(spread(messages(spark, sf)), model.FLOW_A)
 
 
 def train_a(spark, sf):
-    return flows.train_a(flows.prepare_a(spread(messages(spark, sf))), TRIAL_SIZE).metrics
+    split = flows.prepare_a(spread(messages(spark, sf)))
+    return flows.train_a(split, _settings(model.FLOW_A, split.filter("split = 'train'"))).metrics
 
 
 def train_b(spark, sf):
-    return flows.train_b(spread(documents(spark, sf)), TRIAL_SIZE, 1).metrics
+    rows = spread(documents(spark, sf))
+    return flows.train_b(rows, _settings(model.FLOW_B, rows), 1).metrics
+
+
+def _csv(rows: DataFrame) -> str:
+    path = scratch_path(rows.sparkSession, "csv")
+    tables.write_prepared(rows.select("tweet", "target"), path, "csv")
+    return path
+
+
+def flow_a(spark, sf):
+    rows, root = messages(spark, sf), scratch_path(spark, "flow-a")
+    train = flows.prepare_a(spread(rows)).filter("split = 'train'")
+    flows.flow_a(spark, _csv(rows), root, _settings(model.FLOW_A, train))
+    return tables.read_metrics(spark, f"{root}/metrics")
+
+
+def flow_b(spark, sf):
+    root = scratch_path(spark, "flow-b")
+    flows.flow_b(spark, _csv(documents(spark, sf)), root)
+    return tables.read_metrics(spark, f"{root}/metrics")
 
 
 # Metrics
@@ -360,14 +385,14 @@ def sample_trials_b(spark, sf):
     return rounded(search.draw_parameters(_runs(spark, sf), "run_id", search.SPACE_B), "max_df")
 
 
-def evaluate_trials(spark, sf):
-    """Settings drawn per verdict in the labels; each is tried on the messages."""
-    from dataclasses import replace
+def search_a(spark, sf):
+    return flows.search_a(flows.prepare_a(spread(messages(spark, sf))))
 
-    sources = table(spark, sf, "labels").select(F.col("toxic").cast("bigint").alias("trial_id")).distinct()
-    space = {"min_df": ("int", 4, 8), "max_df": ("uniform", 0.4, 0.7), "n_estimators": ("int", 3, 8)}
-    trials = search.draw_parameters(sources, "trial_id", space)
-    return search.evaluate_trials(spread(messages(spark, sf)), trials, replace(TRIAL_SIZE, max_depth=4), 2)
+
+def evaluate_trials(spark, sf):
+    """The trials of flow B, tried on the documents."""
+    trials = search.sample_trials(spark, search.SPACE_B, 10, model.FLOW_B.seed)
+    return search.evaluate_trials(spread(documents(spark, sf)), trials, model.FLOW_B)
 
 
 def _reports(spark, sf) -> DataFrame:
@@ -518,7 +543,7 @@ CHECKED_BY_SQL = [
     parse_requests, encode_response, error_to_empty, rank_scores, rank_scores_top, decode_split, encode_records,
 ]
 LEARNED = [
-    fit_random_forest, predict_proba, save_model, cross_val_accuracy, train_a, train_b, evaluate_trials, score_batch,
-    score_stream_requests,
+    fit_random_forest, predict_proba, save_model, cross_val_accuracy, train_a, train_b, flow_a, flow_b, search_a,
+    evaluate_trials, score_batch, score_stream_requests,
 ]
 QUERIES = {f.__name__: f for f in CHECKED_BY_SQL + LEARNED}

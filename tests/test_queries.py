@@ -3,7 +3,9 @@
 import pytest
 from compare import connect, difference
 
+from gramline.operators import model, search
 from gramline.oracle import ORACLE_SQL
+from gramline.plans import flows
 from gramline.queries import CHECKED_BY_SQL, LEARNED, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -36,3 +38,44 @@ def test_training_flows_log_their_metrics(spark):
     b = {r["name"]: r["value"] for r in QUERIES["train_b"](spark, SF).collect()}
     assert set(b) == {"Accuracy", "Precision", "Recall", "F1", "Number of classes", "Dataset Version"}
     assert b["Accuracy"] > 0.7 and b["Dataset Version"] == 1 and b["Number of classes"] >= 2
+
+
+@pytest.mark.parametrize("name", sorted(f.__name__ for f in LEARNED))
+def test_learned_queries_run_with_the_flows_settings(spark, monkeypatch, name):
+    """Each query hands the flows' own settings to its operator, which is not run here."""
+    asked = {}
+
+    class Asked(Exception):
+        pass
+
+    def stands_for(module, operator):
+        import inspect
+
+        signature = inspect.signature(getattr(module, operator))
+
+        def ask(*args, **kwargs):
+            bound = signature.bind(*args, **kwargs)
+            bound.apply_defaults()
+            asked.update({"operator": operator, **bound.arguments})
+            raise Asked
+
+        monkeypatch.setattr(module, operator, ask)
+
+    for module, operator in [
+        (model, "fit_text_model"), (model, "cross_val_accuracy"), (flows, "train_a"), (flows, "train_b"), (flows, "flow_a"),
+        (flows, "flow_b"), (search, "evaluate_trials"),
+    ]:
+        stands_for(module, operator)
+    with pytest.raises(Asked):
+        QUERIES[name](spark, "/root/testdata/sf0.01")
+    flow = model.FLOW_B if asked["operator"] in ("train_b", "flow_b") or name == "evaluate_trials" else model.FLOW_A
+    assert (asked.get("params") or asked["defaults"]) == flow
+    if name == "cross_val_accuracy":
+        assert asked["k"] == 5
+    if name == "flow_b":
+        assert asked["n_trials"] == 10
+    if name in ("search_a", "evaluate_trials"):
+        space, n = (search.SPACE_A, 18) if name == "search_a" else (search.SPACE_B, 10)
+        assert asked["folds"] == (5 if name == "search_a" else None)
+        drawn = search.sample_trials(spark, space, n).collect()
+        assert sorted(map(tuple, asked["trials"].collect())) == sorted(map(tuple, drawn))
