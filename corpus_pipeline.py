@@ -33,7 +33,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    found = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    found = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark"), least_words=1)
     return found.filter(F.size("leaks") == 0).select(*docs.columns)
 
 

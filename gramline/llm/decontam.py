@@ -104,7 +104,7 @@ def _table(item: np.ndarray, text: np.ndarray, free: bool) -> tuple[int, int]:
 class ItemIndex:
     """Items by length: their words, their runs, and their keys of every repetition."""
 
-    def __init__(self, ids, texts, repetitions: int = REPETITIONS, samples: int = SAMPLES):
+    def __init__(self, ids, texts, repetitions: int = REPETITIONS, samples: int = SAMPLES, least_words: int = LEAST_WORDS):
         self.ids, self.repetitions, self.samples = ids, repetitions, samples
         column = plain_strings(pa.array(texts, pa.string()))
         self.words: list[np.ndarray] = []
@@ -113,7 +113,7 @@ class ItemIndex:
             self.words += [words.key[a:b] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
         self.by_length: dict[int, np.ndarray] = {}
         lengths = np.array([len(w) for w in self.words], np.int64)
-        for n in np.unique(lengths[lengths >= LEAST_WORDS]):
+        for n in np.unique(lengths[lengths >= max(1, least_words)]):
             self.by_length[int(n)] = np.flatnonzero(lengths == n)
         counted = [n for n in self.by_length if run_length(n)[1] >= COUNTED_LEAST]
         self.counted = np.sort(np.concatenate([self.by_length.pop(n) for n in counted])) if counted else np.zeros(0, np.int64)
@@ -289,13 +289,16 @@ _LEAK = T.StructType(
 )
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, repetitions: int = REPETITIONS, samples: int = SAMPLES, block_items: int = BLOCK_ITEMS) -> DataFrame:
+def find_leaks(
+    docs: DataFrame, items: DataFrame, repetitions: int = REPETITIONS, samples: int = SAMPLES, block_items: int = BLOCK_ITEMS,
+    least_words: int = LEAST_WORDS,
+) -> DataFrame:
     """`docs` with `leaks`: for each item of (item_id, text) found in the text, its id, the edit distance, and the words
     of the text that hold it, as [first_word, last_word).
 
-    Items go to the tasks in blocks of at most `block_items`. Items of fewer than five words, null and empty ones match
-    nothing, null and empty documents hold nothing; items that repeat an id or a text each count. A column of `docs`
-    named `leaks` is replaced. Documents are not shuffled.
+    Items go to the tasks in blocks of at most `block_items`. Items of fewer than `least_words` words, null and empty ones
+    match nothing, those of one to four words match exactly if they are let in; null and empty documents hold nothing;
+    items that repeat an id or a text each count. A column of `docs` named `leaks` is replaced. Documents are not shuffled.
     """
     spark = docs.sparkSession
     own = docs.drop("leaks")
@@ -310,7 +313,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, repetitions: int = REPETITIONS
         shared = spark.sparkContext.broadcast(([r["item_id"] for r in rows], [r["text"] for r in rows]))
 
         def search(batches, shared=shared):
-            index = ItemIndex(*shared.value, repetitions, samples)
+            index = ItemIndex(*shared.value, repetitions, samples, least_words)
             for batch in batches:
                 found = pa.array(index.leaks(plain_strings(batch.column(at))), kind)
                 yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "more"])

@@ -89,7 +89,7 @@ def op9_mixing(spark, sf):
 
 def op10_decontamination(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    found = decontam.find_leaks(docs, table(spark, sf, "benchmark"))
+    found = decontam.find_leaks(docs, table(spark, sf, "benchmark"), least_words=1)
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 

@@ -126,6 +126,20 @@ def test_counted_items_in_crowded_texts(monkeypatch):
                 assert h["distance"] == best == edit_distance(item, text[h["first_word"] : h["last_word"]])
 
 
+def test_short_items_match_exactly(spark, tmp_path):
+    items = [(n, " ".join(f"s{n}w{i}" for i in range(n))) for n in range(1, 5)] + [(5, "again again"), (6, "")]
+    texts = [f"before {text}, after" for _, text in items] + [text.replace("w0", "x0") for _, text in items[:4]] + ["again once", "s4w0 s4w1 s4w2"]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op10_decontamination"](spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["distance"], r["first_word"], r["last_word"]) for r in got) == [
+        *((n, n, 0, 1, 1 + n) for n in range(1, 5)), (5, 5, 0, 1, 3),
+    ]
+    kept = corpus_pipeline.drop_benchmark_leaks(spark, docs, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in kept} == set(range(6, len(texts) + 1))
+
+
 def test_leak_edge_cases(spark):
     item = "one two three four five six seven eight nine ten"
     docs = [(1, f"x {item.upper()}, y", "own"), (1, None, "own"), (None, item, "own"), (2, "", "own"), (3, item[4:], "own"), (4, "one two", "own")]
