@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gramline.llm import decontam, line_dedup, maxent, mixing, near_dup, nearest, repeats, shard_tree, token_files, toxicity
+from gramline.llm import alignment, cover_tree, decontam, lexical, line_dedup, maxent, mixing, near_dup, nearest, repeats, shard_tree, token_files, toxicity
 from gramline.plans.storage import scratch_path
 
 N_SHARDS = 24
@@ -93,10 +93,23 @@ def op10_decontamination(spark, sf):
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
+def op11_alignment(spark, sf):
+    return alignment.link_statistics(table(spark, sf, "documents"))
+
+
+def op12_embedding_duplicates(spark, sf):
+    return cover_tree.near_duplicates(table(spark, sf, "embeddings"))
+
+
+def op13_lexical_search(spark, sf):
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_repeated_bytes, op3_language_model, op4_toxicity, op5_token_counts, op6_near_duplicates,
         op7_shard_tree, op8_exact_top_k, op9_mixing, op10_decontamination,
+        op11_alignment, op12_embedding_duplicates, op13_lexical_search,
     )
 }
