@@ -178,11 +178,11 @@ def _block_search(docs: DataFrame, block: Block, k: int) -> DataFrame:
 def _blocks(items: DataFrame, limit: int) -> Iterator[list[tuple]]:
     """Items (item, item_id, text) dealt by hash into blocks of at most `limit` bytes of text, or one larger item; each
     is collected on its own."""
-    n, blocks = items.count(), 1
+    blocks = 1
     while True:
         dealt = items.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)))
-        size = dealt.groupBy("block").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 32).alias("size"))
-        if blocks > 64 * n or (size.agg(F.max("size")).first()[0] or 0) <= limit:
+        sizes = dealt.groupBy("block").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 32).alias("size"), F.count("*").alias("n"))
+        if sizes.filter((F.col("size") > limit) & (F.col("n") > 1)).isEmpty():
             break
         blocks *= 2
     for block in range(blocks):

@@ -53,7 +53,7 @@ DOCS = [
 ITEMS = [(1, "cat cat mat"), (2, "CAFÉ"), (3, None), (4, "nothing here"), (5, "dog"), (5, "A b c d e f"), (None, "sat"), (6, "!!")]
 
 
-@pytest.mark.parametrize("block_bytes", [1, 80, lexical.BLOCK_BYTES])
+@pytest.mark.parametrize("block_bytes", [120, lexical.BLOCK_BYTES])
 def test_odd_texts(spark, block_bytes):
     assert _got(spark, DOCS, ITEMS, block_bytes=block_bytes) == _expected(DOCS, ITEMS)
 
