@@ -131,15 +131,19 @@ class Links:
         np.add.at(self.linked, j, self.weight[i])
         self._join(i, j)
 
-    def all_of(self, x: np.ndarray, y: np.ndarray | None = None) -> None:
-        """All pairs of x and y, or inside x."""
-        if y is None:
-            self.linked[x] += self.weight[x].sum() - self.weight[x]
-        else:
-            self.linked[x] += self.weight[y].sum()
-            self.linked[y] += self.weight[x].sum()
-        both = x if y is None else np.concatenate([x, y])
-        self._join(np.full(len(both), both[0]), both)
+    def all_of(self, x: np.ndarray) -> None:
+        """All pairs inside x."""
+        self.linked[x] += self.weight[x].sum() - self.weight[x]
+        self._join(np.full(len(x), x[0]), x)
+
+    def add(self, x: np.ndarray, weight: int) -> None:
+        """Links every point of x, at least one, with points of this weight that are all linked with all of x."""
+        self.linked[x] += weight
+        self._join(np.full(len(x), x[0]), x)
+
+    def tie(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Pairs of linked points whose weights are added elsewhere."""
+        self._join(i, j)
 
     def roots(self) -> np.ndarray:
         if not self._edges:
@@ -147,11 +151,36 @@ class Links:
         return roots_of(len(self.weight), *map(np.concatenate, zip(*self._edges, strict=True)))
 
 
+class _Side:
+    """A tree's part in a traversal: its points' numbers in the links, and the weight that is still to be linked with all
+    points of each node."""
+
+    def __init__(self, tree: CoverTree, raw: np.ndarray, weight: np.ndarray, shift: int):
+        self.tree, self.raw, self.shift = tree, raw, shift
+        self.norm = np.linalg.norm(raw, axis=1)
+        self.lo, self.hi, self.center = np.array(tree.lo), np.array(tree.hi), np.array(tree.center)
+        before = np.r_[0, np.cumsum(weight[tree.order + shift])]
+        self.weight = before[self.hi] - before[self.lo]
+        self.added = np.zeros(len(self.lo), np.int64)
+
+    def flush(self, links: Links) -> None:
+        for node in np.flatnonzero(self.added):
+            links.add(self.tree.rows(node) + self.shift, self.added[node])
+
+
+def _compare_points(a: _Side, b: _Side, i: np.ndarray, j: np.ndarray, least: float, links: Links) -> None:
+    for first in range(0, len(i), ROWS * ROWS):
+        x, y = i[first : first + ROWS * ROWS], j[first : first + ROWS * ROWS]
+        near = np.einsum("ij,ij->i", a.raw[x], b.raw[y]) / (a.norm[x] * b.norm[y]) >= least
+        links.pairs(x[near] + a.shift, y[near] + b.shift)
+
+
 def traverse(a: CoverTree, b: CoverTree, raw_a: np.ndarray, raw_b: np.ndarray, least: float, links: Links, shift: int = 0) -> None:
     """Finds all pairs of a point of `a` and a point of `b` with a cosine of at least `least`; with `a is b` all pairs
     of different points. Points of `b` are numbered from `shift` in `links`."""
     reach = np.sqrt(max(2.0 - 2.0 * least, 0.0))
-    norm_a, norm_b = np.linalg.norm(raw_a, axis=1), np.linalg.norm(raw_b, axis=1)
+    own = _Side(a, raw_a, links.weight, 0)
+    other = own if a is b else _Side(b, raw_b, links.weight, shift)
     stack = [(0, 0)]
     while stack:
         p, q = stack.pop()
@@ -160,28 +189,37 @@ def traverse(a: CoverTree, b: CoverTree, raw_a: np.ndarray, raw_b: np.ndarray, l
             links.all_of(a.rows(p))
             continue
         if not a.kids[p] and not b.kids[q]:
-            i, j = a.rows(p), b.rows(q)
-            cosine = (raw_a[i] @ raw_b[j].T) / (norm_a[i][:, None] * norm_b[j][None, :])
-            x, y = np.nonzero(cosine >= least)
-            if same:
-                x, y = x[x < y], y[x < y]
-            links.pairs(i[x], j[y] + shift)
+            i, j = np.repeat(a.rows(p), b.hi[q] - b.lo[q]), np.tile(b.rows(q), a.hi[p] - a.lo[p])
+            once = i < j if same else slice(None)
+            _compare_points(own, other, i[once], j[once], least, links)
             continue
         left, right = a.opened(p), b.opened(q)
         for first in range(0, len(left), ROWS):
-            part = left[first : first + ROWS]
-            others = right[first:] if same else right
-            apart = _distances(a.centers[part], b.centers[others])
-            sizes = a.radius[part][:, None] + b.radius[others][None, :]
+            x = left[first : first + ROWS]
+            y = right[first:] if same else right
+            apart = _distances(a.centers[x], b.centers[y])
+            sizes = a.radius[x][:, None] + b.radius[y][None, :]
             keep = apart - sizes <= reach + SLACK
             if same:
-                keep &= np.arange(len(part))[:, None] <= np.arange(len(others))[None, :]
+                keep &= np.arange(len(x))[:, None] <= np.arange(len(y))[None, :]
             whole = keep & (apart + sizes <= reach - SLACK)
             if same:
-                whole &= part[:, None] != others[None, :]
-            for x, y in zip(*np.nonzero(whole), strict=True):
-                links.all_of(a.rows(part[x]), b.rows(others[y]) + shift)
-            stack += [(int(part[x]), int(others[y])) for x, y in zip(*np.nonzero(keep & ~whole), strict=True)]
+                whole &= x[:, None] != y[None, :]
+            if whole.any():
+                np.add.at(own.added, x, whole @ other.weight[y])
+                np.add.at(other.added, y, own.weight[x] @ whole)
+                i, j = np.nonzero(whole)
+                links.tie(own.center[x[i]], other.center[y[j]] + shift)
+            i, j = np.nonzero(keep & ~whole)
+            i, j = x[i], y[j]
+            single = (own.hi[i] - own.lo[i] == 1) & (other.hi[j] - other.lo[j] == 1)
+            if same:
+                single &= i != j
+            _compare_points(own, other, own.center[i[single]], other.center[j[single]], least, links)
+            stack += zip(i[~single].tolist(), j[~single].tolist(), strict=True)
+    own.flush(links)
+    if other is not own:
+        other.flush(links)
 
 
 def _unit(raw: np.ndarray) -> np.ndarray:
