@@ -1,32 +1,35 @@
 """Random forests on n-gram TF-IDF, from raw text to class probabilities.
 
-A model is a written vocabulary table, a Spark ML forest and the class names. Grams are numbered where they lie, rows get
-their sparse vectors by joining the table, and no gram reaches the driver, so a vocabulary may have any size up to 2^31.
+A model is a written vocabulary table, a table of nodes and the class names. Grams are numbered where they lie, and rows
+are fitted and scored as sparse vectors: no table of rows x vocabulary exists. The vocabulary and its weights are fitted
+on all rows; `Params.fit_rows` bounds the labelled rows that the forest sees, drawn per class by hash, and with it the
+size of the trees.
 
-Spark ML holds the fit's rows as dense bins: rows x vocabulary x 4 bytes over the cluster, and 32 thresholds a gram on
-the driver. The vocabulary and its weights are fitted on all rows; `Params.fit_rows` bounds the labelled rows that the
-forest sees, drawn per class by hash, which also bounds its trees. 20,000 rows and a million grams take 80 GB over the
-cluster.
+Scoring is one pass without a shuffle or a written table where vocabulary and forest are small enough to be broadcast,
+which is measured; beyond that, rows find their grams by a join, and a larger forest goes to the tasks part by part.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gramline.functions import words
+from gramline.operators import forest
 from gramline.operators.features import Vocabulary, fit_vocabulary, tfidf_transform
+from gramline.operators.relational import filter_min_class_frequency
 from gramline.operators.splits import stratified_kfold, stratified_split
+from gramline.plans.lookup import BROADCAST_BYTES
 from gramline.plans.storage import written
 
-MAX_TREE_DEPTH = 30  # the deepest tree Spark grows; stands for "no limit"
+MAX_TREE_DEPTH = forest.MAX_TREE_DEPTH
+_GRAM_BYTES = 20  # of a broadcast vocabulary: hash, place, weight
 
 
 @dataclass(frozen=True)
@@ -63,14 +66,14 @@ class TextModel:
 
     vocabulary: Vocabulary
     size: int
-    forest: RandomForestClassificationModel
+    forest: forest.Forest
     classes: list[str]
 
     def save(self, path: str) -> None:
         """Replaces what is at `path`."""
         grams, v = self.vocabulary.grams, self.vocabulary
         grams.write.mode("overwrite").parquet(f"{path}/vocabulary")
-        self.forest.write().overwrite().save(f"{path}/forest")
+        forest.node_table(grams.sparkSession, self.forest).write.mode("overwrite").parquet(f"{path}/nodes")
         about = [(v.n, v.lo, v.hi, self.size, self.classes)]
         shape = "n bigint, lo int, hi int, size bigint, classes array<string>"
         grams.sparkSession.createDataFrame(about, shape).coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
@@ -80,8 +83,12 @@ class TextModel:
         spark = SparkSession.active()
         about = spark.read.parquet(f"{path}/about").first()
         vocabulary = Vocabulary(spark.read.parquet(f"{path}/vocabulary"), about["n"], about["lo"], about["hi"])
-        fitted = RandomForestClassificationModel.load(f"{path}/forest")
-        return TextModel(vocabulary, about["size"], fitted, about["classes"])
+        nodes = spark.read.parquet(f"{path}/nodes")
+        return TextModel(vocabulary, about["size"], forest.from_table(nodes, about["size"], len(about["classes"])), about["classes"])
+
+    def nodes(self) -> DataFrame:
+        """The forest as a table; `index` is a gram's place in the vocabulary."""
+        return forest.node_table(self.vocabulary.grams.sparkSession, self.forest)
 
 
 def numbered(vocabulary: Vocabulary) -> tuple[Vocabulary, int]:
@@ -123,20 +130,9 @@ def with_features(vocabulary: Vocabulary, size: int, df: DataFrame, id: str, tex
     return found.withColumn("features", F.coalesce("features", _vector(size, *none)))
 
 
-def forest(params: Params) -> RandomForestClassifier:
-    """Spark bounds the rows of a leaf where `min_samples_split` bounds those of a split; 2 means no bound in both."""
-    return RandomForestClassifier(
-        labelCol="label",
-        featuresCol="features",
-        numTrees=params.n_estimators,
-        maxDepth=min(params.max_depth or MAX_TREE_DEPTH, MAX_TREE_DEPTH),
-        minInstancesPerNode=max(1, params.min_samples_split // 2),
-        featureSubsetStrategy="sqrt",
-        impurity="gini",
-        bootstrap=True,
-        seed=params.seed,
-        maxMemoryInMB=512,
-    )
+def plan(params: Params, size: int, **given) -> forest.Plan:
+    depth = min(params.max_depth or MAX_TREE_DEPTH, MAX_TREE_DEPTH)
+    return forest.Plan(params.n_estimators, params.seed, size, depth, params.min_samples_split, **given)
 
 
 def fit_sample(train: DataFrame, params: Params, id: str, text: str, label: str) -> DataFrame:
@@ -149,20 +145,44 @@ def fit_sample(train: DataFrame, params: Params, id: str, text: str, label: str)
     return drawn.filter("split = 'train'").drop("split")
 
 
+def class_names(rows: DataFrame, label: str) -> list[str]:
+    """The classes in ascending order; their number is taken to be small, as a class map per scored row is."""
+    return [r[0] for r in rows.select(F.col(label).cast("string")).distinct().orderBy(label).collect()]
+
+
+def class_number(label: str, names: list[str]) -> Column:
+    return (F.array_position(F.array(*[F.lit(c) for c in names]), F.col(label).cast("string")) - 1).cast("int")
+
+
+def sparse_rows(weights: DataFrame, id: str, value: str, size: int) -> DataFrame:
+    """(id, positions, values) of a table (id, index, value), positions ascending."""
+    entry = F.struct(forest.position(F.col("index"), size).alias("p"), F.col(value).cast("double").alias("v"))
+    rows = weights.groupBy(id).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
+    return rows.select(id, F.col("_e.p").alias("positions"), F.col("_e.v").alias("values"))
+
+
+def place_vectors(rows: DataFrame, sparse: DataFrame, id: str, label: str, names: list[str], folds: Column) -> DataFrame:
+    """A written table as the forest takes it, of rows with an id, a label and what `folds` needs; rows without a gram
+    have no entries."""
+    none = F.array().cast("array<int>"), F.array().cast("array<double>")
+    found = rows.join(sparse, id, "left").select(
+        F.xxhash64(F.col(id)).alias("key"), class_number(label, names).alias("label"), folds.alias("folds"),
+        F.coalesce("positions", none[0]).alias("positions"), F.coalesce("values", none[1]).alias("values"),
+    )
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // FIT_ROWS_PER_TASK))
+    return written(found.repartition(tasks, "key"), "vectors")
+
+
 def vectorise(
-    vocabulary: Vocabulary, size: int, df: DataFrame, id: str, text: str, label: str, *keep: str
+    vocabulary: Vocabulary, size: int, df: DataFrame, id: str, text: str, label: str, fold: Column | None = None
 ) -> tuple[DataFrame, list[str]]:
-    """A written table (label, features, kept columns), which the forest reads several times, and the class names.
-
-    Label numbers follow the class names in ascending order. Rows lie in files by their id, ordered, their number given
-    by the rows alone: bootstrap draws go by task, so the same rows and seed give the same forest.
-    """
-    rows = written(df.filter(F.col(label).isNotNull()).select(id, text, label, *keep), "fit-rows")
-    indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(rows.select(label))
-    featured = indexer.transform(with_features(vocabulary, size, rows, id, text))
-    tasks = -(-rows.count() // FIT_ROWS_PER_TASK) or 1
-    placed = featured.repartition(tasks, id).sortWithinPartitions(id)
-    return written(placed.select("label", "features", *keep), "vectors"), indexer.labels
+    """The labelled rows as the forest takes them, and the class names. Label numbers follow the names in ascending
+    order. `fold` numbers what may be held out, below 0 for rows that have no part."""
+    fold = F.lit(0) if fold is None else fold
+    rows = written(df.filter(F.col(label).isNotNull()).select(id, text, label, fold.cast("int").alias("_fold")), "fit-rows")
+    weights = tfidf_transform(vocabulary, rows.select(id, text), id, text, keep=("index",))
+    names = class_names(rows, label)
+    return place_vectors(rows, sparse_rows(weights, id, "tfidf", size), id, label, names, F.array("_fold")), names
 
 
 def fit_text_model(
@@ -184,67 +204,160 @@ def fit_on_vocabulary(
 ) -> TextModel:
     vocabulary, size = numbered(vocabulary)
     vectors, names = vectorise(vocabulary, size, fit_sample(train, params, id, text, label), id, text, label)
-    return TextModel(vocabulary, size, forest(params).fit(vectors), names)
+    (grown,) = forest.grow(vectors, [plan(params, size)], len(names), vectors.count())
+    return TextModel(vocabulary, size, grown, names)
 
 
 def classes(model: TextModel) -> list[str]:
     return model.classes
 
 
-def _scored(model: TextModel, df: DataFrame, text: str) -> DataFrame:
-    """Rows are numbered and written, so that their vectors find them again."""
+def broadcast_vocabulary(model: TextModel, limit: int = BROADCAST_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(hashes ascending, their positions, weights by position), or None if that is more than `limit` bytes or two grams
+    share a hash. A gram that is not in the vocabulary is taken for one that is with a chance of its size by 2^64."""
+    if model.size * _GRAM_BYTES > limit:
+        return None
+    place = forest.position(F.col("index"), model.size)
+    table = model.vocabulary.grams.select(F.xxhash64("gram").alias("hash"), place.alias("position"), "idf").toArrow()
+    hash, position, idf = (table.column(c).to_numpy() for c in ("hash", "position", "idf"))
+    order = np.argsort(hash)
+    if (np.diff(hash[order]) == 0).any():
+        return None
+    weights = np.zeros(model.size)
+    weights[position] = idf
+    return hash[order], position[order].astype(np.int64), weights
+
+
+def is_mapped(model: TextModel, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether rows are scored in one pass over their texts."""
+    return model.size * _GRAM_BYTES <= limit and len(model.forest.nodes.tree) <= forest.NODES
+
+
+def _with_probability(df: DataFrame, run, *dropped: str) -> DataFrame:
+    kept = [f for f in df.schema.fields if f.name not in dropped]
+    schema = T.StructType([*kept, T.StructField("_probability", T.ArrayType(T.DoubleType()))])
+    names = [f.name for f in kept]
+
+    def scored(batches):
+        for batch in batches:
+            own = [batch.column(batch.schema.get_field_index(n)) for n in names]
+            total = run(batch)
+            flat = pa.array(total.ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(total) + 1, dtype=np.int32) * total.shape[1]), flat)
+            yield pa.RecordBatch.from_arrays([*own, lists], [*names, "_probability"])
+
+    return df.mapInArrow(scored, schema)
+
+
+def _scored_by_map(model: TextModel, df: DataFrame, text: str, packed: tuple) -> DataFrame:
+    """Texts to probabilities in one pass: grams are cut and hashed by Spark, and found, weighed and led down the trees
+    batch by batch."""
+    v, n_classes, size = model.vocabulary, len(model.classes), model.size
+    shared = df.sparkSession.sparkContext.broadcast((packed, forest.parts(model.forest)))
+    hashes = F.transform(words.char_wb_ngrams(F.coalesce(text, F.lit("")), v.lo, v.hi), lambda g: F.xxhash64(g))
+
+    def run(batch) -> np.ndarray:
+        (known, position, weights), parts = shared.value
+        column = batch.column(batch.schema.get_field_index("_grams"))
+        counts = np.diff(column.offsets.to_numpy()).astype(np.int64)
+        row, hash = np.repeat(np.arange(batch.num_rows), counts), column.flatten().to_numpy(zero_copy_only=False)
+        found = np.minimum(np.searchsorted(known, hash), max(0, len(known) - 1))
+        hit = known[found] == hash if len(known) else np.zeros(len(hash), bool)
+        code, tf = np.unique(row[hit] * size + position[found[hit]], return_counts=True)
+        counts = np.bincount(code // size, minlength=batch.num_rows)
+        none = np.zeros((batch.num_rows, 1), np.int64)
+        own = forest.Plan(0, 0, size, weights=weights)
+        rows = forest.Rows(own, none[:, 0], none[:, 0], none, counts, code % size, tf.astype(np.float64))
+        every = np.arange(batch.num_rows)
+        total = sum((forest.class_weights(f, nodes, 0, rows, every) for f, nodes in parts), np.zeros((batch.num_rows, n_classes)))
+        return forest.normalised(total)
+
+    return _with_probability(df.withColumn("_grams", hashes), run, "_grams")
+
+
+def _scored_by_join(model: TextModel, df: DataFrame, text: str) -> DataFrame:
+    """Rows are numbered and written, so that their vectors find them again; parts of the forest follow one another."""
     rows = written(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    return model.forest.transform(with_features(model.vocabulary, model.size, rows, "_row", text))
-
-
-_WORKING = ["_row", "features", "rawPrediction", "probability", "prediction"]
-
-
-def predict(model: TextModel, df: DataFrame, text: str = "tweet") -> DataFrame:
-    """Adds `predicted`, the class with the highest mean probability over the trees."""
+    weights = tfidf_transform(model.vocabulary, rows.select("_row", text), "_row", text, keep=("index",))
+    none = F.array().cast("array<int>"), F.array().cast("array<double>")
+    found = rows.join(sparse_rows(weights, "_row", "tfidf", model.size), "_row", "left").drop("_row")
+    found = found.withColumns({"positions": F.coalesce("positions", none[0]), "values": F.coalesce("values", none[1])})
+    n_classes, own = len(model.classes), forest.Plan(0, 0, model.size)
+    found = found.withColumn("_probability", F.array(*[F.lit(0.0)] * n_classes))
+    for part in forest.parts(model.forest):
+        shared = df.sparkSession.sparkContext.broadcast(part)
+
+        def run(batch, shared=shared) -> np.ndarray:
+            f, nodes = shared.value
+            lists = [batch.column(batch.schema.get_field_index(c)) for c in ("positions", "values", "_probability")]
+            counts = np.diff(lists[0].offsets.to_numpy()).astype(np.int64)
+            position, value, before = (c.flatten().to_numpy(zero_copy_only=False) for c in lists)
+            none = np.zeros((batch.num_rows, 1), np.int64)
+            rows = forest.Rows(own, none[:, 0], none[:, 0], none, counts, position.astype(np.int64), value)
+            return before.reshape(-1, n_classes) + forest.class_weights(f, nodes, 0, rows, np.arange(batch.num_rows))
+
+        found = written(_with_probability(found, run, "_probability"), "partly-scored")
+    whole = F.aggregate("_probability", F.lit(0.0), lambda a, x: a + x)
+    even = F.lit(1.0 / n_classes)
+    return found.drop("positions", "values").withColumn("_whole", whole).withColumn(
+        "_probability", F.transform("_probability", lambda p: F.when(F.col("_whole") > 0, p / F.col("_whole")).otherwise(even))
+    ).drop("_whole")
+
+
+def _scored(model: TextModel, df: DataFrame, text: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """`df` with `_probability`, in the order of the classes."""
+    packed = broadcast_vocabulary(model, limit) if is_mapped(model, limit) else None
+    return _scored_by_join(model, df, text) if packed is None else _scored_by_map(model, df, text, packed)
+
+
+def predict(model: TextModel, df: DataFrame, text: str = "tweet", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Adds `predicted`, the class with the highest mean probability over the trees, of equal ones the first."""
     names = F.array(*[F.lit(c) for c in model.classes])
-    return _scored(model, df, text).withColumn("predicted", F.get(names, F.col("prediction").cast("int"))).drop(*_WORKING)
+    best = F.array_position("_probability", F.array_max("_probability")).cast("int") - 1
+    return _scored(model, df, text, limit).withColumn("predicted", F.get(names, best)).drop("_probability")
 
 
-def predict_proba(model: TextModel, df: DataFrame, text: str = "tweet") -> DataFrame:
+def predict_proba(model: TextModel, df: DataFrame, text: str = "tweet", limit: int = BROADCAST_BYTES) -> DataFrame:
     """Adds `scores`, a map class -> probability."""
     names = F.array(*[F.lit(c) for c in model.classes])
-    scores = F.map_from_arrays(names, vector_to_array("probability"))
-    return _scored(model, df, text).withColumn("scores", scores).drop(*_WORKING)
+    return _scored(model, df, text, limit).withColumn("scores", F.map_from_arrays(names, F.col("_probability"))).drop("_probability")
 
 
 def fold_accuracies(
-    df: DataFrame, params: Params, vocabulary: Vocabulary, k: int = 5, parallelism: int = 2, id: str = "row_id",
-    text: str = "tweet", label: str = "target",
+    df: DataFrame, params: Params, vocabulary: Vocabulary, k: int = 5, id: str = "row_id", text: str = "tweet",
+    label: str = "target",
 ) -> list[tuple[int, float]]:
-    """(fold, accuracy) of a forest fitted on the other folds, null for an empty one. Vectors are made once and shared.
+    """(fold, accuracy) of a forest fitted on the other folds, null for an empty one. Vectors are made once, and all
+    forests grow in the same rounds.
 
     Every row is tried; each fold's forest is fitted on at most about `fit_rows` of the others.
     """
     vocabulary, size = numbered(vocabulary)
     folded = written(stratified_kfold(df.select(id, text, label), label, id, k), "folds")
     others = folded.filter("fold IS NOT NULL").count() * (k - 1) // k
+    drawn = F.lit(True)
     if others > params.fit_rows:
         folded = stratified_split(folded, label, id, params.fit_rows / others, params.seed)
-        folded = folded.withColumn("drawn", F.col("split") == "train")
-    else:
-        folded = folded.withColumn("drawn", F.lit(True))
-    vectors, _ = vectorise(vocabulary, size, folded, id, text, label, "fold", "drawn")
-
-    def of(fold: int) -> tuple[int, float]:
-        fitted = forest(params).fit(vectors.filter((F.col("fold") != fold) & F.col("drawn")))
-        held_out = fitted.transform(vectors.filter(F.col("fold") == fold))
-        return fold, held_out.agg(F.avg((F.col("label") == F.col("prediction")).cast("int"))).first()[0]
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(of, range(k)))
+        drawn = F.col("split") == "train"
+    fit = vectorise(vocabulary, size, folded, id, text, label, F.when(drawn, F.col("fold")).otherwise(-1))
+    tried = fit if others <= params.fit_rows else vectorise(vocabulary, size, folded, id, text, label, F.col("fold"))
+    (vectors, names), (every, _) = fit, tried
+    plans = [plan(params, size, fold=f) for f in range(k)]
+    forests = forest.grow(vectors, plans, len(names), min(others, params.fit_rows) * 2)
+    counts = forest.confusions(every, plans, forests).collect()
+    total, hits = np.zeros(k), np.zeros(k)
+    for row in counts:
+        total[row["plan"]] += row["n"]
+        hits[row["plan"]] += row["n"] * (row["label"] == row["predicted"])
+    return [(f, float(hits[f] / total[f]) if total[f] else None) for f in range(k)]
 
 
 def cross_val_accuracy(
-    df: DataFrame, params: Params, k: int = 5, parallelism: int = 2, id: str = "row_id", text: str = "tweet",
-    label: str = "target",
-) -> DataFrame:
-    """(accuracy): the mean over stratified folds, with the vocabulary fitted once on all rows."""
-    vocabulary = fit_vocabulary(df, text, params.ngram_min, params.ngram_max, params.min_df, params.max_df)
-    folds = fold_accuracies(df, params, vocabulary, k, parallelism, id, text, label)
+    df: DataFrame, params: Params, k: int = 5, id: str = "row_id", text: str = "tweet", label: str = "target"
+) -> DataFrame:
+    """(accuracy): the mean over stratified folds of the rows of frequent classes, with the vocabulary fitted once on all
+    of these rows."""
+    kept = filter_min_class_frequency(df, label, params.min_class_frequency)
+    vocabulary = fit_vocabulary(kept, text, params.ngram_min, params.ngram_max, params.min_df, params.max_df)
+    folds = fold_accuracies(kept, params, vocabulary, k, id, text, label)
     return df.sparkSession.createDataFrame(folds, "fold int, accuracy double").agg(F.avg("accuracy").alias("accuracy"))

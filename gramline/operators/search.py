@@ -130,7 +130,7 @@ def evaluate_trials(
         if vocabulary.grams.isEmpty():
             return None
         if folds:
-            scores = [a for _, a in fold_accuracies(kept, params, vocabulary, folds, 1, id, text, label) if a is not None]
+            scores = [a for _, a in fold_accuracies(kept, params, vocabulary, folds, id, text, label) if a is not None]
             return sum(scores) / len(scores) if scores else None
         split = written(shuffled_split(kept, id, seed=params.seed), "split")
         train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
