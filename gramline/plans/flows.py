@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,13 +36,24 @@ def prepare_a(rows: DataFrame) -> DataFrame:
 
 
 def search_a(split: DataFrame, n_trials: int = 18, parallelism: int = 6, defaults: Params = FLOW_A) -> DataFrame:
-    """Random settings with their mean accuracy over five folds of the training rows, as a written table.
+    """Settings with their mean accuracy over five folds of the training rows, as a written table.
 
-    `search.best_trial(results, "accuracy")` picks the best; `Params.with_trial` takes its settings over.
+    Trials go in rounds of `parallelism`, which are fitted together: the first round is drawn at random, later ones are
+    suggested from all rounds before. `search.best_trial(results, "accuracy")` picks the best; `Params.with_trial` takes
+    its settings over.
     """
-    trials = search.sample_trials(split.sparkSession, search.SPACE_A, n_trials, defaults.seed)
-    train = split.filter("split = 'train'")
-    return written(search.evaluate_trials(train, trials, defaults, parallelism, folds=5), "trials")
+    spark = split.sparkSession
+    train = written(split.filter("split = 'train'").drop("split"), "train")
+    results = None
+    for first in range(0, n_trials, parallelism):
+        ids = spark.range(first, min(first + parallelism, n_trials)).withColumnRenamed("id", "trial_id")
+        if results is None:
+            trials = search.draw_parameters(ids, "trial_id", search.SPACE_A, defaults.seed)
+        else:
+            trials = search.suggest_trials(results, ids, search.SPACE_A, seed=defaults.seed)
+        found = search.evaluate_trials(train, written(trials, "trials"), defaults, folds=5)
+        results = written(found if results is None else results.unionByName(found), "results")
+    return results
 
 
 def train_a(split: DataFrame, params: Params = FLOW_A, run_id: str = "a") -> Outcome:
@@ -68,10 +80,9 @@ def flow_a(spark: SparkSession, csv: str, root: str, params: Params = FLOW_A, cu
     rows = _rows(spark, csv, cut)
     outcome = train_a(prepare_a(rows), params)
     tables.log_metrics(outcome.metrics, f"{root}/metrics")
-    version = registry.next_version(spark, f"{root}/registry", MODEL_A)
-    path = f"{root}/models/{MODEL_A}/{version}"
+    path = f"{root}/models/{MODEL_A}/{uuid.uuid4().hex}"  # its own, so that flows that run at once keep both models
     tables.save_model(outcome.model, path)
-    registry.register_model(spark, f"{root}/registry", MODEL_A, path)
+    version = registry.register_model(spark, f"{root}/registry", MODEL_A, path)
     return Outcome(outcome.model, outcome.metrics, outcome.predictions, version)
 
 
@@ -102,27 +113,35 @@ def train_b(rows: DataFrame, params: Params = FLOW_B, dataset_version: int | Non
 
 
 def flow_b(
-    spark: SparkSession, csv: str, root: str, defaults: Params = FLOW_B, n_trials: int = 10, parallelism: int = 4,
-    cut: bool = False,
+    spark: SparkSession, csv: str, root: str, defaults: Params = FLOW_B, n_trials: int = 10,
+    parallelism: int | None = None, policy: search.Bandit | None = search.Bandit(), cut: bool = False,
 ) -> Outcome:
-    """CSV -> dataset version -> random search -> best settings -> metrics, report -> registered model."""
+    """CSV -> dataset version -> random search with early stopping -> metrics of all trials -> the best trial's own
+    model, its report and its registered version."""
     dataset = prepare_b(spark, csv, root, cut)
     rows = tables.read_dataset(spark, root, PREPARED, dataset).drop("version")
-    trials = search.sample_trials(spark, search.SPACE_B, n_trials, defaults.seed)
-    results = written(search.evaluate_trials(rows, trials, defaults, parallelism), "trials")
-    best = search.best_trial(results, "accuracy").first()
+    trials = written(search.sample_trials(spark, search.SPACE_B, n_trials, defaults.seed), "trials")
+    found = search.run_trials(rows, trials, defaults, policy=policy, parallelism=parallelism)
+    results = written(found.results, "results")
+    best = search.best_trial(results.filter("NOT stopped"), "accuracy").first()
     if best is None:
         raise ValueError("no trial could be fitted")
-    others = results.filter(F.col("trial_id") != best["trial_id"])  # the best one logs its own, of all metrics
-    tables.log_metrics(search.trial_metrics(others), f"{root}/metrics")
-    outcome = train_b(rows, defaults.with_trial(best.asDict()), dataset, f"trial-{best['trial_id']}")
-    tables.log_metrics(outcome.metrics, f"{root}/metrics")
-    version = registry.next_version(spark, f"{root}/registry", MODEL_B)
-    path = f"{root}/models/{MODEL_B}/{version}"
-    tables.save_model(outcome.model, path)
-    tables.write_report(metrics.classification_report(outcome.predictions, "target", "predicted"), f"{path}-report")
-    accuracy = str(outcome.metrics.filter("name = 'Accuracy'").first()["value"])
-    registry.register_model(
+    logged = search.trial_metrics(results)
+    version = results.filter("accuracy is not null").select(
+        F.concat(F.lit("trial-"), F.col("trial_id")).alias("run_id"), F.lit(0).cast("bigint").alias("step"),
+        F.lit("Dataset Version").alias("name"), F.lit(float(dataset)).alias("value"),
+    )
+    logged = written(logged.unionByName(version), "metrics")
+    tables.log_metrics(logged, f"{root}/metrics")
+    model, params = found.model(best["trial_id"]), defaults.with_trial(best.asDict())
+    frequent = filter_min_class_frequency(rows, "target", params.min_class_frequency)
+    split = shuffled_split(drop_nulls(frequent, ["target", "tweet"]), "row_id", seed=params.seed)
+    predictions = written(predict(model, split.filter("split = 'test'")), "predictions")
+    path = f"{root}/models/{MODEL_B}/{uuid.uuid4().hex}"
+    tables.save_model(model, path)
+    tables.write_report(metrics.classification_report(predictions, "target", "predicted"), f"{path}-report")
+    accuracy = str(best["accuracy"])
+    registered = registry.register_model(
         spark, f"{root}/registry", MODEL_B, path, {ACCURACY_TAG: accuracy, "label": "target"}, {"Accuracy": accuracy}
     )
-    return Outcome(outcome.model, outcome.metrics, outcome.predictions, version)
+    return Outcome(model, logged.filter(F.col("run_id") == f"trial-{best['trial_id']}"), predictions, registered)
