@@ -350,8 +350,9 @@ def trial_metrics(results: DataFrame) -> DataFrame:
 
 
 def _kernel(x: Column, value: Column, width: Column) -> Column:
-    """A triangle of area 1 around a value."""
-    return F.greatest(F.lit(0.0), 1.0 - F.abs(x - value) / width) / width
+    """A triangle of area 1 around a value, mirrored at the ends of the range."""
+    one = lambda v: F.greatest(F.lit(0.0), 1.0 - F.abs(x - v) / width)
+    return (one(value) + one(2 * F.col("low") - value) + one(2 * F.col("high") - value)) / width
 
 
 def suggest_trials(
@@ -360,16 +361,17 @@ def suggest_trials(
 ) -> DataFrame:
     """Settings for new trials from those already measured, by a tree-structured Parzen estimator.
 
-    The best ceil(gamma * sqrt(n)) of n measured trials, at most 25, are the good ones. Per parameter, the density of
-    the good and of all other values is an even prior over the parameter's range, which counts as one value, and a
-    triangle around every value, as wide to each side as the range by the root of the number of values and the prior.
+    The best ceil(gamma * n) of n measured trials, at most 25, are the good ones. Per parameter, the density of the good
+    and of all other values is an even prior over the parameter's range, which counts as one value, and a triangle
+    around every value, mirrored at the range's ends; it reaches the range's hundredth to each side, or more where there
+    are fewer than 99 values: the range by their number and the prior.
     Candidates are drawn from the good density; the one with the highest ratio of good to other density is taken, of
     equal ones the first drawn. Values without a metric do not count; without any, the prior decides.
     """
     named = {PARAMETER_NAMES.get(n, n): bounds for n, bounds in space.items()}
     known = history.filter(F.col(metric).isNotNull() & ~F.isnan(F.col(metric).cast("double")))
     known = written(known.select(id, F.col(metric).alias("_metric"), *named), "history")
-    n_good = min(25, math.ceil(gamma * math.sqrt(known.count())))
+    n_good = min(25, math.ceil(gamma * known.count()))
     good = known.orderBy(F.desc("_metric"), F.asc(id)).limit(n_good).select(id, F.lit(True).alias("good"))
     marked = known.join(F.broadcast(good), id, "left").withColumn("good", F.coalesce("good", F.lit(False)))
     middle = lambda name, kind: F.col(name).cast("double") + (0.5 if kind == "int" else 0.0)
@@ -385,7 +387,7 @@ def suggest_trials(
     )
     asked = trials.select(F.col(id).alias("_id"), F.explode(F.array(*bounds)).alias("b")).select("_id", "b.*").join(F.broadcast(total), "param", "left")
     asked = asked.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_good", "n_other")})
-    width = lambda n: (F.col("high") - F.col("low")) / F.sqrt(1.0 + F.col(n))
+    width = lambda n: (F.col("high") - F.col("low")) / F.least(1.0 + F.col(n), F.lit(100.0))
     drawn = asked.withColumn("candidate", F.explode(F.sequence(F.lit(0), F.lit(candidates - 1))))
     name = F.concat_ws(":", F.col("_id").cast("string"), F.col("candidate").cast("string"), F.col("param"))
     part = lambda what: _draw(name, what, seed) / F.lit(2.0**32)
@@ -393,7 +395,8 @@ def suggest_trials(
     around = F.get("goods", place - 1) + width("n_good") * (part("left") + part("right") - 1.0)
     even = F.col("low") + part("left") * (F.col("high") - F.col("low"))
     x = F.when(place > 0, around).otherwise(even)
-    inside = F.greatest(F.col("low"), F.least(x, F.col("high") - F.when(F.col("whole"), 0.5).otherwise(0.0)))
+    mirrored = F.when(x < F.col("low"), 2 * F.col("low") - x).when(x > F.col("high"), 2 * F.col("high") - x).otherwise(x)
+    inside = F.least(mirrored, F.col("high") - F.when(F.col("whole"), 0.5).otherwise(0.0))
     drawn = drawn.withColumn("x", F.when(F.col("whole"), F.floor(inside) + 0.5).otherwise(inside)).drop("goods")
     near = drawn.join(seen, "param", "left")
     prior = 1.0 / (F.col("high") - F.col("low"))

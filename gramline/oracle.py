@@ -249,7 +249,73 @@ _SHARES = """SELECT conv_id, role, count(*) / sum(count(*)) OVER (PARTITION BY c
 _RANKED = f"""SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY p DESC, role) AS INT) AS rank,
               role AS class, round_even(p, 2) AS probability FROM ({_SHARES})"""
 
+_BEST_SPLITS = f"""WITH {_tf(_MESSAGES, 2, 3)},
+    rows AS (SELECT row_id, CAST(row_id % 16 AS INT) AS node, CASE WHEN target = 'user' THEN 1 ELSE 0 END AS label
+             FROM ({_MESSAGES}) WHERE tweet IS NOT NULL AND target IS NOT NULL),
+    total AS (SELECT count(*) AS n FROM rows),
+    vocabulary AS (SELECT gram, CAST(row_number() OVER (ORDER BY gram) - 1 AS INT) AS place, ln((1 + n) / (1.0 + df)::DOUBLE) + 1 AS idf
+                   FROM (SELECT gram, count(*) AS df FROM tf GROUP BY gram), total),
+    {_weights()},
+    held AS (SELECT node, count(*) FILTER (label = 0) AS k0, count(*) FILTER (label = 1) AS k1 FROM rows GROUP BY node),
+    entries AS (SELECT node, label, place, CAST(least(floor(0.5::DOUBLE - 16 * log2(tfidf)), 511) AS INT) AS bin
+                FROM weights JOIN rows USING (row_id) JOIN vocabulary USING (gram)),
+    steps AS (SELECT node, place, bin, count(*) FILTER (label = 0) AS c0, count(*) FILTER (label = 1) AS c1
+              FROM entries GROUP BY node, place, bin),
+    sides AS (SELECT *, CAST(sum(c0) OVER upto AS BIGINT) AS r0, CAST(sum(c1) OVER upto AS BIGINT) AS r1 FROM steps
+              WINDOW upto AS (PARTITION BY node, place ORDER BY bin)),
+    cut AS (SELECT node, place, bin, k0, k1, r0, r1, k0 - r0 AS l0, k1 - r1 AS l1 FROM sides JOIN held USING (node)),
+    best AS (SELECT *, row_number() OVER (PARTITION BY node ORDER BY
+                 (r0 * r0 + r1 * r1)::DOUBLE / (r0 + r1) + (l0 * l0 + l1 * l1)::DOUBLE / (l0 + l1) DESC, place, bin) AS rank
+             FROM cut WHERE l0 + l1 > 0)
+    SELECT node, place AS gram, bin, k0 + k1 AS node_n, k0 = 0 OR k1 = 0 AS pure, l0 + l1 AS left_n, r0 + r1 AS right_n,
+        l0 = 0 OR l1 = 0 AS left_pure, r0 = 0 OR r1 = 0 AS right_pure FROM best WHERE rank = 1"""
+
+
+def _suggested() -> str:
+    space = "('min_class_frequency', true, 50, 100), ('n_estimators', true, 5, 120), ('min_df', true, 1, 10), "
+    space += "('max_df', false, 0.4, 0.8), ('ngram_min', true, 2, 4), ('ngram_max', true, 4, 10)"
+    part = lambda what: (
+        f"('0x' || substr(md5('42:{what}:' || (1000000 + trial) || ':' || candidate || ':' || param), 1, 8))::BIGINT / 4294967296::DOUBLE"
+    )
+    one = lambda v: f"greatest(0::DOUBLE, 1 - abs(x - {v}) / w)"
+    kernel = f"({one('value')} + {one('(2 * low - value)')} + {one('(2 * high - value)')}) / w"
+    picked = ", ".join(
+        f"max(CASE WHEN param = '{n}' THEN {v} END) AS {n}"
+        for n, v in [(n, "CAST(floor(x) AS INT)") for n in ("min_class_frequency", "n_estimators", "min_df", "ngram_min", "ngram_max")]
+        + [("max_df", "round(x, 6)")]
+    )
+    return f"""WITH drawn AS (SELECT run_id, {_int("min_class_frequency", 50, 100)}, {_int("n_estimators", 5, 120)},
+        {_int("min_df", 1, 10)}, {_uniform("max_df", 0.4, 0.8)}, {_int("ngram_min", 2, 4)}, {_int("ngram_max", 4, 10)} FROM {_RUNS}),
+    reached AS (SELECT user_id AS run_id, max(value) AS metric FROM events GROUP BY user_id),
+    history AS (SELECT *, row_number() OVER (ORDER BY metric DESC, run_id)
+                    <= least(25, ceil(0.25::DOUBLE * count(*) OVER ())) AS good
+                FROM drawn JOIN reached USING (run_id) WHERE metric IS NOT NULL AND NOT isnan(metric)),
+    seen AS (SELECT good, param, value FROM (SELECT good, min_class_frequency + 0.5::DOUBLE AS min_class_frequency,
+        n_estimators + 0.5::DOUBLE AS n_estimators, min_df + 0.5::DOUBLE AS min_df, max_df::DOUBLE AS max_df,
+        ngram_min + 0.5::DOUBLE AS ngram_min, ngram_max + 0.5::DOUBLE AS ngram_max FROM history)
+        UNPIVOT (value FOR param IN (min_class_frequency, n_estimators, min_df, max_df, ngram_min, ngram_max))),
+    space(param, whole, low, high) AS (SELECT param, whole, low::DOUBLE, high::DOUBLE FROM (VALUES {space}) v(param, whole, low, high)),
+    counted AS (SELECT param, whole, low, high, count(*) FILTER (good) AS n_good, count(*) FILTER (NOT good) AS n_other,
+        list_sort(list(value) FILTER (good)) AS goods FROM space JOIN seen USING (param) GROUP BY ALL),
+    asked AS (SELECT *, (high - low) / least(1.0::DOUBLE + n_good, 100) AS w_good, (high - low) / least(1.0::DOUBLE + n_other, 100) AS w_other
+        FROM counted, range(18) t(trial), range(24) c(candidate)),
+    placed AS (SELECT *, CAST(floor({part("value")} * (n_good + 1)) AS INT) AS pick, {part("left")} AS u, {part("right")} AS v FROM asked),
+    tried AS (SELECT *, CASE WHEN pick > 0 THEN goods[pick] + w_good * (u + v - 1) ELSE low + u * (high - low) END AS z FROM placed),
+    moved AS (SELECT *, least(CASE WHEN z < low THEN 2 * low - z WHEN z > high THEN 2 * high - z ELSE z END,
+        high - CASE WHEN whole THEN 0.5::DOUBLE ELSE 0 END) AS y FROM tried),
+    candidates AS (SELECT *, CASE WHEN whole THEN floor(y) + 0.5::DOUBLE ELSE y END AS x FROM moved),
+    dense AS (SELECT trial, param, candidate, x, low, high, n_good, n_other,
+        coalesce(sum({kernel.replace("/ w", "/ w_good")}) FILTER (good), 0) AS l,
+        coalesce(sum({kernel.replace("/ w", "/ w_other")}) FILTER (NOT good), 0) AS g
+        FROM candidates JOIN seen USING (param) GROUP BY ALL),
+    rated AS (SELECT *, round(((l + 1 / (high - low)) / (n_good + 1)) / ((g + 1 / (high - low)) / (n_other + 1)), 9) AS ratio FROM dense),
+    best AS (SELECT *, row_number() OVER (PARTITION BY trial, param ORDER BY ratio DESC, candidate) AS rank FROM rated)
+    SELECT 1000000 + trial AS run_id, {picked} FROM best WHERE rank = 1 GROUP BY trial"""
+
+
 ORACLE_SQL = {
+    "best_splits": _BEST_SPLITS,
+    "suggest_trials": _suggested(),
     "read_labelled_csv": "SELECT text AS tweet, lang AS target FROM documents",
     "read_labelled_csv_cut": "SELECT text AS tweet, lang AS target FROM documents",
     "write_prepared": f"SELECT * FROM ({_JUDGED}) WHERE tweet IS NOT NULL AND target IS NOT NULL",

@@ -13,7 +13,7 @@ from gramline.operators.model import FLOW_A, FLOW_B, Params, TextModel, fit_text
 from gramline.operators.relational import drop_nulls, filter_known_labels, filter_min_class_frequency, n_classes
 from gramline.operators.splits import shuffled_split, stratified_split
 from gramline.operators.text import prepare_text
-from gramline.plans.storage import spread, written
+from gramline.plans.storage import kept, scope, spread, written
 from gramline.sources import registry, tables
 
 # Names of datasets, models and metrics.
@@ -77,13 +77,14 @@ def _rows(spark: SparkSession, csv: str, cut: bool) -> DataFrame:
 
 def flow_a(spark: SparkSession, csv: str, root: str, params: Params = FLOW_A, cut: bool = False) -> Outcome:
     """CSV -> cleaned text -> split -> forest -> logged accuracy -> registered model."""
-    rows = _rows(spark, csv, cut)
-    outcome = train_a(prepare_a(rows), params)
-    tables.log_metrics(outcome.metrics, f"{root}/metrics")
-    path = f"{root}/models/{MODEL_A}/{uuid.uuid4().hex}"  # its own, so that flows that run at once keep both models
-    tables.save_model(outcome.model, path)
-    version = registry.register_model(spark, f"{root}/registry", MODEL_A, path)
-    return Outcome(outcome.model, outcome.metrics, outcome.predictions, version)
+    with scope(spark):
+        outcome = train_a(prepare_a(_rows(spark, csv, cut)), params)
+        logged, predictions = kept(outcome.metrics, "metrics"), kept(outcome.predictions, "predictions")
+        tables.log_metrics(logged, f"{root}/metrics")
+        path = f"{root}/models/{MODEL_A}/{uuid.uuid4().hex}"  # its own, so that flows that run at once keep both models
+        tables.save_model(outcome.model, path)
+        version = registry.register_model(spark, f"{root}/registry", MODEL_A, path)
+    return Outcome(tables.load_model(path), logged, predictions, version)
 
 
 def prepare_b(spark: SparkSession, csv: str, root: str, cut: bool = False) -> int:
@@ -117,7 +118,12 @@ def flow_b(
     parallelism: int | None = None, policy: search.Bandit | None = search.Bandit(), cut: bool = False,
 ) -> Outcome:
     """CSV -> dataset version -> random search with early stopping -> metrics of all trials -> the best trial's own
-    model, its report and its registered version."""
+    model, its report and its registered version. Tables written on the way are deleted."""
+    with scope(spark):
+        return _flow_b(spark, csv, root, defaults, n_trials, parallelism, policy, cut)
+
+
+def _flow_b(spark, csv: str, root: str, defaults: Params, n_trials: int, parallelism, policy, cut: bool) -> Outcome:
     dataset = prepare_b(spark, csv, root, cut)
     rows = tables.read_dataset(spark, root, PREPARED, dataset).drop("version")
     trials = written(search.sample_trials(spark, search.SPACE_B, n_trials, defaults.seed), "trials")
@@ -131,12 +137,12 @@ def flow_b(
         F.concat(F.lit("trial-"), F.col("trial_id")).alias("run_id"), F.lit(0).cast("bigint").alias("step"),
         F.lit("Dataset Version").alias("name"), F.lit(float(dataset)).alias("value"),
     )
-    logged = written(logged.unionByName(version), "metrics")
+    logged = kept(logged.unionByName(version), "metrics")
     tables.log_metrics(logged, f"{root}/metrics")
     model, params = found.model(best["trial_id"]), defaults.with_trial(best.asDict())
     frequent = filter_min_class_frequency(rows, "target", params.min_class_frequency)
     split = shuffled_split(drop_nulls(frequent, ["target", "tweet"]), "row_id", seed=params.seed)
-    predictions = written(predict(model, split.filter("split = 'test'")), "predictions")
+    predictions = kept(predict(model, split.filter("split = 'test'")), "predictions")
     path = f"{root}/models/{MODEL_B}/{uuid.uuid4().hex}"
     tables.save_model(model, path)
     tables.write_report(metrics.classification_report(predictions, "target", "predicted"), f"{path}-report")
@@ -144,4 +150,5 @@ def flow_b(
     registered = registry.register_model(
         spark, f"{root}/registry", MODEL_B, path, {ACCURACY_TAG: accuracy, "label": "target"}, {"Accuracy": accuracy}
     )
-    return Outcome(model, logged.filter(F.col("run_id") == f"trial-{best['trial_id']}"), predictions, registered)
+    own = logged.filter(F.col("run_id") == f"trial-{best['trial_id']}")
+    return Outcome(tables.load_model(path), own, predictions, registered)

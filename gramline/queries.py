@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gramline.functions import payload
-from gramline.operators import features, metrics, model, relational, scoring, search, splits, text
+from gramline.operators import features, forest, metrics, model, relational, scoring, search, splits, text
 from gramline.plans import flows
 from gramline.plans.storage import scratch_path, spread, written
 from gramline.sources import registry, tables
@@ -282,6 +282,24 @@ def stratified_kfold(spark, sf):
 # Models
 
 
+def best_splits(spark, sf):
+    """The first split of 16 trees, one for every sixteenth of the messages, each seeing all grams of two to three
+    characters; `gram` is a gram's place among all of them."""
+    rows = messages(spark, sf).filter("tweet IS NOT NULL AND target IS NOT NULL")
+    vocabulary, _ = model.numbered(features.fit_vocabulary(rows, "tweet", 2, 3, 1, 1.0))
+    weights = features.tfidf_transform(vocabulary, rows, "row_id", "tweet", keep=("index",))
+    label = F.when(F.col("target") == "user", 1).otherwise(0).cast("bigint")
+    node = F.pmod("row_id", F.lit(16)).cast("int")
+    one = F.lit(1).cast("bigint")
+    labelled = rows.select("row_id", label.alias("label"), node.alias("node"))
+    held = labelled.select("node", forest.class_code(F.col("label")).cast("bigint").alias("code"), one.alias("w"), one.alias("n"))
+    entries = weights.join(labelled, "row_id").select(
+        "node", forest.entry_code(F.col("index").cast("bigint"), F.col("label"), forest.bin_of(F.col("tfidf")), 0).alias("code"),
+        one.alias("w"), one.alias("n"),
+    )
+    return forest.best_splits(held.unionByName(entries)).withColumnRenamed("distance", "gram")
+
+
 def _settings(params: model.Params, train: DataFrame) -> model.Params:
     """The flow's settings, with the smaller class bound if fewer than two classes of the training rows reach its own."""
     told_apart = relational.frequent_classes(train, "target", params.min_class_frequency).limit(2).count() == 2
@@ -389,6 +407,14 @@ def search_a(spark, sf):
     return flows.search_a(flows.prepare_a(spread(messages(spark, sf))))
 
 
+def suggest_trials(spark, sf):
+    """Eighteen settings suggested by what users reached with the settings that their ids draw."""
+    drawn = rounded(search.draw_parameters(_runs(spark, sf), "run_id", search.SPACE_A), "max_df")
+    reached = table(spark, sf, "events").groupBy(F.col("user_id").alias("run_id")).agg(F.max("value").alias("metric"))
+    asked = spark.range(18).select((F.col("id") + 1_000_000).alias("run_id"))
+    return rounded(search.suggest_trials(drawn.join(reached, "run_id"), asked, search.SPACE_A, "metric", "run_id"), "max_df")
+
+
 def evaluate_trials(spark, sf):
     """The trials of flow B, tried on the documents."""
     trials = search.sample_trials(spark, search.SPACE_B, 10, model.FLOW_B.seed)
@@ -539,7 +565,8 @@ CHECKED_BY_SQL = [
     document_frequency, document_frequency_of_text, prune_vocabulary, inverse_document_frequency, tfidf, tfidf_range_a, tfidf_range_b,
     tfidf_transform, text_features, stratified_split, shuffled_split, shuffled_split_lineitem, stratified_kfold,
     accuracy, weighted_precision, weighted_recall, weighted_f1, classification_report, sample_trials_a,
-    sample_trials_b, bandit_keep, surviving_runs, best_trial, trial_metrics, register_model, latest_model,
+    sample_trials_b, suggest_trials, bandit_keep, surviving_runs, best_trial, trial_metrics,
+    best_splits, register_model, latest_model,
     parse_requests, encode_response, error_to_empty, rank_scores, rank_scores_top, decode_split, encode_records,
 ]
 LEARNED = [
