@@ -332,7 +332,8 @@ def save_model(spark, sf):
 
 
 def cross_val_accuracy(spark, sf):
-    return model.cross_val_accuracy(spread(messages(spark, sf)), model.FLOW_A)
+    rows = spread(messages(spark, sf))
+    return model.cross_val_accuracy(rows, _settings(model.FLOW_A, rows))
 
 
 def train_a(spark, sf):
