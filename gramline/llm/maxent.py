@@ -6,9 +6,14 @@ equal weight; all other words, unknown ones included, belong to the class of the
 the frequent words that stand next to them. Inside a class the probabilities are counts plus one, with one place for
 unknown words in every ending class, so that the outcomes sum to 1.
 
-Training is distributed: each task takes adaptive gradient steps over its texts in small sparse batches, and the changes
-are averaged between rounds. Every training text is used once. Counts of words are exact; the most frequent
-`TABLE_WORDS` of them are broadcast, rarer ones are joined.
+The weights are partitioned by history: tokens go to a shard by the hash of the word before them, so the features of
+one word's histories lie in one shard, and the skip feature is learned within it. There is a shard for every
+`SHARD_TOKENS` tokens of the corpus, each with rows of its own, so the model grows with the corpus and no task or
+driver holds it whole. Tokens after a word so frequent that it would crowd a shard are dealt evenly to several. A shard
+takes adaptive gradient steps over its training tokens in small sparse batches, each token once, and then scores all
+its tokens; a document's parts are summed. The number of classes grows with the logarithms of tokens and types.
+
+Counts of words are exact; the `table_words` most frequent ones are broadcast, rarer ones are joined.
 """
 
 from __future__ import annotations
@@ -27,19 +32,18 @@ from gramline.llm.arrays import _LOWER, Words, mix64, plain_strings, slices
 from gramline.plans.storage import written
 
 TABLE_WORDS = 1 << 20
-FREQUENT_CLASSES = 12
-ENDING_CLASSES = 20
 FREQUENT_SHARE = 0.35
 ANCHORS = 64
+SHARD_TOKENS = 1 << 20
+HEAVY_PART = 8  # a word with more than 1/HEAVY_PART of a shard's tokens has its followers dealt to several places
 BUCKET_BITS = 16
 ENDING_BITS = 12
-ROUNDS = 2
 BATCH = 8192
 RATE = 0.25
-CHUNKS = 32
 END = np.uint64(0x656E64)  # the key of the token that ends a text
 _NONE = np.uint64(0x626F73)
 _MIX = [np.uint64(c) for c in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
+_TRAIN = 128  # set in an event's class if its text is a training text
 
 
 class Stream:
@@ -70,26 +74,37 @@ class Stream:
     def features(self) -> np.ndarray:
         shift = np.uint64(64 - BUCKET_BITS)
         hashed = (self.last * _MIX[0], self.last * _MIX[1] + self.before * _MIX[2], self.before * _MIX[3])
-        return np.stack([(mix64(h) >> shift).astype(np.int32) for h in hashed])
+        return np.stack([(mix64(h) >> shift).astype(np.uint16) for h in hashed])
+
+    def shards(self, words: Vocabulary, row_no: int) -> np.ndarray:
+        """The shard of each token's history. `row_no` is the first text's number."""
+        fan = _lookup(words.heavy, words.fan, self.last, 1).astype(np.uint64)
+        token = (self.doc + row_no).astype(np.uint64) * _MIX[1] + np.arange(len(self.doc), dtype=np.uint64)
+        place = mix64(token) % fan
+        return (mix64(self.last * _MIX[2] + place * _MIX[3]) % np.uint64(words.shards)).astype(np.int64)
 
 
 @dataclass
 class Vocabulary:
-    """What every task needs of the counts; its size does not depend on the corpus."""
+    """What every task needs of the counts: the table of at most `table_words` words and what is derived from it."""
 
     tokens: int  # N
     types: int  # V
+    shards: int
     keys: np.ndarray  # sorted keys of the table
-    counts: np.ndarray
+    counts: np.ndarray  # in training texts, 0 for words found in others only
+    heavy: np.ndarray  # sorted keys of words whose followers are dealt to several places
+    fan: np.ndarray  # the number of those places
     frequent: np.ndarray  # sorted keys of words with a class of their own kind
     frequent_class: np.ndarray
+    n_frequent_classes: int
     ending_class: np.ndarray
     class_tokens: np.ndarray
     class_types: np.ndarray
 
     def known_counts(self, key: np.ndarray) -> np.ndarray:
-        """The count of each key in the table, else 0."""
-        return _lookup(self.keys, self.counts, key, 0)
+        """The count of each key in the table, else -1."""
+        return _lookup(self.keys, self.counts, key, -1)
 
     def classes(self, stream: Stream) -> np.ndarray:
         own = _lookup(self.frequent, self.frequent_class, stream.key, -1)
@@ -97,7 +112,7 @@ class Vocabulary:
 
     def room(self) -> np.ndarray:
         """log10 of each class's denominator: its tokens, plus one for each word and for unknown ones."""
-        unknown = np.arange(len(self.class_tokens)) >= FREQUENT_CLASSES
+        unknown = np.arange(len(self.class_tokens)) >= self.n_frequent_classes
         return np.log10(np.maximum(self.class_tokens + self.class_types + unknown, 1))
 
 
@@ -117,27 +132,29 @@ def _streams(batches, column: int = 0):
 
 
 def _count(texts: DataFrame) -> DataFrame:
-    """(key, ending, n) of all tokens, a written table."""
+    """(key, ending, n, met) of all tokens, a written table: occurrences in training texts and in all texts."""
 
     def run(batches):
-        held: dict[str, list] = {"key": [], "ending": [], "n": []}
+        held: dict[str, list] = {"key": [], "ending": [], "n": [], "met": []}
         size = 0
 
         def flush():
-            key, ending, n = (np.concatenate(held[c]) for c in ("key", "ending", "n"))
+            key, ending, n, met = (np.concatenate(c) for c in held.values())
             order = np.argsort(key)
-            key, ending, n = key[order], ending[order], n[order]
+            key, ending, n, met = key[order], ending[order], n[order], met[order]
             head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            out = [pa.array(key[head].view(np.int64)), pa.array(ending[head].astype(np.int32)), pa.array(np.add.reduceat(n, head))]
+            out = [pa.array(key[head].view(np.int64)), pa.array(ending[head].astype(np.int32)), *(pa.array(np.add.reduceat(c, head)) for c in (n, met))]
             for c in held.values():
                 c.clear()
-            return pa.RecordBatch.from_arrays(out, ["key", "ending", "n"])
+            return pa.RecordBatch.from_arrays(out, list(held))
 
-        for _, _, stream, _ in _streams(batches):
-            key, at, n = np.unique(stream.key, return_index=True, return_counts=True)
+        for batch, first, stream, n_texts in _streams(batches):
+            training = batch.column(1).slice(first, n_texts).to_numpy(zero_copy_only=False).astype(bool)
+            key, at, back, met = np.unique(stream.key, return_index=True, return_inverse=True, return_counts=True)
             held["key"].append(key)
             held["ending"].append(stream.ending[at])
-            held["n"].append(n)
+            held["n"].append(np.bincount(back, training[stream.doc], len(key)).astype(np.int64))
+            held["met"].append(met)
             size += len(key)
             if size > 1_500_000:
                 yield flush()
@@ -145,8 +162,36 @@ def _count(texts: DataFrame) -> DataFrame:
         if held["key"]:
             yield flush()
 
-    counted = texts.mapInArrow(run, "key long, ending int, n long")
-    return written(counted.groupBy("key").agg(F.first("ending").alias("ending"), F.sum("n").alias("n")), "token-counts")
+    counted = texts.select("text", "training").mapInArrow(run, "key long, ending int, n long, met long")
+    sums = (F.first("ending").alias("ending"), F.sum("n").alias("n"), F.sum("met").alias("met"))
+    return written(counted.groupBy("key").agg(*sums), "token-counts")
+
+
+_HEAD = {"key": np.int64, "ending": np.int32, "n": np.int64, "met": np.int64}
+
+
+def _most_met(counts: DataFrame, table_words: int) -> pd.DataFrame:
+    """The most frequent words, at most `table_words`; sent to the driver as packed numbers, 28 bytes a word."""
+    # Counts are put in ranges by their leading six bits: at most some 2,000 rows, whatever the corpus.
+    step = F.expr("bigint(greatest(0, floor(log2(met)) - 5))")
+    low = F.expr("shiftleft(shiftright(met, int(step)), int(step))")
+    ranges = counts.withColumn("step", step).groupBy(low.alias("low")).count().collect()
+    least, total = None, 0
+    for low, n in sorted(((r["low"], r["count"]) for r in ranges), reverse=True):
+        total += n
+        if total > table_words:
+            break
+        least = low
+
+    def pack(batches):
+        for batch in batches:
+            if batch.num_rows:
+                packed = [pa.array([batch.column(i).to_numpy().astype(t).tobytes()], pa.binary()) for i, t in enumerate(_HEAD.values())]
+                yield pa.RecordBatch.from_arrays(packed, list(_HEAD))
+
+    head = counts.filter(F.col("met") >= least) if least is not None else counts.limit(0)
+    rows = head.select(*_HEAD).mapInArrow(pack, ", ".join(f"{c} binary" for c in _HEAD)).collect()
+    return pd.DataFrame({c: np.frombuffer(b"".join(r[c] for r in rows), t) for c, t in _HEAD.items()})
 
 
 def _neighbours(texts: DataFrame, anchors: np.ndarray) -> np.ndarray:
@@ -191,29 +236,34 @@ def _clusters(rows: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
 
 
 def vocabulary(texts: DataFrame, counts: DataFrame, table_words: int) -> Vocabulary:
-    total = counts.agg(F.sum("n"), F.count("*")).first()
-    n_tokens, n_types = int(total[0] or 0), int(total[1])
-    sizes = counts.groupBy("n").count().toPandas().sort_values("n", ascending=False)
-    room = sizes["count"].cumsum() <= table_words
-    least = int(sizes["n"][room].min()) if room.any() else 0
-    head = counts.filter(F.col("n") >= least).toPandas() if least else counts.limit(0).toPandas()
-    head = head.sort_values(["n", "key"], ascending=[False, True])
+    total = counts.agg(F.sum("n"), F.count_if(F.col("n") > 0), F.sum("met")).first()
+    n_tokens, n_types, n_met = (int(x or 0) for x in total)
+    table = _most_met(counts, table_words)
+    met = table[table["met"] > SHARD_TOKENS // HEAVY_PART].sort_values("key", key=lambda k: k.to_numpy().view(np.uint64))
+    head = table[table["n"] > 0].sort_values(["n", "key"], ascending=[False, True])
     keys, n = head["key"].to_numpy(np.int64).view(np.uint64), head["n"].to_numpy(np.int64)
-    n_frequent = min(4096, int(np.searchsorted(np.cumsum(n), FREQUENT_SHARE * max(n_tokens, 1))) + 1, len(n))
+    n_frequent = min(int(np.searchsorted(np.cumsum(n), FREQUENT_SHARE * max(n_tokens, 1))) + 1, len(n))
     frequent, mass = keys[:n_frequent], n[:n_frequent]
-    own_class = np.minimum((np.cumsum(mass) - mass) * FREQUENT_CLASSES // max(int(mass.sum()), 1), FREQUENT_CLASSES - 1)
-    by_ending = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("types")).toPandas()
+    n_own = max(4, n_tokens.bit_length() - 12)
+    own_class = np.minimum((np.cumsum(mass) - mass) * n_own // max(int(mass.sum()), 1), n_own - 1)
+    by_ending = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("types")).toPandas()
     tokens, types = np.zeros(1 << ENDING_BITS), np.zeros(1 << ENDING_BITS)
     tokens[by_ending["ending"]], types[by_ending["ending"]] = by_ending["n"], by_ending["types"]
     np.subtract.at(tokens, head["ending"].to_numpy()[:n_frequent], mass)
     np.subtract.at(types, head["ending"].to_numpy()[:n_frequent], 1)
-    ending_class = _clusters(_neighbours(texts, frequent[:ANCHORS]), tokens, ENDING_CLASSES) + FREQUENT_CLASSES
-    n_classes = FREQUENT_CLASSES + ENDING_CLASSES
+    n_ending = max(8, n_types.bit_length() - 2)
+    ending_class = _clusters(_neighbours(texts.filter("training").select("text"), frequent[:ANCHORS]), tokens, n_ending) + n_own
+    n_classes = n_own + n_ending
     class_tokens = np.bincount(own_class, mass, n_classes) + np.bincount(ending_class, tokens, n_classes)
     class_types = np.bincount(own_class, minlength=n_classes) + np.bincount(ending_class, types, n_classes)
-    order, table = np.argsort(frequent), np.argsort(keys)
-    return Vocabulary(n_tokens, n_types, keys[table], n[table], frequent[order], own_class[order].astype(np.int64), ending_class,
-                      class_tokens, class_types)
+    order = np.argsort(frequent)
+    all_keys = table["key"].to_numpy(np.int64).view(np.uint64)
+    by_key = np.argsort(all_keys)
+    return Vocabulary(
+        n_tokens, n_types, max(1, -(-n_met // SHARD_TOKENS)), all_keys[by_key], table["n"].to_numpy(np.int64)[by_key],
+        met["key"].to_numpy(np.int64).view(np.uint64), -(-met["met"].to_numpy(np.int64) * HEAVY_PART // SHARD_TOKENS),
+        frequent[order], own_class[order].astype(np.int64), n_own, ending_class, class_tokens, class_types,
+    )
 
 
 class Classes:
@@ -250,134 +300,118 @@ def _bias(words: Vocabulary) -> np.ndarray:
     return np.log((words.class_tokens + 1) / (words.class_tokens + 1).sum()).astype(np.float32)
 
 
-def _trained(texts: DataFrame, words: Vocabulary, share) -> np.ndarray:
-    """Weights after one pass over the texts, a round for each share of them."""
-    spark = texts.sparkSession
-    n_classes = len(words.class_tokens)
-    bias = _bias(words)
-    weights = np.zeros((1 << BUCKET_BITS, n_classes), np.float32)
-    small = Vocabulary(0, 0, words.keys[:0], words.counts[:0], words.frequent, words.frequent_class, words.ending_class, words.class_tokens, words.class_types)
-    height = (1 << BUCKET_BITS) // CHUNKS
-
-    for r in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((weights, bias, small))
-
-        def learn(batches):
-            begin, own_bias, own_words = shared.value
-            model, squares, seen = Classes(begin.copy(), own_bias), np.full_like(begin, 0.1), False
-            for _, _, stream, _ in _streams(batches):
-                features, target, seen = stream.features(), own_words.classes(stream), True
-                for at in range(0, len(target), BATCH):
-                    model.step(features[:, at : at + BATCH], target[at : at + BATCH], squares)
-            if seen:
-                change = (model.weights - begin).astype(np.float16)
-                met = (change != 0).any(1).astype(np.int64)
-                part = TaskContext.get().partitionId()
-                rows = [(part, c, change[c * height : (c + 1) * height], met[c * height : (c + 1) * height]) for c in range(CHUNKS)]
-                yield _packed(rows)
-
-        parts = texts.filter(F.pmod(share, F.lit(ROUNDS)) == r).mapInArrow(learn, _CHANGES)
-        change, met = _summed(parts, height, n_classes)
-        weights = weights + change / np.maximum(met, 1)[:, None].astype(np.float32)
-    return weights
-
-
-_CHANGES = "part long, chunk int, change binary, met binary"
-
-
-def _packed(rows) -> pa.RecordBatch:
-    columns = [
-        pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
-        pa.array([r[2].astype(np.float16).tobytes() for r in rows], pa.binary()),
-        pa.array([r[3].astype(np.int32).tobytes() for r in rows], pa.binary()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["part", "chunk", "change", "met"])
-
-
-def _summed(parts: DataFrame, height: int, n_classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sum of all tasks' changes, in groups of at most 64 tasks at a time."""
-
-    def add(frame: pd.DataFrame) -> pd.DataFrame:
-        change = np.sum([np.frombuffer(x, np.float16).astype(np.float32) for x in frame["change"]], axis=0, dtype=np.float32)
-        met = np.sum([np.frombuffer(x, np.int32) for x in frame["met"]], axis=0, dtype=np.int32)
-        row = (int(frame["part"].iloc[0]), int(frame["chunk"].iloc[0]), change.astype(np.float16).tobytes(), met.tobytes())
-        return pd.DataFrame([row], columns=["part", "chunk", "change", "met"])
-
-    now, n = parts, max(1, parts.rdd.getNumPartitions())
-    while True:
-        now = written(now.withColumn("part", F.floor(F.col("part") / 64)).groupBy("chunk", "part").applyInPandas(add, _CHANGES), "weight-changes")
-        n = -(-n // 64)
-        if n == 1:
-            break
-    change, met = np.zeros((CHUNKS * height, n_classes), np.float32), np.zeros(CHUNKS * height)
-    for r in now.collect():  # a fixed number of rows of fixed size
-        at = slice(r["chunk"] * height, (r["chunk"] + 1) * height)
-        change[at] = np.frombuffer(r["change"], np.float16).reshape(height, n_classes)
-        met[at] = np.frombuffer(r["met"], np.int32)
-    return change, met
+def _events(stream: Stream, words: Vocabulary, target: np.ndarray, training: np.ndarray, row_no: int) -> list:
+    """(shard, packed events) of a run of texts: three feature rows, class with the training mark, text in the run."""
+    shard, features = stream.shards(words, row_no), stream.features()
+    order = np.argsort(shard, kind="stable")
+    marked = (target + _TRAIN * training[stream.doc]).astype(np.uint8)[order]
+    features, doc, shard = features[:, order], stream.doc[order].astype(np.uint32), shard[order]
+    cuts = np.r_[np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]), len(shard)]
+    return [
+        {"shard": int(shard[lo]), "events": features[:, lo:hi].tobytes() + doc[lo:hi].tobytes() + marked[lo:hi].tobytes()}
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)
+    ]
+
 
+_EVENT_BYTES = 3 * 2 + 4 + 1
 
-def score(docs: DataFrame, training, share=None, table_words: int = TABLE_WORDS) -> DataFrame:
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(packed) // _EVENT_BYTES
+    features = np.frombuffer(packed, np.uint16, 3 * n).reshape(3, n)
+    return features, np.frombuffer(packed, np.uint32, n, 6 * n), np.frombuffer(packed, np.uint8, n, 10 * n)
+
+
+def _learned(features: np.ndarray, target: np.ndarray, bias: np.ndarray) -> Classes:
+    """One pass of gradient steps over a shard's training tokens, in a fixed random order."""
+    model = Classes(np.zeros((1 << BUCKET_BITS, len(bias)), np.float32), bias)
+    squares = np.full_like(model.weights, 0.1)
+    order = np.random.default_rng(len(target)).permutation(len(target))
+    size = min(BATCH, max(256, len(target) // 128))
+    for at in range(0, len(target), size):
+        take = order[at : at + size]
+        model.step(features[:, take], target[take], squares)
+    return model
+
+
+def _class_scores(events: DataFrame, bias: np.ndarray) -> DataFrame:
+    """(row_no, class_score): the sum of log10 p(class | history) over a text's tokens."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("base")
+        parts = [_unpacked(e) for e in frame["events"]]
+        features = np.concatenate([p[0] for p in parts], axis=1).astype(np.int32)
+        row = np.concatenate([p[1].astype(np.int64) + b for p, b in zip(parts, frame["base"], strict=True)])
+        marked = np.concatenate([p[2] for p in parts])
+        target, training = (marked % _TRAIN).astype(np.int64), np.flatnonzero(marked >= _TRAIN)
+        model = _learned(features[:, training], target[training], bias)
+        logs = np.empty(len(target))
+        for at in range(0, len(target), BATCH):
+            p = model.probabilities(features[:, at : at + BATCH])
+            logs[at : at + BATCH] = np.log10(np.maximum(p[np.arange(len(p)), target[at : at + BATCH]], 1e-30))
+        head = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        return pd.DataFrame({"row_no": row[head], "class_score": np.add.reduceat(logs, head)})
+
+    scored = events.groupBy("shard").applyInPandas(run, "row_no long, class_score double")
+    return scored.groupBy("row_no").agg(F.sum("class_score").alias("class_score"))
+
+
+def score(docs: DataFrame, training, table_words: int = TABLE_WORDS) -> DataFrame:
     """`docs` (without `text`) with `n_tokens`, `n_known`, `train_tokens`, `base_score` and `score`, both log10
     probabilities of the whole text: of counts plus one, and of the model.
 
     The model learns from the rows for which `training` holds. Tokens are runs of other than space and \\t to \\r, A-Z
-    lower-cased, and one end; a null or empty text is its end alone. `share` is a whole-number column that deals training
-    texts to rounds. Without training rows all tokens are unknown. Columns of `docs` with the new names are replaced.
+    lower-cased, and one end; a null or empty text is its end alone. Repeated rows and ids each count and are each
+    scored. Without training rows all tokens are unknown; an empty table gives no rows. Columns of `docs` with the new
+    names are replaced.
     """
-    spark = docs.sparkSession
-    share = F.xxhash64("doc_id") if share is None else share
-    texts = docs.filter(training).select("text", share.alias("share"))
-    counts = _count(texts.select("text"))
-    words = vocabulary(texts.select("text"), counts, table_words)
-    weights = _trained(texts, words, F.col("share"))
-    bias = _bias(words)
-    shared = spark.sparkContext.broadcast((words, weights, bias, words.room()))
     new = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     kept = [c for c in docs.columns if c not in new and c != "text"]
-    numbers = [("row_no", T.LongType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("logs", T.DoubleType()),
-               ("model", T.DoubleType()), ("rare", T.ArrayType(T.LongType()))]
-    schema = T.StructType([*docs.select(*kept).schema.fields, *(T.StructField(n, t) for n, t in numbers)])
-    at = len(kept)
+    held = F.struct(*(F.col(c) for c in kept)) if kept else F.struct(F.lit(None).cast("int").alias("none"))
+    texts = docs.select("text", F.coalesce(training, F.lit(False)).alias("training"), held.alias("held"))
+    counts = _count(texts)
+    words = vocabulary(texts, counts, table_words)
+    bias = _bias(words)
+    shared = docs.sparkSession.sparkContext.broadcast((words, words.room()))
+    event = T.StructType([T.StructField("shard", T.LongType()), T.StructField("events", T.BinaryType())])
+    schema = T.StructType([
+        texts.schema["held"], *(T.StructField(n, T.LongType()) for n in ("row_no", "n_tokens", "n_known")),
+        *(T.StructField(n, T.DoubleType()) for n in ("logs", "model")), T.StructField("rare", T.ArrayType(T.LongType())),
+        T.StructField("parts", T.ArrayType(event)),
+    ])
+    packed = pa.list_(pa.struct([("shard", pa.int64()), ("events", pa.binary())]))
 
     def run(batches):
-        own, own_weights, own_bias, room = shared.value
-        model = Classes(own_weights, own_bias)
+        own, room = shared.value
         row_no = TaskContext.get().partitionId() << 33
-        for batch, first, stream, n in _streams(batches, at):
-            count = own.known_counts(stream.key)
-            target, features = own.classes(stream), stream.features()
-            chance = np.empty(len(target))
-            for i in range(0, len(target), BATCH):
-                p = model.probabilities(features[:, i : i + BATCH])
-                chance[i : i + BATCH] = p[np.arange(len(p)), target[i : i + BATCH]]
-            logs = np.bincount(stream.doc, np.log10(count + 1), n)
-            total = np.bincount(stream.doc, np.log10(np.maximum(chance, 1e-30)) - room[target], n)
-            rare = np.flatnonzero(count == 0)
+        for batch, first, stream, n in _streams(batches):
+            learn = batch.column(1).slice(first, n).to_numpy(zero_copy_only=False).astype(bool)
+            count, target = own.known_counts(stream.key), own.classes(stream)
+            logs = np.bincount(stream.doc, np.log10(np.maximum(count, 0) + 1), n)
+            rare = np.flatnonzero(count < 0)
             cuts = np.searchsorted(stream.doc[rare], np.arange(n + 1))
             lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(stream.key[rare].view(np.int64)))
+            events = [_events(stream, own, target, learn, row_no), *[None] * (n - 1)]  # held by the run's first text
             made = [
                 pa.array(np.arange(row_no, row_no + n)), pa.array(np.bincount(stream.doc, minlength=n)),
-                pa.array(np.bincount(stream.doc, count > 0, n).astype(np.int64)), pa.array(logs), pa.array(total), lists,
+                pa.array(np.bincount(stream.doc, count > 0, n).astype(np.int64)), pa.array(logs),
+                pa.array(-np.bincount(stream.doc, room[target], n)), lists, pa.array(events, packed),
             ]
             row_no += n
-            part = batch.slice(first, n)
-            yield pa.RecordBatch.from_arrays([*part.columns[:at], *made], names=schema.names)
-
-    rows = written(docs.select(*kept, "text").mapInArrow(run, schema), "scores")
-    if words.types > len(words.keys):
-        rest = rows.select("row_no", F.explode("rare").alias("key")).groupBy("row_no", "key").agg(F.count("*").alias("times"))
-        found = rest.join(counts.select("key", "n"), "key")
-        more = found.groupBy("row_no").agg(
-            F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs")
-        )
-        rows = rows.join(more, "row_no", "left")
-    else:
-        rows = rows.withColumn("more_known", F.lit(None).cast("long")).withColumn("more_logs", F.lit(None).cast("double"))
-    logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
+            yield pa.RecordBatch.from_arrays([batch.column(2).slice(first, n), *made], names=schema.names)
+
+    rows = written(texts.mapInArrow(run, schema), "scores")
+    events = rows.filter("parts IS NOT NULL").select(F.col("row_no").alias("base"), F.explode("parts").alias("part"))
+    more = _class_scores(events.select("base", "part.*"), bias)
+    rest = rows.select("row_no", F.explode("rare").alias("key")).groupBy("row_no", "key").agg(F.count("*").alias("times"))
+    found = rest.join(counts.filter("n > 0").select("key", "n"), "key").groupBy("row_no").agg(
+        F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs")
+    )
     space = float(np.log10(words.tokens + words.types + 1))
-    return rows.select(
-        *kept, "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+    logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
+    return rows.drop("rare", "parts").join(more, "row_no", "left").join(found, "row_no", "left").select(
+        *(F.col("held").getField(c).alias(c) for c in kept), "n_tokens",
+        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(words.tokens).cast("long").alias("train_tokens"), (logs - F.col("n_tokens") * space).alias("base_score"),
-        (F.col("model") + logs).alias("score"),
+        (F.coalesce("class_score", F.lit(0.0)) + F.col("model") + logs).alias("score"),
     )

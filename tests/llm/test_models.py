@@ -60,6 +60,56 @@ def test_language_model_edge_cases(spark):
     assert maxent.score(docs.limit(0), F.lit(True)).count() == 0
 
 
+def test_scores_same_as_plain_sums(spark, monkeypatch):
+    """Every token's probability from plain counts, its class, and a softmax over its shard's weights, summed by text."""
+    monkeypatch.setattr(maxent, "SHARD_TOKENS", 512)
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["the", "of", *(f"w{i}" for i in range(60))], 40, p=[0.35, 0.15, *[0.5 / 60] * 60])) for _ in range(80)]
+    texts += [None, "", "Q " * 400, texts[0], "new words of the day"]
+    learn = [i % 5 != 2 for i in range(len(texts))]
+    docs = spark.createDataFrame(list(zip(range(len(texts)), texts, learn)), "doc_id long, text string, learn boolean").coalesce(1)
+    for table_words in (1 << 20, 5):
+        got = {r["doc_id"]: r for r in maxent.score(docs, F.col("learn"), table_words).collect()}
+        held = docs.select("text", F.col("learn").alias("training"))
+        vocabulary = maxent.vocabulary(held, maxent._count(held), table_words)
+        assert vocabulary.shards > 3 and len(vocabulary.heavy) >= 2 and len(vocabulary.keys) <= table_words
+        counts = _counts(t for t, own in zip(texts, learn) if own)
+        data, offsets = raw_bytes(plain_strings(pa.array(texts)))
+        stream = maxent.Stream(data, offsets)
+        shard, target, features = stream.shards(vocabulary, 0), vocabulary.classes(stream), stream.features().astype(int)
+        tokens = [(i, w) for i, t in enumerate(texts) for w in [*words(t), "\0end"]]
+        known = {w: c for (_, w), c in zip(tokens, target.tolist())}
+        room = Counter(known[w] for w in counts) + Counter({known[w]: 0 for w in counts})
+        for w, n in counts.items():
+            room[known[w]] += n
+        bias, want = maxent._bias(vocabulary), Counter()
+        for s in set(shard.tolist()):
+            own = np.flatnonzero(shard == s)
+            trained = [i for i in own if learn[tokens[i][0]]]
+            weights = maxent._learned(features[:, trained], target[trained], bias).weights
+            for i in own:
+                logits = bias + sum(weights[f] for f in features[:, i])
+                chance = np.exp(logits[target[i]]) / np.exp(logits).sum()
+                rest = room[target[i]] + (target[i] >= vocabulary.n_frequent_classes)
+                want[tokens[i][0]] += log10(chance) + log10((counts[tokens[i][1]] + 1) / rest)
+        assert len(got) == len(texts)
+        assert all(np.isclose(got[i]["score"], want[i], rtol=1e-4) for i in got)
+
+
+def test_gradient_step_same_as_plain_one():
+    rng = np.random.default_rng(2)
+    model = maxent.Classes(rng.normal(size=(8, 3)).astype(np.float32), rng.normal(size=3).astype(np.float32))
+    before, features, target = model.weights.astype(float), rng.integers(0, 5, (3, 20)), rng.integers(0, 3, 20)
+    gradient = np.zeros((8, 3))
+    for i in range(20):
+        logits = model.bias + sum(before[f] for f in features[:, i])
+        wrong = np.exp(logits) / np.exp(logits).sum() - np.eye(3)[target[i]]
+        for f in features[:, i]:
+            gradient[f] += wrong
+    model.step(features, target, np.full((8, 3), 0.1, np.float32))
+    assert np.allclose(model.weights, before - maxent.RATE * gradient / (np.sqrt(0.1 + gradient**2) + 1e-6), atol=1e-4)
+
+
 def test_class_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     model = maxent.Classes(rng.normal(size=(1 << 16, 32)).astype(np.float32), rng.normal(size=32).astype(np.float32))
