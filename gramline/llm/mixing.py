@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from gramline.llm import numbering
 from gramline.llm.arrays import Words, mix64, plain_strings, word_counts
+from gramline.plans.lookup import BROADCAST_BYTES
+from gramline.plans.storage import written
 
 BLOCK_WORDS = 64
 SHARD_WORDS = 1 << 18
@@ -65,7 +67,13 @@ def _listed(docs: DataFrame) -> DataFrame:
     """(source, source_no): sources numbered by code point, null last. The driver sees each source's name once."""
     names = [r["source"] for r in docs.select("source").distinct().collect()]
     order = sorted(names, key=lambda s: (s is None, s or ""))
-    return docs.sparkSession.createDataFrame(list(zip(order, range(len(order)))), "named string, source_no long")
+    table = docs.sparkSession.createDataFrame(list(zip(order, range(len(order)))), "named string, source_no long")
+    return _if_small(table, sum(len((s or "").encode()) + 16 for s in order))
+
+
+def _if_small(table: DataFrame, n_bytes: int) -> DataFrame:
+    """The table, to be broadcast if its size allows."""
+    return F.broadcast(table) if n_bytes <= BROADCAST_BYTES else table
 
 
 def _sources(rows: DataFrame, weights, share: float) -> pd.DataFrame:
@@ -120,29 +128,34 @@ class Mix:
     of documents in each slot: (out_shard, pass_no, part_id, part_row, lo, hi), words lo to hi of the document.
 
     Words are runs of other than space and \\t to \\r. A null text has no words; null is a source of its own; rows are
-    never merged, whatever they share. A source without words, or an empty table, gives no pieces. Extra columns of
-    `docs` are kept when `keep` is set. No document is used more than twice its size.
+    never merged, whatever they share. A source without words, or an empty table, gives no pieces. All columns of `docs`
+    are kept, whatever their names, when `keep` is set: in `held` until `documents` gives them back. No document is used
+    more than twice its size.
+
+    Slots and blocks are both shuffled by source and block: neither is broadcast, as both grow with the documents.
     """
 
     def __init__(self, docs: DataFrame, weights=WEIGHTS, share=SHARE, block_words=BLOCK_WORDS, shard_words=SHARD_WORDS,
                  seed=SEED, keep: bool = False):
         spark = docs.sparkSession
         self.block_words = block_words
-        own = docs.select(*(c for c in docs.columns if c not in _OWN)) if keep else docs.select("doc_id", "source", "text")
+        own = docs.select("source", F.struct("*").alias("held")) if keep else docs.select("doc_id", "source", "text")
         listed = _listed(docs)
-        own = own.join(F.broadcast(listed), own["source"].eqNullSafe(listed["named"])).drop("named")
+        own = own.join(listed, own["source"].eqNullSafe(listed["named"])).drop("named")
         sized = T.StructType([T.StructField("size", T.LongType())])
-        rows = numbering.placed(
-            own, sized, lambda b: (word_counts(plain_strings(b.column(b.schema.get_field_index("text")))),),
-            "source_no", "size", "mix-rows", () if keep else ("text",),
-        )
+
+        def sizes(batch):
+            texts = batch.column("held").field(batch.schema.field("held").type.get_field_index("text")) if keep else batch.column("text")
+            return (word_counts(plain_strings(texts)),)
+
+        rows = numbering.placed(own, sized, sizes, "source_no", "size", "mix-rows", () if keep else ("text",))
         self.sources = _sources(rows, weights, share)
         goals = spark.createDataFrame(
             [(i, int(w), float(t)) for i, (w, t) in enumerate(self.sources.itertuples(index=False))],
             "source_no long, source_size long, target double",
         )
-        self.rows = rows.join(F.broadcast(goals), "source_no")
-        self.slots = _slots(spark, self.sources, block_words, shard_words, seed)
+        self.rows = rows.join(_if_small(goals, 24 * len(self.sources)), "source_no")
+        self.slots = written(_slots(spark, self.sources, block_words, shard_words, seed), "mix-slots")
 
     def pieces(self) -> DataFrame:
         first = F.col(numbering.START)
@@ -157,7 +170,7 @@ class Mix:
             "source_no", "block", numbering.PART, numbering.ROW, F.greatest(begin, F.lit(0)).alias("lo"),
             F.least(begin + self.block_words, F.col("size")).alias("hi"),
         )
-        return self.slots.join(parts, ["source_no", "block"]).select(
+        return self.slots.hint("merge").join(parts, ["source_no", "block"]).select(
             "out_shard", "pass_no", numbering.PART, numbering.ROW, "lo", "hi"
         )
 
@@ -171,12 +184,10 @@ class Mix:
         cut to the words taken."""
         spans = F.array_sort(F.collect_list(F.struct("lo", "hi")))
         chosen = self.pieces().groupBy(numbering.PART, numbering.ROW, "pass_no").agg(spans.alias("spans"))
-        columns = [c for c in self.rows.columns if c not in _OWN]
-        joined = self.rows.select(*columns, numbering.PART, numbering.ROW).join(chosen, [numbering.PART, numbering.ROW])
-        return joined.withColumn("text", _cut("text", "spans")).select(*columns)
-
-
-_OWN = {"size", numbering.PART, numbering.ROW, numbering.START, "source_no", "source_size", "target"}
+        joined = self.rows.select("held", numbering.PART, numbering.ROW).join(chosen, [numbering.PART, numbering.ROW])
+        text = _cut(F.col("held").getField("text"), "spans").alias("text")
+        names = self.rows.schema["held"].dataType.names
+        return joined.select(*(text if c == "text" else F.col("held").getField(c).alias(c) for c in names))
 
 
 @F.pandas_udf(T.StringType())

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from brute import words
 from gramline.llm import mixing, shard_tree
@@ -99,11 +100,23 @@ def test_mix_meets_targets(spark):
 
 def test_mix_edge_cases(spark):
     rows = [(1, "a b  c", None), (1, "a b  c", None), (None, None, "s"), (2, "", "s"), (3, "\n x y", ""), (4, "z " * 500, "t")]
-    docs = spark.createDataFrame([(*r, "own") for r in rows], "doc_id long, text string, source string, size string")
+    names = ["size", "target", "source_size", "source_no", "named", "part_id", "part_row", "group_start", "held", "spans", "block"]
+    extra = [F.concat(F.lit(n), F.coalesce(F.col("doc_id"), F.lit(0)).cast("string")).alias(n) for n in names]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").select("*", *extra)
     mix = mixing.Mix(docs, block_words=4, shard_words=100, keep=True)
     got = mix.taken().collect()
     assert len(got) == 6 and all(r["taken"] <= 2 * r["size"] for r in got)
     out = mix.documents().collect()
     assert sum(len(words(r["text"])) for r in out) == sum(r["taken"] for r in got)
+    assert mix.documents().columns == docs.columns and out
+    assert all(r[n] == f"{n}{r['doc_id'] or 0}" for r in out for n in names)
     assert all(r["text"] in rows[[x[0] for x in rows].index(r["doc_id"])][1] for r in out if r["doc_id"] != 4)
     assert mixing.Mix(docs.limit(0)).taken().count() == 0
+
+
+def test_slots_are_not_broadcast(spark):
+    """At sizes Spark itself would broadcast, the slots still go through a shuffle."""
+    pieces = mixing.Mix(spark.read.parquet(f"{SF}/documents.parquet")).pieces()
+    pieces.collect()
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "MapInPandas" not in plan
