@@ -46,6 +46,13 @@ _MIX = [np.uint64(c) for c in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6
 _TRAIN = 128  # set in an event's class if its text is a training text
 
 
+def _features(codes: np.ndarray) -> np.ndarray:
+    """The weight rows of the last word, the last two words, and the word before the last."""
+    last, before = codes.astype(np.uint64)
+    both = mix64((last << np.uint64(BUCKET_BITS) | before) * _MIX[1]) >> np.uint64(64 - BUCKET_BITS)
+    return np.stack([codes[0], both, codes[1]]).astype(np.int32)
+
+
 class Stream:
     """Tokens of a run of texts, each text's words and then its end: `key`, `ending`, `doc`, and the two keys before."""
 
@@ -71,10 +78,13 @@ class Stream:
         self.last[1:][same] = self.key[:-1][same]
         self.before[1:][same] = self.last[:-1][same]
 
-    def features(self) -> np.ndarray:
+    def codes(self) -> np.ndarray:
+        """Hashes of the last word and of the word before it, from which the features are made."""
         shift = np.uint64(64 - BUCKET_BITS)
-        hashed = (self.last * _MIX[0], self.last * _MIX[1] + self.before * _MIX[2], self.before * _MIX[3])
-        return np.stack([(mix64(h) >> shift).astype(np.uint16) for h in hashed])
+        return np.stack([(mix64(h) >> shift).astype(np.uint16) for h in (self.last * _MIX[0], self.before * _MIX[3])])
+
+    def features(self) -> np.ndarray:
+        return _features(self.codes())
 
     def shards(self, words: Vocabulary, row_no: int) -> np.ndarray:
         """The shard of each token's history. `row_no` is the first text's number."""
@@ -301,25 +311,32 @@ def _bias(words: Vocabulary) -> np.ndarray:
 
 
 def _events(stream: Stream, words: Vocabulary, target: np.ndarray, training: np.ndarray, row_no: int) -> list:
-    """(shard, packed events) of a run of texts: three feature rows, class with the training mark, text in the run."""
-    shard, features = stream.shards(words, row_no), stream.features()
+    """(shard, packed events) of a run of texts: history codes, class with the training mark, steps of the text's number."""
+    shard, codes = stream.shards(words, row_no), stream.codes()
     order = np.argsort(shard, kind="stable")
     marked = (target + _TRAIN * training[stream.doc]).astype(np.uint8)[order]
-    features, doc, shard = features[:, order], stream.doc[order].astype(np.uint32), shard[order]
+    codes, doc, shard = codes[:, order], stream.doc[order].astype(np.uint32), shard[order]
     cuts = np.r_[np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]), len(shard)]
     return [
-        {"shard": int(shard[lo]), "events": features[:, lo:hi].tobytes() + doc[lo:hi].tobytes() + marked[lo:hi].tobytes()}
+        {"shard": int(shard[lo]), "n": int(hi - lo), "events": _packed(codes[:, lo:hi], marked[lo:hi], doc[lo:hi])}
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)
     ]
 
 
-_EVENT_BYTES = 3 * 2 + 4 + 1
+_EVENT_BYTES = 2 * 2 + 1 + 4
+
 
+def _packed(codes: np.ndarray, marked: np.ndarray, doc: np.ndarray) -> bytes:
+    """Steps are mostly 0 or 1; stored byte by byte of their four, nearly all compress to nothing."""
+    steps = np.diff(doc, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T
+    return pa.compress(codes.tobytes() + marked.tobytes() + steps.tobytes(), "zstd", asbytes=True)
 
-def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = len(packed) // _EVENT_BYTES
-    features = np.frombuffer(packed, np.uint16, 3 * n).reshape(3, n)
-    return features, np.frombuffer(packed, np.uint32, n, 6 * n), np.frombuffer(packed, np.uint8, n, 10 * n)
+
+def _unpacked(packed: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    flat = np.frombuffer(pa.decompress(packed, n * _EVENT_BYTES, "zstd"), np.uint8)
+    codes = flat[: 4 * n].view(np.uint16).reshape(2, n)
+    steps = np.ascontiguousarray(flat[5 * n :].reshape(4, n).T).view(np.uint32).ravel()
+    return codes, flat[4 * n : 5 * n], np.cumsum(steps, dtype=np.int64)
 
 
 def _learned(features: np.ndarray, target: np.ndarray, bias: np.ndarray) -> Classes:
@@ -335,25 +352,36 @@ def _learned(features: np.ndarray, target: np.ndarray, bias: np.ndarray) -> Clas
 
 
 def _class_scores(events: DataFrame, bias: np.ndarray) -> DataFrame:
-    """(row_no, class_score): the sum of log10 p(class | history) over a text's tokens."""
+    """(row_no, class_score): the sum of log10 p(class | history) over a text's tokens. A shard answers each run of
+    texts with one row of packed sums, which are added up run by run."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("base")
-        parts = [_unpacked(e) for e in frame["events"]]
-        features = np.concatenate([p[0] for p in parts], axis=1).astype(np.int32)
-        row = np.concatenate([p[1].astype(np.int64) + b for p, b in zip(parts, frame["base"], strict=True)])
-        marked = np.concatenate([p[2] for p in parts])
+        parts = [_unpacked(e, n) for e, n in zip(frame["events"], frame["n"], strict=True)]
+        features = _features(np.concatenate([p[0] for p in parts], axis=1))
+        marked = np.concatenate([p[1] for p in parts])
         target, training = (marked % _TRAIN).astype(np.int64), np.flatnonzero(marked >= _TRAIN)
         model = _learned(features[:, training], target[training], bias)
         logs = np.empty(len(target))
         for at in range(0, len(target), BATCH):
             p = model.probabilities(features[:, at : at + BATCH])
             logs[at : at + BATCH] = np.log10(np.maximum(p[np.arange(len(p)), target[at : at + BATCH]], 1e-30))
-        head = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        return pd.DataFrame({"row_no": row[head], "class_score": np.add.reduceat(logs, head)})
+        cuts, sums = np.cumsum(frame["n"].to_numpy())[:-1], []
+        for part, own in zip(parts, np.split(logs, cuts), strict=True):
+            text = part[2]
+            head = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+            sums.append(text[head].tobytes() + np.add.reduceat(own, head).tobytes())
+        return pd.DataFrame({"base": frame["base"], "shard": frame["shard"], "sums": sums})
+
+    def total(frame: pd.DataFrame) -> pd.DataFrame:
+        halves = [(s[: len(s) // 2], s[len(s) // 2 :]) for s in frame.sort_values("shard")["sums"]]
+        text = np.frombuffer(b"".join(h[0] for h in halves), np.int64)
+        sums = np.bincount(text, np.frombuffer(b"".join(h[1] for h in halves), np.float64))
+        met = np.unique(text)
+        return pd.DataFrame({"row_no": met + frame["base"].iloc[0], "class_score": sums[met]})
 
-    scored = events.groupBy("shard").applyInPandas(run, "row_no long, class_score double")
-    return scored.groupBy("row_no").agg(F.sum("class_score").alias("class_score"))
+    scored = events.groupBy("shard").applyInPandas(run, "base long, shard long, sums binary")
+    return scored.groupBy("base").applyInPandas(total, "row_no long, class_score double")
 
 
 def score(docs: DataFrame, training, table_words: int = TABLE_WORDS) -> DataFrame:
@@ -373,13 +401,13 @@ def score(docs: DataFrame, training, table_words: int = TABLE_WORDS) -> DataFram
     words = vocabulary(texts, counts, table_words)
     bias = _bias(words)
     shared = docs.sparkSession.sparkContext.broadcast((words, words.room()))
-    event = T.StructType([T.StructField("shard", T.LongType()), T.StructField("events", T.BinaryType())])
+    event = T.StructType([T.StructField("shard", T.LongType()), T.StructField("n", T.LongType()), T.StructField("events", T.BinaryType())])
     schema = T.StructType([
         texts.schema["held"], *(T.StructField(n, T.LongType()) for n in ("row_no", "n_tokens", "n_known")),
         *(T.StructField(n, T.DoubleType()) for n in ("logs", "model")), T.StructField("rare", T.ArrayType(T.LongType())),
         T.StructField("parts", T.ArrayType(event)),
     ])
-    packed = pa.list_(pa.struct([("shard", pa.int64()), ("events", pa.binary())]))
+    packed = pa.list_(pa.struct([("shard", pa.int64()), ("n", pa.int64()), ("events", pa.binary())]))
 
     def run(batches):
         own, room = shared.value
