@@ -1,4 +1,6 @@
 import pytest
+from pyspark.sql import functions as F
+
 from brute import edit_distance, near_duplicates, words
 
 import corpus_pipeline
@@ -35,12 +37,18 @@ def test_stages_take_effect(spark, tmp_path):
 @pytest.mark.parametrize("missing", ["text", "source", "doc_id"])
 def test_stages_with_nulls_and_extra_columns(spark, missing):
     rows = [(i, f"some words of text number {i} " * 9, "en", f"s{i % 3}", 9, "x") for i in range(12)] + [(3, "", "en", "s", 0, "x")] * 2
+    names = [
+        "predicted", "spans", "toxic", "ref", "words_key", "component_id", "kept", "leaks", "more", "size", "target", "source_no",
+        "source_size", "named", "part_id", "part_row", "group_start", "held", "own", "block", "pass_no",
+    ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string")
+    docs = docs.select("*", *(F.lit(f"own {n}").alias(n) for n in names))
     nulls = docs.selectExpr(*(f"if(n_chars = 9 AND lang = 'en', NULL, {c}) AS {c}" if c == missing else c for c in docs.columns))
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, nulls, SF)
         if name != "sharding":
             assert out.columns == docs.columns
+            assert all(r["score"] == "x" and all(r[n] == f"own {n}" for n in names) for r in out.collect())
         assert out.count() <= 3 * len(rows)
         assert stage(spark, docs.limit(0), SF).count() == 0
 
