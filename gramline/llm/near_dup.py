@@ -91,6 +91,7 @@ def _bands(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 BLOCK_MEMBERS = 1000
 BLOCK_SHINGLES = 1 << 20
 SHARD_MEMBERS = 20_000
+SALT_PAIRS = 1000
 _SIGNED = "ref binary, doc_id long, words_key binary, n_shingles long, bands array<long>, signature binary"
 
 
@@ -126,7 +127,8 @@ def row_ref():
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose shingle sets are similar enough."""
+    """The pairs (a, b) of classes whose shingle sets are similar enough. A class found in more than SALT_PAIRS pairs is
+    copied, so that no task gets all of them."""
 
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -140,9 +142,17 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
             out[i] = 100 * common >= percent * (len(value) - common) and common > 0
         return pd.Series(out)
 
-    left = texts.select(F.col("words_key").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("words_key").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").filter(similar("text_a", "text_b")).select("a", "b")
+    for side, other in (("a", "b"), ("b", "a")):
+        salts = F.ceil(F.col("n") / SALT_PAIRS).cast("long").alias(f"salts_{side}")
+        heavy = pairs.groupBy(side).agg(F.count("*").alias("n")).filter(F.col("n") > SALT_PAIRS).select(side, salts)
+        heavy = written(heavy, "heavy-classes")
+        salted = lookup_join(pairs, heavy, [side], "left")
+        pairs = salted.withColumn(f"salt_{side}", F.pmod(F.xxhash64(other), F.coalesce(f"salts_{side}", F.lit(1)))).drop(f"salts_{side}")
+        own = lookup_join(texts.select(F.col("words_key").alias(side), F.col("text").alias(f"text_{side}")), heavy, [side], "left")
+        copies = F.sequence(F.lit(0).cast("long"), F.coalesce(f"salts_{side}", F.lit(1)) - 1)
+        own = own.withColumn(f"salt_{side}", F.explode(copies)).drop(f"salts_{side}")
+        pairs = pairs.join(own, [side, f"salt_{side}"])
+    return pairs.filter(similar("text_a", "text_b")).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCENT, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
@@ -216,25 +226,46 @@ def _texts_of(source: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFra
     return written(found.groupBy("words_key").agg(F.first("text").alias("text")), "pair-texts")
 
 
+def _units(placed: DataFrame) -> DataFrame:
+    """(band, low, high, own, words_key, n_shingles, root): the members (band, words_key, n_shingles, root) of buckets
+    that hold several components, once for each unit of work, a pair of blocks, that they take part in.
+
+    Members of a bucket's largest component share no open pair. They and the rest are cut apart into blocks of at most
+    about BLOCK_MEMBERS members and BLOCK_SHINGLES shingles; the rest's blocks meet each other and those of the
+    largest component, which do not meet among themselves. So beside a few strays a component of any size costs a row
+    per member.
+    """
+
+    def blocks(members, many):
+        return F.ceil(F.greatest(members / BLOCK_MEMBERS, many / BLOCK_SHINGLES)).cast("long")
+
+    sizes = placed.groupBy("band", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("many"))
+    buckets = sizes.groupBy("band").agg(
+        F.max(F.struct("n", "root", "many")).alias("most"), F.sum("n").alias("members"), F.sum("many").alias("many")
+    ).filter("most.n < members AND members > 2")
+    buckets = buckets.select(
+        "band", "members", F.col("most.root").alias("main"), blocks(F.col("most.n"), F.col("most.many")).alias("main_blocks"),
+        blocks(F.col("members") - F.col("most.n"), F.col("many") - F.col("most.many")).alias("rest_blocks"),
+    )
+    rows = lookup_join(placed, written(buckets, "mixed-buckets"), ["band"], weight="members")
+    of_main, place = F.col("root") == F.col("main"), F.xxhash64("words_key")
+    own = F.when(of_main, F.col("rest_blocks") + F.pmod(place, "main_blocks")).otherwise(F.pmod(place, "rest_blocks"))
+    met = F.when(of_main, F.col("rest_blocks")).otherwise(F.col("rest_blocks") + F.col("main_blocks"))
+    copies = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), met - 1)))
+    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    return written(copies.select("band", low, high, "own", "words_key", "n_shingles", "root"), "units")
+
+
 def _missed(source: DataFrame, shared: DataFrame, classes: DataFrame, roots: DataFrame, n: int, percent: int) -> DataFrame | None:
     """Links (a, b) between classes in a common bucket whose components differ so far; None if there is nothing to try.
 
-    A bucket is cut into blocks of at most about BLOCK_MEMBERS members and BLOCK_SHINGLES shingles, and each pair of
-    blocks is one unit of work. Signatures choose the members that may have a link there; those are compared by their
-    full sets, and a unit gives as many links as join its members, never all its pairs.
+    Signatures choose the members of a unit (see `_units`) that may have a link there; those are compared by their full
+    sets, and a unit gives as many links as join its members, never all its pairs.
     """
     placed = shared.select("band", "one.words_key", "one.n_shingles", F.col("one.words_key").alias("node")).join(roots, "node", "left")
-    placed = placed.select("band", "words_key", "n_shingles", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("band").agg(
-        F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("members"), F.sum("n_shingles").alias("shingles")
-    )
-    blocks = F.ceil(F.greatest(F.col("members") / BLOCK_MEMBERS, F.col("shingles") / BLOCK_SHINGLES)).alias("blocks")
-    left = written(placed.join(mixed.filter("x != y AND members > 2").select("band", blocks), "band"), "mixed-buckets")
-    n_shards = max(1, -(-(left.agg(F.sum("blocks")).first()[0] or 0) // SHARD_MEMBERS))
-    own = F.pmod(F.xxhash64("words_key"), F.col("blocks"))
-    copies = left.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    units = copies.select("band", low, high, "own", "words_key", "n_shingles", "root")
+    placed = written(placed.select("band", "words_key", "n_shingles", F.coalesce("root", "node").alias("root")), "placed")
+    units = _units(placed)
+    n_shards = max(1, -(-units.count() // SHARD_MEMBERS))
     units = units.join(classes.select("words_key", "signature", "bands"), "words_key")
     shard = F.pmod(F.xxhash64("band", "low", "high"), F.lit(n_shards)).alias("shard")
     chosen = written(

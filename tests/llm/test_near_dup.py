@@ -22,6 +22,7 @@ def test_same_as_brute_force_on_documents(spark):
 @pytest.mark.parametrize("block", [1000, 7])
 def test_chains_and_group_of_variants(spark, monkeypatch, block):
     monkeypatch.setattr(near_dup, "BLOCK_MEMBERS", block)
+    monkeypatch.setattr(near_dup, "SALT_PAIRS", block)
     rng = random.Random(4)
     base = [f"w{i}" for i in range(120)]
     rows = []
@@ -36,6 +37,32 @@ def test_chains_and_group_of_variants(spark, monkeypatch, block):
     assert found == {i: (n, c, i == c) for i, (n, c) in expected.items()}
 
 
+def test_units_grow_in_proportion(spark):
+    """Near copies beside ten strays: a row for each copy. All open pairs of a bucket meet in exactly one unit."""
+    for m in (2000, 8000, 32000):
+        placed = spark.range(m + 10).select(
+            F.lit(1).cast("long").alias("band"), F.col("id").cast("string").cast("binary").alias("words_key"),
+            F.lit(50).cast("long").alias("n_shingles"), F.when(F.col("id") < m, "main").otherwise(F.col("id").cast("string")).cast("binary").alias("root"),
+        )
+        assert near_dup._units(placed).count() <= 1.02 * m + 40
+
+
+def test_open_pairs_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK_MEMBERS", 4)
+    rng = random.Random(2)
+    rows = [(rng.randrange(3), str(i).encode(), 5, b"abc"[(r := min(2, rng.randrange(5))) : r + 1]) for i in range(60)]
+    units = {}
+    for r in near_dup._units(spark.createDataFrame(rows, "band long, words_key binary, n_shingles long, root binary")).collect():
+        units.setdefault((r["band"], r["low"], r["high"]), []).append((r["own"], bytes(r["words_key"]), bytes(r["root"])))
+    met = {}
+    for (band, low, high), members in units.items():
+        for x in members:
+            for y in members:
+                if x[2] < y[2] and (low == high or x[0] != y[0]):
+                    met[band, x[1], y[1]] = met.get((band, x[1], y[1]), 0) + 1
+    assert met == {(b, x, y): 1 for b, x, _, p in rows for c, y, _, q in rows if b == c and p < q}
+
+
 def test_edge_cases(spark):
     rows = [
         (7, "One two  THREE four five", "x"), (3, "one two three four\nfive", None), (9, None, "x"), (8, "", "x"), (5, " \n\t", "x"),
