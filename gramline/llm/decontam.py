@@ -9,12 +9,13 @@ key with it, and candidates are verified by the exact distance of the item to th
 Windows are embedded only where a match is possible: an item within k edits keeps all but q*k of its runs of q words,
 so windows that hold fewer runs of the items of their length are passed over. That loses nothing.
 
-Two walks part further the longer the item is, so a fixed number of repetitions finds ever fewer copies. Items that must
-keep at least `COUNTED_LEAST` runs (those of 25 words and more) are therefore not embedded: each one's runs are counted
-where they stand, and every part of a text that holds enough of them is verified. No such copy is lost.
+Two walks part further the longer the sequence is, so items of more than `PIECE_WORDS` words are cut into pieces of
+nearly equal length. Of m pieces, one has at most an m-th of the edits, which is within a fifth of its own words; so each
+piece is searched as an item of its length, and where one is met the whole item is verified around it, after a count of
+the whole item's runs there.
 
-Recall of the shorter ones at the bound itself, with edits spread at random, is over 0.95 (tests/llm measures it);
-copies with fewer edits are found nearly always, exact ones always.
+Recall at the bound itself, with edits spread at random, is over 0.95 at every length (tests/llm measures it); copies
+with fewer edits are found nearly always, exact ones always.
 """
 
 from __future__ import annotations
@@ -31,11 +32,11 @@ EDIT_SHARE = 0.2
 LEAST_WORDS = 5
 REPETITIONS = 32
 SAMPLES = 3
-COUNTED_LEAST = 8
-COUNTED_PAIRS = 1 << 22
-COUNTED_RUN = 3  # run_length() of every item that keeps COUNTED_LEAST runs
+PIECE_WORDS = 24
 BLOCK_ITEMS = 20_000
+BLOCK_BYTES = 1 << 23
 WINDOW_BLOCK = 1 << 14
+HELD_WORDS = 1 << 22
 _RUN_MIX = [np.uint64(c) for c in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 _PAD = np.uint64(0)
 
@@ -102,89 +103,37 @@ def _table(item: np.ndarray, text: np.ndarray, free: bool) -> tuple[int, int]:
 
 
 class ItemIndex:
-    """Items by length: their words, their runs, and their keys of every repetition."""
+    """Items in pieces of at most PIECE_WORDS words; pieces by length: their runs, and their keys of every repetition."""
 
     def __init__(self, ids, texts, repetitions: int = REPETITIONS, samples: int = SAMPLES, least_words: int = LEAST_WORDS):
         self.ids, self.repetitions, self.samples = ids, repetitions, samples
-        column = plain_strings(pa.array(texts, pa.string()))
         self.words: list[np.ndarray] = []
-        for _, data, offsets in slices(column):
+        for _, data, offsets in slices(plain_strings(pa.array(texts, pa.string()))):
             words = Words(data, offsets, strip=True)
             self.words += [words.key[a:b] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
-        self.by_length: dict[int, np.ndarray] = {}
-        lengths = np.array([len(w) for w in self.words], np.int64)
-        for n in np.unique(lengths[lengths >= max(1, least_words)]):
-            self.by_length[int(n)] = np.flatnonzero(lengths == n)
-        counted = [n for n in self.by_length if run_length(n)[1] >= COUNTED_LEAST]
-        self.counted = np.sort(np.concatenate([self.by_length.pop(n) for n in counted])) if counted else np.zeros(0, np.int64)
-        self._post()
+        pieces = []
+        for i, own in enumerate(self.words):
+            m = -(-len(own) // PIECE_WORDS) if len(own) >= max(1, least_words) else 0
+            edges = [len(own) * j // m for j in range(m + 1)] if m else []
+            pieces += [(i, at, end - at) for at, end in zip(edges, edges[1:])]
+        self.piece_item, self.piece_at, size = np.array(pieces, np.int64).reshape(-1, 3).T
+        self.by_length = {int(n): np.flatnonzero(size == n) for n in np.unique(size)}
+        self.item_runs: dict[int, np.ndarray] = {}
         self.runs, self.keys = {}, {}
         for n, members in self.by_length.items():
+            matrix = np.full((len(members), n + 1), _PAD)
+            for row, p in zip(matrix, members, strict=True):
+                row[:n] = self.words[self.piece_item[p]][self.piece_at[p] : self.piece_at[p] + n]
             q, _ = run_length(n)
-            self.runs[n] = np.unique(np.concatenate([_runs(self.words[i], q) for i in members]))
-            matrix = np.stack([self._padded(self.words[i], n) for i in members])
+            self.runs[n] = np.unique(np.concatenate([_runs(row[:n], q) for row in matrix]))
             keys = embed(matrix, n, repetitions, samples)
             order = np.argsort(keys, axis=1)
             self.keys[n] = (np.take_along_axis(keys, order, 1), members[order])
         kinds = {q: [r for n, r in self.runs.items() if run_length(n)[0] == q] for q in (1, 2, 3)}
         self.marks = {q: _mark_table(np.concatenate(runs)) for q, runs in kinds.items() if runs}
 
-    @staticmethod
-    def _padded(words: np.ndarray, n: int) -> np.ndarray:
-        out = np.full(n + 1, _PAD)
-        out[: min(n, len(words))] = words[:n]
-        return out
-
-    def _post(self) -> None:
-        """(run, item) of the counted items, by run; `least` and `reach` of an item are the runs it keeps and the words they take."""
-        lengths = np.array([len(w) for w in self.words], np.int64)
-        own = [np.unique(_runs(self.words[i], COUNTED_RUN)) for i in self.counted]
-        run = np.concatenate(own) if own else np.zeros(0, np.uint64)
-        order = np.argsort(run, kind="stable")
-        self.post_run, self.post_item = run[order], np.repeat(self.counted, [len(r) for r in own])[order]
-        self.post_marks = _mark_table(run)
-        self.least, self.reach = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-        for i in self.counted:
-            self.least[i], self.reach[i] = run_length(lengths[i])[1], lengths[i] + edits_allowed(lengths[i])
-
-    def passages(self, words: Words) -> np.ndarray:
-        """(item, doc, first, last): parts of texts that hold as many runs of a counted item as a copy keeps, each with
-        room for all such copies. The places are those of `words`."""
-        runs = _runs(words.key, COUNTED_RUN)
-        place = np.flatnonzero(self.post_marks[(runs >> np.uint64(40)).astype(np.int64)])
-        place = place[words.doc[place] == words.doc[place + COUNTED_RUN - 1]]
-        a, b = (np.searchsorted(self.post_run, runs[place], side) for side in ("left", "right"))
-        place, a, b = place[b > a], a[b > a], b[b > a]
-        times = np.bincount(a, minlength=len(self.post_run) + 1) - np.bincount(b, minlength=len(self.post_run) + 1)
-        load = np.bincount(self.post_item, np.cumsum(times)[:-1], len(self.words)).astype(np.int64)
-        part_of = (np.cumsum(load) - load) // COUNTED_PAIRS
-        found = [np.zeros((0, 4), np.int64)]
-        for part in np.unique(part_of[load > 0]):  # items whose places are held together
-            inside = part_of[self.post_item] == part
-            before = np.r_[0, np.cumsum(inside)]
-            lo, size = before[a], before[b] - before[a]
-            entry = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
-            item, at = self.post_item[inside][entry], np.repeat(place, size)
-            order = np.argsort(item, kind="stable")
-            item, at = item[order], at[order]
-            last = np.arange(len(item)) + self.least[item] - 1
-            first = np.flatnonzero(last < len(item))
-            last = last[first]
-            same = (item[first] == item[last]) & (words.doc[at[first]] == words.doc[at[last]])
-            near = same & (at[last] + COUNTED_RUN - at[first] <= self.reach[item[first]])
-            first, last = first[near], last[near]
-            item, doc = item[first], words.doc[at[first]]
-            low = np.maximum(at[last] + COUNTED_RUN - self.reach[item], words.first[doc])
-            high = np.minimum(at[first] + self.reach[item], words.first[doc + 1])
-            new = np.ones(len(item), bool)
-            new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (low[1:] > high[:-1])
-            head = np.flatnonzero(new)
-            if len(head):
-                found.append(np.stack([item[head], doc[head], low[head], high[np.r_[head[1:], len(item)] - 1]], axis=1))
-        return np.concatenate(found)
-
     def windows(self, words: Words) -> list[tuple[int, np.ndarray]]:
-        """(length, first words) of windows that may match an item of that length."""
+        """(length, first words) of windows that may match a piece of that length."""
         out = []
         held = {}
         for q, marks in self.marks.items():
@@ -212,61 +161,71 @@ class ItemIndex:
         return out
 
     def candidates(self, n: int, windows: np.ndarray) -> np.ndarray:
-        """(window, item) pairs that share a key, without repeats."""
-        found = []
-        for lo in range(0, len(windows), WINDOW_BLOCK):
-            keys = embed(windows[lo : lo + WINDOW_BLOCK], n, self.repetitions, self.samples)
-            own, members = self.keys[n]
-            for r in range(self.repetitions):
-                a = np.searchsorted(own[r], keys[r], "left")
-                b = np.searchsorted(own[r], keys[r], "right")
-                hit = np.flatnonzero(b > a)
-                size = (b - a)[hit]
-                item = members[r][np.repeat(a[hit], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
-                found.append(np.stack([np.repeat(hit + lo, size), item], axis=1))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        """(window, piece) pairs that share a key, without repeats."""
+        keys = embed(windows, n, self.repetitions, self.samples)
+        own, members = self.keys[n]
+        found = [np.zeros((0, 2), np.int64)]
+        for r in range(self.repetitions):
+            a = np.searchsorted(own[r], keys[r], "left")
+            b = np.searchsorted(own[r], keys[r], "right")
+            hit = np.flatnonzero(b > a)
+            size = (b - a)[hit]
+            piece = members[r][np.repeat(a[hit], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
+            found.append(np.stack([np.repeat(hit, size), piece], axis=1))
+        return np.unique(np.concatenate(found), axis=0)
 
     def leaks(self, column: pa.Array) -> list[list[dict]]:
         """The matches of each text: at most one per item, its best part."""
-        pending: dict[int, list] = {n: [] for n in self.by_length}
         out: list[dict[int, dict]] = [{} for _ in range(len(column))]
+        texts, row, n_windows, n_words = [], 0, 0, 0
         for first, data, offsets in slices(column):
             words = Words(data, offsets, strip=True)
-            for item, doc, lo, hi in self.passages(words):
-                self._verify(out[first + doc], item, words.key[lo:hi], lo - words.first[doc])
-            for n, starts in self.windows(words):
-                padded = np.r_[words.key, np.full(n + 1, _PAD)]
-                matrix = padded[starts[:, None] + np.arange(n + 1)]
-                doc = words.doc[starts]
-                outside = starts[:, None] + np.arange(n + 1) >= words.first[doc + 1][:, None]
-                matrix[outside] = _PAD
-                # The word after the window stays: an item whose copy gained words runs into it.
-                pending[n].append((first + doc, starts - words.first[doc], matrix, words, doc))
-        for n, parts in pending.items():
-            if not parts:
-                continue
-            matrix = np.concatenate([p[2] for p in parts])
-            origin = np.concatenate([np.full(len(p[0]), i) for i, p in enumerate(parts)])
-            row, start = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-            pairs = self.candidates(n, matrix)
-            if not len(pairs):
-                continue
-            k = edits_allowed(n)
-            order = np.lexsort((start[pairs[:, 0]], row[pairs[:, 0]], pairs[:, 1]))
-            pairs = pairs[order]
-            row_of, at = row[pairs[:, 0]], start[pairs[:, 0]]
-            new = np.ones(len(pairs), bool)
-            new[1:] = (pairs[1:, 1] != pairs[:-1, 1]) | (row_of[1:] != row_of[:-1]) | (np.diff(at) > n)
-            begin = np.flatnonzero(new)
-            for a, b in zip(begin, np.r_[begin[1:], len(pairs)], strict=True):
-                window, item = pairs[a]
-                part = parts[origin[window]]
-                words, doc = part[3], row_of[a] - part[0][0] + part[4][0]
-                first = words.first[doc]
-                lo, hi = max(0, at[a] - k), min(words.count[doc], at[b - 1] + n + k)
-                self._verify(out[row_of[a]], item, words.key[first + lo : first + hi], lo)
+            texts.append((words.key, words.first, self.windows(words)))
+            n_windows += sum(len(starts) for _, starts in texts[-1][2])
+            n_words += len(words.key)
+            if n_windows >= WINDOW_BLOCK or n_words >= HELD_WORDS:
+                self._match(texts, out, row)
+                texts, row, n_windows, n_words = [], first + len(offsets) - 1, 0, 0
+        self._match(texts, out, row)
         return [[hits[i] for i in sorted(hits)] for hits in out]
 
+    def _match(self, texts: list, out: list[dict[int, dict]], row: int) -> None:
+        """Adds the matches of `texts`, (words, first words, windows) of the rows from `row` on, to `out`."""
+        base = np.cumsum([0] + [len(key) for key, _, _ in texts])
+        key = np.concatenate([*(key for key, _, _ in texts), np.full(PIECE_WORDS + 1, _PAD)])
+        edges = np.concatenate([*(first[:-1] + at for (_, first, _), at in zip(texts, base)), base[-1:]])
+        spans = [np.zeros((0, 4), np.int64)]
+        for n in self.by_length:
+            starts = [s + at for (_, _, found), at in zip(texts, base) for length, s in found if length == n]
+            starts = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+            for a in range(0, len(starts), WINDOW_BLOCK):
+                start = starts[a : a + WINDOW_BLOCK]
+                doc = np.searchsorted(edges, start, "right") - 1
+                # The word after the window stays: a piece whose copy gained words runs into it.
+                place = start[:, None] + np.arange(n + 1)
+                matrix = np.where(place < edges[doc + 1][:, None], key[place], _PAD)
+                window, piece = self.candidates(n, matrix).T
+                item, at = self.piece_item[piece], start[window] - self.piece_at[piece]
+                size = np.array([len(self.words[i]) for i in item], np.int64)
+                k = np.array([edits_allowed(i) for i in size], np.int64)
+                low, high = np.maximum(at - k, edges[doc[window]]), np.minimum(at + size + k, edges[doc[window] + 1])
+                spans.append(np.stack([doc[window], item, low, high], axis=1))
+        doc, item, low, high = np.unique(np.concatenate(spans), axis=0).T
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (low[1:] > high[:-1])
+        begin = np.flatnonzero(new)
+        last = np.r_[begin[1:], len(doc)][: len(begin)] - 1
+        for d, i, lo, hi in zip(doc[begin], item[begin], low[begin], high[last], strict=True):
+            if self._possible(i, key[lo:hi]):
+                self._verify(out[row + d], i, key[lo:hi], lo - edges[d])
+
+    def _possible(self, item: int, text: np.ndarray) -> bool:
+        """Whether the text holds as many places with runs of the item as a copy keeps."""
+        q, least = run_length(len(self.words[item]))
+        if item not in self.item_runs:
+            self.item_runs[item] = np.unique(_runs(self.words[item], q))
+        return np.isin(_runs(text, q), self.item_runs[item]).sum() >= least
+
     def _verify(self, held: dict[int, dict], item: int, text: np.ndarray, lo: int) -> None:
         """Keeps the part of `text`, which starts at word `lo`, nearest to the item if it is a match and the best so far."""
         distance, begins, ends = best_part(self.words[item], text)
@@ -296,14 +255,15 @@ def find_leaks(
     """`docs` with `leaks`: for each item of (item_id, text) found in the text, its id, the edit distance, and the words
     of the text that hold it, as [first_word, last_word).
 
-    Items go to the tasks in blocks of at most `block_items`. Items of fewer than `least_words` words, null and empty ones
+    Items go to the tasks in blocks of about `block_items` items and BLOCK_BYTES bytes of text at most. Items of fewer than `least_words` words, null and empty ones
     match nothing, those of one to four words match exactly if they are let in; null and empty documents hold nothing;
     items that repeat an id or a text each count. A column of `docs` named `leaks` is replaced. Documents are not shuffled.
     """
     spark = docs.sparkSession
     own = docs.drop("leaks")
     items = items.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL")
-    n_blocks = max(1, -(-items.count() // block_items))
+    n_items, n_bytes = items.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    n_blocks = max(1, -(-n_items // block_items), -(-(n_bytes or 0) // BLOCK_BYTES))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
     at = own.columns.index("text")
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("first_word", pa.int32()), ("last_word", pa.int32())]))

@@ -90,7 +90,7 @@ def test_recall_at_the_bound():
     assert found >= 0.95 * total
 
 
-@pytest.mark.parametrize("n", [5, 9, 15, 24, 25, 40, 59, 100, 200, 400])
+@pytest.mark.parametrize("n", [5, 9, 15, 24, 25, 40, 59, 100, 200, 400, 700])
 def test_recall_at_the_bound_by_length(n):
     import random
 
@@ -111,8 +111,8 @@ def test_recall_at_the_bound_by_length(n):
     assert sum(i in hits for i, hits in enumerate(found)) >= (57 if n < 25 else 60)
 
 
-def test_counted_items_in_crowded_texts(monkeypatch):
-    """Items that share most of their runs, repeated copies, and pairs that are held in several parts."""
+def test_long_items_in_crowded_texts(monkeypatch):
+    """Items that share most of their runs, repeated copies, and windows that are matched in several parts."""
     import random
 
     import pyarrow as pa
@@ -121,7 +121,7 @@ def test_counted_items_in_crowded_texts(monkeypatch):
     base = [f"w{rng.randrange(40)}" for _ in range(30)]
     items = [[*base[:i], f"v{i}", *base[i + 1 :]] for i in range(0, 30, 3)]
     texts = [[*base, *base[::-1], *items[2]], [*items[5][:24], *base], base[:23], [], [*base[6:], *items[9]] * 2]
-    monkeypatch.setattr(decontam, "COUNTED_PAIRS", 50)
+    monkeypatch.setattr(decontam, "WINDOW_BLOCK", 20)
     index = decontam.ItemIndex(list(range(10)), [" ".join(i) for i in items])
     got = index.leaks(decontam.plain_strings(pa.array([" ".join(t) for t in texts])))
     for text, hits in zip(texts, got, strict=True):
@@ -134,6 +134,13 @@ def test_counted_items_in_crowded_texts(monkeypatch):
                 assert h["distance"] == best == edit_distance(item, text[h["first_word"] : h["last_word"]])
 
 
+def test_pieces_of_every_length_keep_the_bound():
+    """The piece with the fewest edits of an item is within its own bound, whatever the item's length."""
+    for n in range(1, 3000):
+        m = -(-n // decontam.PIECE_WORDS)
+        assert decontam.edits_allowed(n) // m <= decontam.edits_allowed(n // m)
+
+
 def test_short_items_match_exactly(spark, tmp_path):
     items = [(n, " ".join(f"s{n}w{i}" for i in range(n))) for n in range(1, 5)] + [(5, "again again"), (6, "")]
     texts = [f"before {text}, after" for _, text in items] + [text.replace("w0", "x0") for _, text in items[:4]] + ["again once", "s4w0 s4w1 s4w2"]
