@@ -96,6 +96,30 @@ def vocabulary_of(
     return Vocabulary(written(inverse_document_frequency(kept, n), "vocabulary"), n, lo, hi)
 
 
+def fold_vocabularies(
+    folded: DataFrame, text: str, lo: int, hi: int, min_df: int | float, max_df: int | float, k: int = 5, fold: str = "fold"
+) -> DataFrame:
+    """(fold, gram, df, n, idf): for each of `k` folds the vocabulary of the `n` rows outside it, pruned for that number.
+
+    Texts are cut once and grams shuffled once, as counts per fold; what a gram has outside a fold is its total less
+    the fold's own. Rows without a fold or a text belong to none; a fold with no rows outside it has no vocabulary.
+    """
+    rows = folded.filter(F.col(fold).isNotNull() & F.col(text).isNotNull())
+    sizes = {r[0]: r[1] for r in rows.groupBy(fold).count().collect()}  # one row per fold
+    grams = rows.select(fold, F.explode_outer(w.distinct_char_wb_ngrams(F.col(text), lo, hi)).alias("gram"))
+    counts = grams.filter(F.col("gram").isNotNull()).groupBy("gram").agg(
+        F.count("*").alias("total"), *(F.count_if(F.col(fold) == f).alias(f"in_{f}") for f in range(k))
+    )
+    outside = []
+    for f in range(k):
+        n = sum(sizes.values()) - sizes.get(f, 0)
+        low, high = (float(x if isinstance(x, int) else x * n) for x in (min_df, max_df))
+        part = [F.lit(f).alias("fold"), (F.col("total") - F.col(f"in_{f}")).alias("df"), F.lit(n).cast("long").alias("n")]
+        outside.append(F.struct(*part, F.lit(max(low, 1.0)).alias("low"), F.lit(high).alias("high")))
+    kept = counts.select("gram", F.inline(F.array(*outside))).filter("df >= low AND df <= high")
+    return kept.select("fold", "gram", "df", "n", (F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+
+
 def tfidf_transform(
     vocabulary: Vocabulary,
     df: DataFrame,

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from gramline.functions import words
 from gramline.operators import forest
-from gramline.operators.features import Vocabulary, fit_vocabulary, tfidf_transform
+from gramline.operators.features import Vocabulary, fit_vocabulary, fold_vocabularies, tfidf_transform
 from gramline.operators.relational import filter_min_class_frequency
 from gramline.operators.splits import stratified_kfold, stratified_split
 from gramline.plans.lookup import BROADCAST_BYTES
@@ -324,40 +324,53 @@ def predict_proba(model: TextModel, df: DataFrame, text: str = "tweet", limit: i
 
 
 def fold_accuracies(
-    df: DataFrame, params: Params, vocabulary: Vocabulary, k: int = 5, id: str = "row_id", text: str = "tweet",
+    df: DataFrame, params: Params, vocabulary: Vocabulary | None, k: int = 5, id: str = "row_id", text: str = "tweet",
     label: str = "target",
 ) -> list[tuple[int, float]]:
-    """(fold, accuracy) of a forest fitted on the other folds, null for an empty one. Vectors are made once, and all
-    forests grow in the same rounds.
+    """(fold, accuracy) of a forest fitted on the other folds, null for an empty one. With one vocabulary for all folds,
+    vectors are made once and all forests grow in the same rounds; without one, each fold's is that of its other folds.
 
     Every row is tried; each fold's forest is fitted on at most about `fit_rows` of the others.
     """
-    vocabulary, size = numbered(vocabulary)
     folded = written(stratified_kfold(df.select(id, text, label), label, id, k), "folds")
     others = folded.filter("fold IS NOT NULL").count() * (k - 1) // k
     drawn = F.lit(True)
     if others > params.fit_rows:
         folded = stratified_split(folded, label, id, params.fit_rows / others, params.seed)
         drawn = F.col("split") == "train"
-    fit = vectorise(vocabulary, size, folded, id, text, label, F.when(drawn, F.col("fold")).otherwise(-1))
-    tried = fit if others <= params.fit_rows else vectorise(vocabulary, size, folded, id, text, label, F.col("fold"))
-    (vectors, names), (every, _) = fit, tried
-    plans = [plan(params, size, fold=f) for f in range(k)]
-    forests = forest.grow(vectors, plans, len(names), min(others, params.fit_rows) * 2)
-    counts = forest.confusions(every, plans, forests).collect()
+    if vocabulary is None:
+        lo, hi = params.ngram_min, params.ngram_max
+        table = written(fold_vocabularies(folded, text, lo, hi, params.min_df, params.max_df, k), "fold-vocabularies")
+        own = [table.filter(F.col("fold") == f) for f in range(k)]
+        sizes = [(own[f].agg(F.max("n")).first()[0] or 0) for f in range(k)]
+        parts = [(Vocabulary(own[f].select("gram", "df", "idf"), sizes[f], lo, hi), [f]) for f in range(k)]
+    else:
+        parts = [(vocabulary, list(range(k)))]
     total, hits = np.zeros(k), np.zeros(k)
-    for row in counts:
-        total[row["plan"]] += row["n"]
-        hits[row["plan"]] += row["n"] * (row["label"] == row["predicted"])
+    for grams, folds in parts:
+        grams, size = numbered(grams)
+        fit = vectorise(grams, size, folded, id, text, label, F.when(drawn, F.col("fold")).otherwise(-1))
+        tried = fit if others <= params.fit_rows else vectorise(grams, size, folded, id, text, label, F.col("fold"))
+        (vectors, names), (every, _) = fit, tried
+        plans = [plan(params, size, fold=f) for f in folds]
+        forests = forest.grow(vectors, plans, len(names), min(others, params.fit_rows) * 2)
+        for row in forest.confusions(every, plans, forests).collect():
+            total[folds[row["plan"]]] += row["n"]
+            hits[folds[row["plan"]]] += row["n"] * (row["label"] == row["predicted"])
     return [(f, float(hits[f] / total[f]) if total[f] else None) for f in range(k)]
 
 
 def cross_val_accuracy(
-    df: DataFrame, params: Params, k: int = 5, id: str = "row_id", text: str = "tweet", label: str = "target"
-) -> DataFrame:
-    """(accuracy): the mean over stratified folds of the rows of frequent classes, with the vocabulary fitted once on all
-    of these rows."""
+    df: DataFrame, params: Params, k: int = 5, id: str = "row_id", text: str = "tweet", label: str = "target",
+    fit_scope: str = "all",
+) -> DataFrame:
+    """(accuracy): the mean over stratified folds of the rows of frequent classes. The vocabulary is fitted once on all of
+    these rows (`fit_scope` "all"), or for each fold on its training rows alone ("train"), which leaks nothing."""
+    if fit_scope not in ("all", "train"):
+        raise ValueError(f"fit_scope {fit_scope!r} is neither 'all' nor 'train'")
     kept = filter_min_class_frequency(df, label, params.min_class_frequency)
-    vocabulary = fit_vocabulary(kept, text, params.ngram_min, params.ngram_max, params.min_df, params.max_df)
+    vocabulary = None
+    if fit_scope == "all":
+        vocabulary = fit_vocabulary(kept, text, params.ngram_min, params.ngram_max, params.min_df, params.max_df)
     folds = fold_accuracies(kept, params, vocabulary, k, id, text, label)
     return df.sparkSession.createDataFrame(folds, "fold int, accuracy double").agg(F.avg("accuracy").alias("accuracy"))

@@ -360,6 +360,13 @@ ORACLE_SQL = {
     "prune_vocabulary": f"WITH {_vocabulary(_DOCS, 3, 4)} SELECT gram, df FROM vocabulary",
     "inverse_document_frequency": f"""WITH {_vocabulary(_DOCS, 3, 4)}
         SELECT gram, df, round(ln((1 + n) / (1.0 + df)::DOUBLE) + 1, 6) AS idf FROM frequency, total""",
+    "fold_vocabularies": f"""WITH rows AS ({_MESSAGES}), {_KFOLD}, {_tf(_MESSAGES, 3, 7)},
+        outside AS (SELECT f.fold, count(*) AS n FROM range(5) f(fold) JOIN folded ON folded.fold <> f.fold
+                    WHERE tweet IS NOT NULL GROUP BY f.fold),
+        counted AS (SELECT f.fold, gram, count(*) AS df FROM tf JOIN folded USING (row_id)
+                    JOIN range(5) f(fold) ON folded.fold <> f.fold GROUP BY f.fold, gram)
+        SELECT CAST(fold AS INT) AS fold, gram, df, n, round(ln((1 + n) / (1.0 + df)::DOUBLE) + 1, 6) AS idf
+        FROM counted JOIN outside USING (fold) WHERE df >= 5 AND df <= 0.6::DOUBLE * n""",
     "tfidf": _tfidf(_DOCS, 3, 4),
     "tfidf_range_a": _tfidf(_MESSAGES, 3, 7),
     "tfidf_range_b": _tfidf(_MESSAGES, 4, 7),

@@ -231,6 +231,13 @@ def inverse_document_frequency(spark, sf):
     return rounded(features.inverse_document_frequency(frequencies, docs.count()), "idf")
 
 
+def fold_vocabularies(spark, sf):
+    """The vocabulary outside each fold, with the range and limits of flow A."""
+    folds = splits.stratified_kfold(spread(messages(spark, sf)), "target", "row_id")
+    found = features.fold_vocabularies(folds, "tweet", 3, 7, 5, 0.6)
+    return rounded(found, "idf")
+
+
 def tfidf(spark, sf):
     return rounded(features.tfidf(spread(documents(spark, sf)), "row_id", "tweet", 3, 4, 5, 0.6), "tfidf")
 
@@ -563,8 +570,8 @@ CHECKED_BY_SQL = [
     select_labelled, drop_nulls, filter_min_class_frequency, filter_min_class_frequency_sources, filter_known_labels,
     exclude_rows, class_counts, class_counts_lineitem, n_classes, distinct_labels, mean_over_folds, tokenize_space,
     remove_stopwords, stem_tokens, join_tokens, strip_quotes, char_wb_ngrams, prepare_text, term_frequency,
-    document_frequency, document_frequency_of_text, prune_vocabulary, inverse_document_frequency, tfidf, tfidf_range_a, tfidf_range_b,
-    tfidf_transform, text_features, stratified_split, shuffled_split, shuffled_split_lineitem, stratified_kfold,
+    document_frequency, document_frequency_of_text, prune_vocabulary, inverse_document_frequency, fold_vocabularies,
+    tfidf, tfidf_range_a, tfidf_range_b, tfidf_transform, text_features, stratified_split, shuffled_split, shuffled_split_lineitem, stratified_kfold,
     accuracy, weighted_precision, weighted_recall, weighted_f1, classification_report, sample_trials_a,
     sample_trials_b, suggest_trials, bandit_keep, surviving_runs, best_trial, trial_metrics,
     best_splits, register_model, latest_model,

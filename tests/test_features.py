@@ -91,3 +91,18 @@ def test_lookup_join(spark, monkeypatch, how, limit):
     expected = facts.join(table.drop("n"), ["k"], how)
     assert got.columns == expected.columns
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, expected.collect()))
+
+
+def test_fold_vocabularies_are_those_of_the_other_folds(spark):
+    rows = [(i, f"w{i % 3} common r{i % 7}" if i % 5 else None, i % 4 if i % 6 else None) for i in range(40)]
+    folded = spark.createDataFrame(rows, "row_id long, tweet string, fold int")
+    for min_df, max_df in ((2, 0.9), (0.1, 20)):
+        got = features.fold_vocabularies(folded, "tweet", 3, 4, min_df, max_df, k=5)
+        found = {(r["fold"], r["gram"]): (r["df"], r["n"], round(r["idf"], 9)) for r in got.collect()}
+        expected = {}
+        for f in range(5):  # no row has fold 4, so all rows with a fold are outside it
+            other = folded.filter((F.col("fold") != f) & F.col("tweet").isNotNull())
+            own = features.fit_vocabulary(other, "tweet", 3, 4, min_df, max_df)
+            expected |= {(f, r["gram"]): (r["df"], own.n, round(r["idf"], 9)) for r in own.grams.collect()}
+        assert found == expected and len({f for f, _ in found}) == 5
+    assert features.fold_vocabularies(folded.limit(0), "tweet", 3, 4, 1, 1.0).count() == 0

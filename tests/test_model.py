@@ -73,6 +73,9 @@ def test_vocabulary_of_any_size(spark):
 
 def test_cross_validation(rows):
     assert model.cross_val_accuracy(rows, SMALL, 3).first()["accuracy"] > 0.9
+    assert model.cross_val_accuracy(rows, SMALL, 3, fit_scope="train").first()["accuracy"] > 0.9
+    with pytest.raises(ValueError, match="fit_scope"):
+        model.cross_val_accuracy(rows, SMALL, 3, fit_scope="test")
 
 
 REQUESTS = [
