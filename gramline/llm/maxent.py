@@ -50,7 +50,7 @@ def _features(codes: np.ndarray) -> np.ndarray:
     """The weight rows of the last word, the last two words, and the word before the last."""
     last, before = codes.astype(np.uint64)
     both = mix64((last << np.uint64(BUCKET_BITS) | before) * _MIX[1]) >> np.uint64(64 - BUCKET_BITS)
-    return np.stack([codes[0], both, codes[1]]).astype(np.int32)
+    return np.stack([codes[0], both, codes[1]]).astype(np.uint16)  # which numpy sorts by radix
 
 
 class Stream:
@@ -298,12 +298,17 @@ class Classes:
         wrong[np.arange(len(target)), target] -= 1
         flat = features.ravel()
         order = np.argsort(flat, kind="stable")
-        rows = flat[order]
+        rows, token = flat[order], order % len(target)
         head = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-        gradient = np.add.reduceat(wrong[order % len(target)], head, axis=0)
-        rows = rows[head]
-        squares[rows] += np.square(gradient)
-        self.weights[rows] -= RATE * gradient / (np.sqrt(squares[rows]) + 1e-6)
+        size = np.diff(np.r_[head, len(rows)])
+        rows, gradient = rows[head], wrong[token[head]]
+        many = size > 1  # most rows are met once, and need no sum
+        if many.any():
+            begin = np.cumsum(size[many]) - size[many]
+            gradient[many] = np.add.reduceat(wrong[token[np.repeat(many, size)]], begin, axis=0)
+        total = squares[rows] + np.square(gradient)
+        squares[rows] = total
+        self.weights[rows] -= RATE * gradient / (np.sqrt(total) + 1e-6)
 
 
 def _bias(words: Vocabulary) -> np.ndarray:
