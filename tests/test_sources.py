@@ -1,12 +1,13 @@
 import json
 import os
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gramline.operators import metrics
-from gramline.sources import registry, tables
+from gramline.sources import large_csv, registry, tables
 
 CSV = '''id,tweet,target
 1,"two
@@ -52,6 +53,39 @@ def test_files_cut_anywhere(spark, tmp_path_factory, rows, line_end, split):
     assert sorted(got, key=key) == sorted(expected, key=key)
 
 
+LINES = st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 2), st.text(alphabet='x"', max_size=3)), max_size=30)
+
+
+@settings(max_examples=60, deadline=None)
+@given(LINES, st.lists(st.integers(0, 30), max_size=6))
+def test_both_readings_of_a_block(lines, cuts):
+    """However a task's lines are dealt to batches, each gets the last start before it for both readings of its block."""
+    lines = [(f, b, i, v) for i, (f, b, v) in enumerate(sorted(lines, key=lambda x: x[:2]))]
+    names = ["file", "block", "pos", "value"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+    ends = sorted({0, len(lines), *(c for c in cuts if c < len(lines))})
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array([x[i] for x in lines[lo:hi]], k) for i, k in enumerate(kinds)], names)
+        for lo, hi in zip([0, *ends], ends, strict=False)
+    ]
+    got = [tuple(r.values()) for b in large_csv._read_both_ways(iter(batches)) for r in b.to_pylist()]
+    expected = []
+    for f, b, pos, value in lines:
+        block = [x for x in lines if x[:2] == (f, b) and x[2] <= pos]
+        odd = {x[2]: sum(y[3].count('"') for y in block if y[2] < x[2]) % 2 for x in block}
+        last = [max((p for p, o in odd.items() if o == state), default=None) for state in (0, 1)]
+        expected.append((f, b, pos, value, value.count('"'), *last))
+    assert got == expected
+
+
+def test_scan_of_a_csv_moves_no_line(spark, tmp_path, monkeypatch):
+    plans = []
+    monkeypatch.setattr(large_csv, "written", lambda df, name: plans.append(df) or df)
+    (tmp_path / "x.csv").write_text(CSV)
+    large_csv._counted_lines(spark, str(tmp_path))
+    assert "Exchange" not in plans[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_cut_and_whole_files_agree(spark, tmp_path):
     (tmp_path / "x.csv").write_text(CSV)
     whole = tables.read_labelled_csv(spark, str(tmp_path)).collect()
