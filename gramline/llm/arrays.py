@@ -72,7 +72,23 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np
 
 
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte strings from `start` to `end`, A-Z lower-cased: differences of a rolling sum."""
+    """64-bit hashes of the byte strings from `start` to `end`, A-Z lower-cased: differences of a rolling sum.
+
+    Strings in order are hashed in runs of about SLICE_BYTES, so that sums and power tables stay small.
+    """
+    if len(data) > SLICE_BYTES and len(start) > 1 and (np.diff(start) >= 0).all():
+        out = np.empty(len(start), np.uint64)
+        low = 0
+        while low < len(start):
+            high = max(low + 1, int(np.searchsorted(start, start[low] + SLICE_BYTES // 2)))
+            first, last = int(start[low]), int(end[low:high].max())
+            out[low:high] = _hashes(data[first:last], start[low:high] - first, end[low:high] - first)
+            low = high
+        return out
+    return _hashes(data, start, end)
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     powers, inverse = _power_tables(len(data))
     prefix = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=prefix[1:])
