@@ -3,6 +3,7 @@
 import pytest
 from compare import connect, difference
 
+from gramline import queries
 from gramline.operators import model, search
 from gramline.oracle import ORACLE_SQL
 from gramline.plans import flows
@@ -80,3 +81,16 @@ def test_learned_queries_run_with_the_flows_settings(spark, monkeypatch, name):
         assert asked["folds"] == (5 if name == "search_a" else None)
         drawn = search.sample_trials(spark, space, n).collect()
         assert sorted(map(tuple, asked["trials"].collect())) == sorted(map(tuple, drawn))
+
+
+@pytest.mark.parametrize("files", [0, 3])
+def test_a_table_streams_as_a_file_or_as_a_folder_of_files(spark, tmp_path, files):
+    rows, path = spark.range(20).toDF("conv_id"), tmp_path / "conversations.parquet"
+    if files:
+        rows.repartition(files).write.parquet(str(path))
+    else:
+        rows.toPandas().to_parquet(path)
+    rows.toDF("other").write.parquet(str(tmp_path / "pages.parquet"))
+    stream = queries._arriving(spark, str(tmp_path), "conversations").writeStream.format("parquet").trigger(availableNow=True)
+    stream.option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).start().awaitTermination()
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(20))
