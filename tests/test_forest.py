@@ -94,6 +94,34 @@ def test_same_rows_and_seed_give_the_same_trees(spark, vectors, plan, grown, mon
     assert (again.first == grown.first).all() and (again.weights == grown.weights).all()
 
 
+def test_trees_grown_in_tasks_are_those_grown_by_rounds(spark, vectors, monkeypatch):
+    """Weighted, held-out, deep and continued plans, in one part or several; windows that find nothing widen."""
+    some = np.where(np.arange(SIZE) % 3 == 0, 0.0, 1.0 + np.arange(SIZE) % 5)
+    plans = [
+        forest.Plan(9, 3, SIZE, fold=0), forest.Plan(2, 1, SIZE, depth=3, weights=some), forest.Plan(1, 5, SIZE, min_split=9, first=4),
+        forest.Plan(0, 5, SIZE), forest.Plan(2, 5, SIZE, fold=1, weights=np.eye(1, SIZE, 3)[0]),
+    ]
+    in_tasks = forest.grow(vectors, plans, CLASSES, 160)
+    monkeypatch.setattr(forest, "SAMPLE", 0)
+    by_rounds = forest.grow(vectors, plans, CLASSES, 160)
+    for a, b in zip(in_tasks, by_rounds, strict=True):
+        for c in ("tree", "hash", "depth", "start", "position", "bin", "left"):
+            assert (getattr(a.nodes, c) == getattr(b.nodes, c)).all()
+        assert all((getattr(a, c) == getattr(b, c)).all() for c in ("first", "classes", "weights"))
+
+
+def test_a_sample_finds_entries_as_flat_rows_do():
+    rng = np.random.default_rng(7)
+    counts = np.array([0, 5, 1, 0, 30, 17, 0])
+    positions = np.concatenate([np.sort(rng.choice(SIZE, n, replace=False)) for n in counts])
+    plan, n = forest.Plan(1, 1, SIZE), len(counts)
+    values, fold = rng.uniform(0.1, 1, len(positions)), np.zeros((n, 1), np.int64)
+    flat = forest.Rows(plan, np.arange(n), np.zeros(n), fold, counts, positions, values)
+    held = forest.Sample(plan, np.arange(n), np.zeros(n), counts, positions.astype(np.int32), flat.bins.astype(np.int16))
+    row, wanted = np.divmod(np.arange(n * (SIZE + 1)), SIZE + 1)
+    assert (flat.seek(row, wanted) == held.seek(row, wanted)).all()
+
+
 def test_instalments_are_the_whole_forest(vectors, plan, grown):
     first = forest.grow(vectors, [forest.Plan(3, 42, SIZE, fold=0)], CLASSES, 160)[0]
     rest = forest.grow(vectors, [forest.Plan(1, 42, SIZE, fold=0, first=3)], CLASSES, 160)[0]
