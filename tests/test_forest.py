@@ -110,6 +110,24 @@ def test_trees_grown_in_tasks_are_those_grown_by_rounds(spark, vectors, monkeypa
         assert all((getattr(a, c) == getattr(b, c)).all() for c in ("first", "classes", "weights"))
 
 
+def test_a_node_reaches_its_task_as_one_row_per_code(spark, monkeypatch):
+    """However many rows report it; nodes that go on over many batches come out whole."""
+    codes = [(int(forest.class_code(k)), 40) for k in range(2)] + [(forest.entry_code(d, d % 2, 5, 0), 9 + d) for d in range(30)]
+    reports = [(node, code, 1, 1) for node in range(3) for code, n in codes for _ in range(n)]
+    table = spark.createDataFrame(reports, forest.OPEN)
+    found, chosen = sorted(map(tuple, forest.best_splits(table).collect())), forest._chosen
+
+    def small(batches):
+        for batch in batches:
+            assert batch.num_rows <= 3 * len(codes)
+            yield from (batch.slice(i, 7) for i in range(0, batch.num_rows, 7))
+
+    monkeypatch.setattr(forest, "_chosen", lambda batches: chosen(small(batches)))
+    assert sorted(map(tuple, forest.best_splits(table.repartition(5)).collect())) == found
+    columns = [np.array(c) for c in zip(*[(n, c, w, w) for n in range(3) for c, w in codes], strict=True)]
+    assert [r[:3] for r in found] == list(zip(*(c.tolist() for c in forest.choose(*columns)[:3]), strict=True))
+
+
 def test_a_sample_finds_entries_as_flat_rows_do():
     rng = np.random.default_rng(7)
     counts = np.array([0, 5, 1, 0, 30, 17, 0])
