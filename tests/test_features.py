@@ -1,10 +1,12 @@
 import math
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_text import _grams
 
+from gramline.functions import grams as cutting
 from gramline.operators import features, model, search
 from gramline.plans import lookup
 
@@ -106,3 +108,27 @@ def test_fold_vocabularies_are_those_of_the_other_folds(spark):
             expected |= {(f, r["gram"]): (r["df"], own.n, round(r["idf"], 9)) for r in own.grams.collect()}
         assert found == expected and len({f for f, _ in found}) == 5
     assert features.fold_vocabularies(folded.limit(0), "tweet", 3, 4, 1, 1.0).count() == 0
+
+
+@pytest.mark.parametrize("size, words", [(1, 1), (2, 3), (5, 10**6), (100, 2)])
+def test_equal_ids_are_one_row_over_any_batches(size, words, monkeypatch):
+    monkeypatch.setattr(cutting, "WORDS", words)
+    rows = [(None, "ab ab c"), (None, None), (None, "c"), (1, "aaaa b"), (2, None), (3, "b"), (3, "aaaa"), (3, "b b"), (4, "")]
+    ids, texts = zip(*rows, strict=True)
+    whole = pa.record_batch([pa.array(ids, pa.int64()), pa.array([t and t.split() for t in texts], pa.list_(pa.string()))], ["id", "words"])
+    batches = [whole.slice(i, size) for i in range(0, len(rows), size)]
+    got = [tuple(r.values()) for b in cutting.term_frequencies(batches, 2, 3) for r in b.to_pylist()]
+    expected = Counter()
+    for id, t in rows:
+        expected.update((id, g) for g in _grams(t or "", 2, 3))
+    assert sorted(got, key=str) == sorted(((*k, n) for k, n in expected.items()), key=str)
+    counts = Counter()
+    for b in cutting.document_frequencies(batches, 2, 3):
+        counts.update({(r["by"], r["gram"]): r["df"] for r in b.to_pylist()})
+    assert counts == Counter((id, g) for id, t in rows for g in set(_grams(t or "", 2, 3)))
+
+
+def test_weighing_with_a_broadcast_vocabulary_shuffles_no_grams(spark, rows):
+    vocabulary = features.fit_vocabulary(rows, "tweet", 2, 4, 2, 0.6)
+    plan = features.tfidf_transform(vocabulary, rows, "row_id", "tweet")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan and "Generate" not in plan
