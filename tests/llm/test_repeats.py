@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -33,6 +34,23 @@ def test_matching_statistics_of_small_texts():
             assert min(found[p], size - p) == best, (size, p)
 
 
+def test_windows_of_alike_contexts():
+    rng = random.Random(3)
+    for trial in range(500):
+        length = rng.randint(2, 11)
+        bases = ["".join(rng.choice("ab") for _ in range(rng.randint(length, 3 * length))) for _ in range(2)]
+        contexts = []
+        for _ in range(rng.randint(2, 8)):
+            base = rng.choice(bases)
+            at = rng.randrange(len(base))
+            contexts.append((base[:at] + "c" + base[at + 1 :] if rng.random() < 0.6 else base).encode())
+        windows = [len(c) - length + 1 for c in contexts]
+        each = [[c[i : i + length] for i in range(n)] for c, n in zip(contexts, windows, strict=True)]
+        times = Counter(w for own in each for w in own)
+        found = repeats.repeated_windows(contexts, windows, length)
+        assert [f.tolist() for f in found] == [[times[w] > 1 for w in own] for own in each], (trial, contexts)
+
+
 def _rows():
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefé") for _ in range(rng.randint(2, 8)))
