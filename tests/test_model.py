@@ -177,3 +177,23 @@ def test_flow_b(spark, csv, tmp_path, monkeypatch):
     assert newest["tags"]["label"] == "target" and float(newest["properties"]["Accuracy"]) > 0.5
     assert tables.read_report(spark, newest["path"] + "-report").count() >= 4
     assert outcome.version == 1
+
+
+def test_without_a_bound_the_forest_sees_every_row(spark, monkeypatch):
+    """The flows' own settings draw no sample, however many rows there are."""
+    assert model.FLOW_A.fit_rows is None and model.FLOW_B.fit_rows is None
+    many = spark.range(20_500).selectExpr("id AS row_id", "concat('word', id % 9) AS tweet", "if(id % 3 = 0, 'a', 'b') AS target")
+    assert model.fit_sample(many, model.FLOW_A, "row_id", "tweet", "target").count() == 20_500
+    fitted, real = [], model.forest.grow
+
+    def grow(vectors, plans, n_classes, rows):
+        fitted.extend(vectors.filter(F.col("folds")[p.split] >= 0).filter(F.col("folds")[p.split] != (-1 if p.fold is None else p.fold)).count() for p in plans)
+        return real(vectors, plans, n_classes, rows)
+
+    monkeypatch.setattr(model.forest, "grow", grow)
+    tiny = model.replace(SMALL, n_estimators=1, max_depth=1, min_df=1, max_df=1.0)
+    model.fit_text_model(many, tiny)
+    assert model.cross_val_accuracy(many.unionByName(many.withColumn("row_id", F.col("row_id") + 20_500)), tiny, 2).first()["accuracy"] >= 0.6
+    trials = spark.createDataFrame([(0, 1)], "trial_id bigint, n_estimators int")
+    assert search.evaluate_trials(many.unionByName(many.withColumn("row_id", F.col("row_id") + 20_500)), trials, tiny).first()["trees"] == 1
+    assert fitted == [20_500, 20_500, 20_500, 32_800]
