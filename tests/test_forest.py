@@ -326,3 +326,71 @@ def test_streams_leave_no_tables(spark, fitted, tmp_path, monkeypatch):
         import json
 
         assert json.loads(a) == pytest.approx(json.loads(b))
+
+
+def test_trees_grown_by_column_are_those_grown_by_rounds(spark, vectors, monkeypatch):
+    """Windows that reach behind or widen, rows that nothing tells apart, rows without entries."""
+    some = np.where(np.arange(SIZE) % 3 == 0, 0.0, 1.0 + np.arange(SIZE) % 5)
+    plans = [
+        forest.Plan(9, 3, SIZE, fold=0), forest.Plan(2, 1, SIZE, depth=3, weights=some), forest.Plan(1, 5, SIZE, min_split=9, first=4),
+        forest.Plan(0, 5, SIZE), forest.Plan(2, 5, SIZE, fold=1, weights=np.eye(1, SIZE, 3)[0]), forest.Plan(3, 8, SIZE, given_window=1),
+    ]
+    # Rows that come twice under other labels, and rows that differ in few entries.
+    rows = [(k, c, f, p[:2] if i % 7 == 0 else p, v[:2] if i % 7 == 0 else v) for i, (k, c, f, p, v) in enumerate(_rows())]
+    twice = [(r[0] + 1, (r[1] + 1) % CLASSES, *r[2:]) for r in rows[:40]]
+    odd = written(spark.createDataFrame(rows + twice + [(5, 0, [2], [], [])], forest.VECTORS).repartition(5), "odd")
+    same = lambda a, b: all(
+        (getattr(a.nodes, c) == getattr(b.nodes, c)).all() for c in ("tree", "hash", "depth", "start", "position", "bin", "left")
+    ) and all((getattr(a, c) == getattr(b, c)).all() for c in ("first", "classes", "weights"))
+    for table in (vectors, odd):
+        with monkeypatch.context() as m:
+            m.setattr(forest, "SAMPLE", 0)
+            by_rounds = forest.grow(table, plans, CLASSES, 160)
+        with monkeypatch.context() as m:
+            m.setattr(forest, "FEW", -1)
+            assert all(map(same, forest.grow(table, plans, CLASSES, 160), by_rounds))
+
+
+@pytest.mark.parametrize("classes,wide,small", [(16, False, 32), (1, True, 0), (16, True, None)])
+def test_trees_grown_by_column_are_those_grown_by_row(monkeypatch, classes, wide, small):
+    """Few classes or many, rows in two bytes or four, with nodes of few rows looking through their rows or not."""
+    monkeypatch.setattr(forest, "SMALL", small or 0)
+    monkeypatch.setattr(forest, "SAMPLE", 0 if small is None else forest.SAMPLE)
+    monkeypatch.setattr(forest, "CLASSES", classes)
+    monkeypatch.setattr(forest, "entry_bytes", lambda rows: 6 if wide else 4)
+    table = [r if i % 5 else (*r[:3], r[3][:2], r[4][:2]) for i, r in enumerate(_rows())]
+    row = np.repeat(np.arange(len(table)), [len(r[3]) for r in table])
+    position, values = (np.concatenate([r[i] for r in table]) for i in (3, 4))
+    c = forest.Columns(SIZE, *(np.array([r[i] for r in table]) for i in (0, 1, 0)), len(row))
+    assert c.row.dtype == (np.int32 if wide else np.uint16)
+    c.add(position, row, forest.bins_of(values))
+    c.close()
+    for plan in (forest.Plan(5, 3, SIZE), forest.Plan(2, 5, SIZE, min_split=9, given_window=2), forest.Plan(2, 5, SIZE, given_window=SIZE)):
+        numbers = np.arange(plan.trees)
+        a, b = (forest.joined(list(way(c, plan, numbers, CLASSES))) for way in (forest._grown_by_row, forest._grown_by_column))
+        assert all((getattr(a.nodes, n) == getattr(b.nodes, n)).all() for n in ("tree", "hash", "depth", "start", "position", "bin", "left"))
+        assert all((getattr(a, n) == getattr(b, n)).all() for n in ("first", "classes", "weights"))
+
+
+def test_a_task_receives_columns_in_any_batches():
+    """Runs of positions that go on over batches, and rows without entries."""
+    rng = np.random.default_rng(3)
+    n, size = 50, 40
+    hit = rng.random((n, size)) < 0.3
+    hit[4] = False
+    bins = rng.integers(0, 30, (n, size))
+    rows = []
+    for number, (low, high) in enumerate(((0, 20), (20, 50))):
+        own = np.arange(low, high)
+        rows.append(forest._packed_runs(0, 0, number, np.array([-1]), np.array([0, len(own)]), (own * 3, "i8"), (own % 2, "i4"), (own, "u8")))
+        for block in range(size):
+            r = np.flatnonzero(hit[low:high, block])
+            rows.append(forest._packed_runs(0, 0, number, np.array([block]), np.array([0, len(r)]), (r, "i4"), (r * 0, "u2"), (bins[low:high, block][r], "i2")))
+    table = forest.pa.Table.from_batches(rows).sort_by([("block", "ascending"), ("slice", "ascending")]).drop_columns("high").combine_chunks()
+    for length in (1, 7, 1000):
+        part, c = forest._received(table.to_batches(length), lambda p: (size, int(hit.sum())))
+        assert part == 0 and (c.key == np.arange(n) * 3).all() and c.filled == hit.sum()
+        for at in range(size):
+            own = slice(c.start[at], c.start[at + 1])
+            assert sorted(zip(c.bins[own].tolist(), c.row[own].tolist())) == sorted((int(bins[r, at]), int(r)) for r in np.flatnonzero(hit[:, at]))
+            assert (np.diff(c.bins[own]) >= 0).all()
