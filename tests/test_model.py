@@ -197,3 +197,15 @@ def test_without_a_bound_the_forest_sees_every_row(spark, monkeypatch):
     trials = spark.createDataFrame([(0, 1)], "trial_id bigint, n_estimators int")
     assert search.evaluate_trials(many.unionByName(many.withColumn("row_id", F.col("row_id") + 20_500)), trials, tiny).first()["trees"] == 1
     assert fitted == [20_500, 20_500, 20_500, 32_800]
+
+
+def test_vectors_are_not_collected_to_be_broadcast(spark, rows, monkeypatch):
+    """However small Spark takes them to be."""
+    rows = model.written(rows, "rows")
+    vocabulary, size = model.numbered(model.fit_vocabulary(rows, "tweet", 2, 3, 1, 1.0))
+    of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in of(model.with_features(vocabulary, size, rows, "row_id", "tweet"))
+    plans = []
+    monkeypatch.setattr(model, "written", lambda df, name: plans.append((name, of(df))) or df)
+    model.vectorise(vocabulary, size, rows, "row_id", "tweet", "target")
+    assert all("Broadcast" not in plan for _, plan in plans) and "vectors" in dict(plans)
